@@ -22,6 +22,7 @@ def build_session(app_name: str = "wayfleet", master: str | None = None,
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -65,3 +66,17 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/wayfleet/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def task_count(spark: SparkSession) -> int:
+    """How many tasks a CPU-heavy step should be dealt out to."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a plain file scan out to all cores when it has fewer partitions.
+
+    Inputs of any real size already have more and are left as they are.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
