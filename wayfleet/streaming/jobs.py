@@ -18,6 +18,11 @@ def _triggered(writer, every: str | None):
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
+def _finished(spark, folder: str) -> bool:
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def matched_stream(pings: DataFrame, index: NearestIndex) -> DataFrame:
     """Clean and match a stream of decoded pings, row by row."""
     return match_pings(traffic.clean_pings(pings), index)
@@ -35,12 +40,14 @@ def start_match_archive(pings: DataFrame, index: NearestIndex, path: str, checkp
                         every: str | None = "30 seconds") -> StreamingQuery:
     """Match inside each micro-batch, for networks too large to match row by row.
 
-    Every batch owns one folder, so a replay writes the same rows in the same
-    place; ``archived_stream`` reads the result for the speed windows.
+    Every batch owns one folder, and a replay leaves a finished folder alone, so
+    ``archived_stream`` sees each row once.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = traffic.archive_rows(match_pings(traffic.clean_pings(batch), index))
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        folder = f"{path}/batch={batch_id}"
+        if not _finished(batch.sparkSession, folder):
+            rows = traffic.archive_rows(match_pings(traffic.clean_pings(batch), index))
+            rows.write.mode("overwrite").parquet(folder)
 
     writer = pings.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _triggered(writer, every).start()
