@@ -64,8 +64,12 @@ def conflate_positions(pings: DataFrame, every: str = "1 second", kinds: tuple[s
 # ---- windows ------------------------------------------------------------
 def edge_speed(matched: DataFrame, length: str = S.WINDOW_LENGTH, slide: str = S.WINDOW_SLIDE,
                distinct_vehicles: bool = False) -> DataFrame:
-    """Mean speed and ping count per sliding window and edge.  Batch or stream."""
-    measures = [F.avg("speed").alias("avg_speed"), F.count("entity_id").alias("vehicle_count")]
+    """Mean speed and ping count per sliding window and edge.  Batch or stream.
+
+    Doubles are summed in whatever order tasks finish; nine decimals are kept so
+    that the mean, and every threshold on it, comes out the same each time.
+    """
+    measures = [F.round(F.avg("speed"), 9).alias("avg_speed"), F.count("entity_id").alias("vehicle_count")]
     if distinct_vehicles:
         measures.append((F.approx_count_distinct if matched.isStreaming else F.count_distinct)("entity_id")
                         .alias("distinct_vehicles"))

@@ -16,7 +16,7 @@ _SUPPLIERS = "(SELECT COUNT(*) FROM supplier)"
 
 
 def _padded(number: str) -> str:
-    return f"LPAD(CAST({number} AS STRING), GREATEST(4, LENGTH(CAST({number} AS STRING))), '0')"
+    return f"LPAD(CAST({number} AS STRING), CAST(GREATEST(4, LENGTH(CAST({number} AS STRING))) AS INT), '0')"
 
 
 VIEWS: dict[str, str] = {
