@@ -17,7 +17,7 @@ CLASSES = ", ".join(f"'{c}'" for c in S.HIGHWAY_CLASSES)
 
 def up(x: str, places: int) -> str:
     """Round half up on the decimal text."""
-    return f"CAST(ROUND(CAST({x} AS DECIMAL(28,9)), {places}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), {places}) AS DOUBLE)"
 
 
 def hav(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
