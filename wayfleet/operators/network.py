@@ -173,14 +173,18 @@ def with_position(df: DataFrame, order_col: str, name: str = "position") -> Data
 
 
 # ---- components ---------------------------------------------------------
-def connected_components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
-    """Weakly connected components: (node_id, component), named by the smallest node id.
+def connected_components(edges: DataFrame) -> DataFrame:
+    """Weakly connected components: (node_id, component), named by the smallest node id."""
+    return components_of_links(edges.select(F.col("start_node.node_id").alias("a"), F.col("end_node.node_id").alias("b")))
+
+
+def components_of_links(arcs: DataFrame, max_rounds: int = 1000) -> DataFrame:
+    """(node_id, component) over links (a, b), taken in both directions.
 
     Every round takes the smallest label among the neighbours and then jumps to
     that label's own label, so chains shrink much faster than one hop a round.
     """
-    arcs = edges.select(F.col("start_node.node_id").alias("a"), F.col("end_node.node_id").alias("b"))
-    links = cut(arcs.unionByName(arcs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    links = cut(arcs.select("a", "b").unionByName(arcs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     labels = cut(links.groupBy("a").agg(F.least(F.min("a"), F.min("b")).alias("label"))
                  .select(F.col("a").alias("node_id"), "label"), "labels")
     for _ in range(max_rounds):

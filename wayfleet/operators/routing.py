@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfleet.functions import scalars as X
-from wayfleet.session import cut
+from wayfleet.operators.network import components_of_links
+from wayfleet.session import cut, task_count
 
 INFINITY = float("inf")
 PAIR_LIMIT = 12          # up to this many stops, all legs of a vehicle are priced in one go
@@ -41,37 +42,72 @@ def _cheapest_arcs(costs: DataFrame) -> DataFrame:
 
 
 # ---- shortest paths -----------------------------------------------------
-def _labels(goals: DataFrame, arcs: DataFrame, max_rounds: int) -> tuple[DataFrame, int]:
-    """Cheapest (source, node, cost, via) from every source, relaxed round by round.
+HOPS_PER_WRITE = 6
 
-    Only labels improved in the last round are extended, and none that already
-    cost as much as the source's dearest goal.  Each round is written once, which
-    ends its lineage and makes it safe against lost executors.
+
+def _labels(goals: DataFrame, arcs: DataFrame, max_rounds: int) -> DataFrame:
+    """Cheapest (source, node, cost, via) from every source, relaxed hop by hop.
+
+    Each hop sends on the labels improved in the hop before, unless they already
+    cost as much as the source's dearest goal; all others stay put by way of a
+    free "stay" arc, so a hop is one join and one aggregation.  With many sources
+    the labels are partitioned by source: while the arc table is small enough to
+    be broadcast, several hops then run without a shuffle (a source has at most
+    one label per node).  The labels are written every few hops, which ends the
+    lineage and lets a lost executor cost no more than that.
     """
-    labels = cut(goals.select("source").distinct().select(
-        "source", F.col("source").alias("node"), F.lit(0.0).alias("cost"),
-        F.lit(None).cast("long").alias("via"), F.lit(0).alias("round")), "labels")
-    step = arcs.select("src", "dst", "arc_cost", "via")
-    for turn in range(1, max_rounds + 1):
+    spark = goals.sparkSession
+    tasks = task_count(spark)
+    sources = goals.select("source").distinct()
+    labels = cut(sources.select("source", F.col("source").alias("node"), F.lit(0.0).alias("cost"),
+                                F.lit(None).cast("long").alias("via"), F.lit(0).alias("hop")), "labels")
+    by_source = labels.count() >= 4 * tasks
+    ends = arcs.select(F.col("src").alias("n")).unionByName(arcs.select(F.col("dst").alias("n"))).distinct()
+    moves = cut(arcs.select("src", "dst", "arc_cost", F.col("via").alias("_via"), F.lit(False).alias("_stay")).unionByName(
+        ends.select(F.col("n").alias("src"), F.col("n").alias("dst"), F.lit(0.0).alias("arc_cost"),
+                    F.lit(None).cast("long").alias("_via"), F.lit(True).alias("_stay"))), "moves")
+    hop = 0
+    for _ in range(max_rounds):
         reached = labels.select("source", F.col("node").alias("target"), "cost")
         limit = (goals.join(reached, ["source", "target"], "left").groupBy("source")
-                 .agg(F.max("cost").alias("_dearest"), F.count(F.when(F.col("cost").isNull(), 1)).alias("_open"))
+                 .agg(F.max("cost").alias("_dearest"), F.count_if(F.col("cost").isNull()).alias("_open"))
                  .select("source", F.when(F.col("_open") == 0, F.col("_dearest")).otherwise(F.lit(INFINITY)).alias("_limit")))
-        frontier = (labels.filter(F.col("round") == turn - 1).join(limit, "source")
-                    .filter(F.col("cost") < F.col("_limit")))
-        found = (frontier.join(step.withColumnRenamed("via", "_via"), F.col("node") == F.col("src"))
-                 .select("source", F.col("dst").alias("node"), (F.col("cost") + F.col("arc_cost")).alias("cost"),
-                         F.col("_via").alias("via"), F.lit(turn).alias("round")))
-        labels = cut(labels.unionByName(found).groupBy("source", "node")
-                     .agg(F.min("cost").alias("_c"), F.min_by("via", "cost").alias("_v"), F.min_by("round", "cost").alias("_r"))
-                     .select("source", "node", F.col("_c").alias("cost"), F.col("_v").alias("via"), F.col("_r").alias("round")),
-                     "labels")
-        if labels.filter(F.col("round") == turn).isEmpty():
-            return labels, turn
-    raise RuntimeError(f"shortest paths did not settle in {max_rounds} rounds")
-
-
-def _trace(ends: DataFrame, labels: DataFrame, arcs: DataFrame, steps_per_write: int = 4) -> DataFrame:
+        rows = labels.join(cut(limit, "limit"), "source")
+        if by_source:
+            rows = rows.repartition(tasks, "source")
+        for _ in range(HOPS_PER_WRITE):
+            hop += 1
+            fresh = (F.col("hop") == hop - 1) & (F.col("cost") < F.col("_limit"))
+            sent = rows.join(moves, (F.col("node") == F.col("src")) & (F.col("_stay") | fresh)).select(
+                "source", F.col("_limit"), F.col("dst").alias("node"), (F.col("cost") + F.col("arc_cost")).alias("cost"),
+                F.when(F.col("_stay"), F.col("via")).otherwise(F.col("_via")).alias("via"),
+                F.when(F.col("_stay"), F.col("hop")).otherwise(F.lit(hop)).alias("hop"))
+            rows = (sent.groupBy("source", "node")
+                    .agg(F.min("cost").alias("_c"), F.min_by("via", "cost").alias("via"),
+                         F.min_by("hop", "cost").alias("hop"), F.max("_limit").alias("_limit"))
+                    .withColumnRenamed("_c", "cost"))
+        labels = cut(rows.select("source", "node", "cost", "via", "hop"), "labels")
+        if labels.filter(F.col("hop") == hop).isEmpty():
+            return labels.drop("hop")
+    raise RuntimeError("shortest paths did not settle")
+
+
+def _possible(pairs: DataFrame, arcs: DataFrame) -> DataFrame:
+    """Pairs that may be connected at all.
+
+    A goal that cannot be reached would keep its source searching everything it
+    can reach, so ends without arcs and ends in different components are left out.
+    """
+    component = components_of_links(arcs.select(F.col("src").alias("a"), F.col("dst").alias("b")))
+    leaves = arcs.select(F.col("src").alias("source")).distinct().join(
+        component.select(F.col("node_id").alias("source"), F.col("component").alias("_from")), "source")
+    enters = arcs.select(F.col("dst").alias("target")).distinct().join(
+        component.select(F.col("node_id").alias("target"), F.col("component").alias("_to")), "target")
+    return (pairs.join(leaves, "source").join(enters, "target")
+            .filter(F.col("_from") == F.col("_to")).select("source", "target"))
+
+
+def _trace(ends: DataFrame, labels: DataFrame, arcs: DataFrame, steps_per_write: int = HOPS_PER_WRITE) -> DataFrame:
     """Follow predecessors from each target back to its source, collecting edge ids in order."""
     back = cut(labels.filter("via is not null").join(arcs.select("via", "src", "edge_id"), "via")
                .select("source", "node", F.col("src").alias("_prev"), F.col("edge_id").alias("_edge")), "back")
@@ -87,34 +123,43 @@ def _trace(ends: DataFrame, labels: DataFrame, arcs: DataFrame, steps_per_write:
             return rows.select("source", "target", "path")
 
 
+def _numbered(nodes: DataFrame) -> DataFrame:
+    """(node_id, no): a number per node, written once so that it stays the same."""
+    return cut(nodes.select("node_id").distinct().withColumn("no", F.monotonically_increasing_id()), "numbers")
+
+
 def shortest_paths(pairs: DataFrame, costs: DataFrame, nodes: DataFrame | None = None,
                    with_path: bool = True, max_rounds: int = 100_000) -> DataFrame:
     """(source, target, cost, path) for each distinct pair.
 
     Equal ends cost 0 with an empty path; an unknown or unreachable end costs
-    infinity with an empty path.  All pairs share one search per distinct source.
+    infinity with an empty path.  All pairs share one search per distinct source;
+    inside, nodes go by number, which keeps the label rows small and of fixed width.
     """
     wanted = cut(pairs.select("source", "target").distinct(), "pairs")
-    arcs = cut(_cheapest_arcs(costs), "arcs")
     if nodes is None:
-        known = arcs.select(F.col("src").alias("node_id")).unionByName(arcs.select(F.col("dst").alias("node_id"))).distinct()
-    else:
-        known = nodes.select("node_id")
-    asked = (wanted.join(known.withColumnRenamed("node_id", "source"), "source", "left_semi")
-             .join(known.withColumnRenamed("node_id", "target"), "target", "left_semi")
-             .select("source", "target"))
-    asked = cut(asked, "asked")
-    goals = asked.filter(F.col("source") != F.col("target"))
-    labels, _ = _labels(goals, arcs, max_rounds)
-    reached = labels.select("source", F.col("node").alias("target"), "cost")
-    priced = (asked.join(reached, ["source", "target"], "left")
-              .select("source", "target", F.when(F.col("source") == F.col("target"), F.lit(0.0)).otherwise(F.col("cost")).alias("cost")))
-    out = wanted.join(priced, ["source", "target"], "left").withColumn("cost", F.coalesce("cost", F.lit(INFINITY)))
-    if not with_path:
-        return out
-    ends = goals.join(reached, ["source", "target"])
-    return (out.join(_trace(ends, labels, arcs), ["source", "target"], "left")
-            .withColumn("path", F.coalesce("path", F.array().cast("array<string>"))))
+        nodes = costs.select(F.col("src").alias("node_id")).unionByName(costs.select(F.col("dst").alias("node_id")))
+    numbers = _numbered(nodes)
+
+    def number(name: str, out: str) -> DataFrame:
+        return numbers.select(F.col("node_id").alias(name), F.col("no").alias(out))
+
+    arcs = cut(_cheapest_arcs(costs).join(number("src", "_s"), "src").join(number("dst", "_d"), "dst")
+               .select(F.col("_s").alias("src"), F.col("_d").alias("dst"), "arc_cost", "via", "edge_id"), "arcs")
+    asked = cut(wanted.join(number("source", "_s"), "source").join(number("target", "_t"), "target"), "asked")
+    goals = cut(_possible(asked.filter("_s <> _t").select(F.col("_s").alias("source"), F.col("_t").alias("target")), arcs), "goals")
+    labels = _labels(goals, arcs, max_rounds)
+    reached = labels.join(goals.withColumnRenamed("target", "node"), ["source", "node"], "left_semi").select(
+        F.col("source").alias("_s"), F.col("node").alias("_t"), "cost")
+    priced = (asked.join(reached, ["_s", "_t"], "left")
+              .withColumn("cost", F.when(F.col("_s") == F.col("_t"), F.lit(0.0)).otherwise(F.col("cost"))))
+    if with_path:
+        paths = _trace(reached.select(F.col("_s").alias("source"), F.col("_t").alias("target")), labels, arcs)
+        priced = priced.join(paths.withColumnsRenamed({"source": "_s", "target": "_t"}), ["_s", "_t"], "left")
+    kept = ["cost", "path"] if with_path else ["cost"]
+    out = (wanted.join(priced.select("source", "target", *kept), ["source", "target"], "left")
+           .withColumn("cost", F.coalesce("cost", F.lit(INFINITY))))
+    return out.withColumn("path", F.coalesce("path", F.array().cast("array<string>"))) if with_path else out
 
 
 # ---- walking over stops -------------------------------------------------
