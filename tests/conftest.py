@@ -10,7 +10,7 @@ from wayfleet.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = build_session("tests", master="local[8]", shuffle_partitions=8,
+    session = build_session("tests", master="local[4]", shuffle_partitions=2,
                             **{"spark.driver.memory": "6g",
                                "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     session.sparkContext.setLogLevel("ERROR")
