@@ -17,8 +17,7 @@ HEADLINES = [
     "road_edges", "components", "matched_pings", "nearest_nodes", "edge_speed", "edge_state", "latest_edge_state",
     "blocked_edges", "latest_positions", "conflated_positions", "edge_occupancy", "seed_routes", "normalized_vehicles",
     "traffic_snapshot", "reroute_candidates", "snapshot_speed", "route_fitness", "exact_order", "ga_order",
-    "edge_costs", "shortest_path_cost", "shortest_path_edges", "build_routes_cost", "greedy_order",
-    "route_from_position", "optimize_vehicles", "merged_routes", "route_geometry", "route_segments", "route_progress",
+    "edge_costs", "shortest_path_cost", "route_from_position", "optimize_vehicles", "merged_routes", "route_geometry", "route_segments", "route_progress",
     "heat_points", "upserted_vehicles", "streamed_edge_state", "streamed_archive",
 ]
 
