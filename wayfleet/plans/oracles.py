@@ -56,6 +56,15 @@ UNION ALL
 SELECT way_id * 4096 + pos * 2 + 1, 'E_' || v || '_' || u, road_name, max_speed_kmh, v, v_lat, v_lon, u, u_lat, u_lon,
        {up('raw_length_m', 2)}
 FROM segs WHERE oneway <> 'yes'""",
+    "outcomes": """
+SELECT v.vehicle_id, CASE WHEN v.current_edge_id = '' THEN 'error' WHEN v.new_route IS NULL OR x.reason IS NOT NULL THEN 'optimized'
+         ELSE 'skipped' END AS status, x.reason
+FROM vehicles v JOIN (SELECT vehicle_id, CASE WHEN hits_blocked THEN 'blocked' WHEN hits_congested THEN 'congested' WHEN hits_slow THEN 'slow' END AS reason
+  FROM conditions) x ON x.vehicle_id = v.vehicle_id""",
+    "totals": "SELECT vehicle_id, MAX(total) AS total FROM walk GROUP BY vehicle_id",
+    "ordered": """
+SELECT b.vehicle_id, STRING_AGG(s.cust_id, ',' ORDER BY POSITION(CAST(s.stop_idx AS VARCHAR) IN b.code)) AS cust_ids
+FROM best b JOIN f_stops s ON s.vehicle_id = b.vehicle_id GROUP BY b.vehicle_id""",
     "edges": "SELECT * FROM raw_edges QUALIFY ROW_NUMBER() OVER (PARTITION BY edge_id ORDER BY edge_seq DESC) = 1",
     "mentions": """
 SELECT start_id AS node_id, start_lat AS lat, start_lon AS lon, edge_seq * 2 AS mention FROM edges
@@ -204,6 +213,29 @@ SELECT s.source, a.dst, MIN(s.cost + a.cost) FROM ssp s JOIN static_arcs a ON a.
 LEFT JOIN recurring.ssp k ON k.source = s.source AND k.node = a.dst
 WHERE k.cost IS NULL OR s.cost + a.cost < k.cost GROUP BY s.source, a.dst"""),
 }
+KEYED["spp"] = ("spp(source, node, cost, path) USING KEY (source, node)", """
+SELECT source, source, 0e0, '' FROM sources
+UNION
+SELECT s.source, a.dst, MIN(s.cost + a.cost), ARG_MIN(s.path || ',E_' || a.src || '_' || a.dst, s.cost + a.cost)
+FROM spp s JOIN arcs a ON a.src = s.node
+LEFT JOIN recurring.spp k ON k.source = s.source AND k.node = a.dst
+WHERE k.cost IS NULL OR s.cost + a.cost < k.cost GROUP BY s.source, a.dst""")
+KEYED["walkp"] = ("walkp(vehicle_id, rank, node, path)", """
+SELECT vehicle_id, 0, node, '' FROM starts
+UNION ALL
+SELECT w.vehicle_id, w.rank + 1, CASE WHEN w.node = n.node_id OR s.cost IS NOT NULL THEN n.node_id ELSE w.node END,
+       w.path || CASE WHEN w.node = n.node_id THEN '' ELSE COALESCE(s.path, '') END
+FROM walkp w JOIN best b ON b.vehicle_id = w.vehicle_id AND w.rank < b.n
+JOIN stop_nodes n ON n.vehicle_id = w.vehicle_id AND n.stop_idx = CAST(SUBSTR(b.code, w.rank + 1, 1) AS INT)
+LEFT JOIN spp s ON s.source = w.node AND s.node = n.node_id""")
+KEYED["pwalk"] = ("pwalk(vehicle_id, rank, lat, lon, seen)", """
+SELECT v.vehicle_id, 0, e.end_lat, e.end_lon, '' FROM vehicles v JOIN edges e ON e.edge_id = v.current_edge_id
+UNION ALL
+SELECT vehicle_id, rank, lat, lon, seen FROM (
+  SELECT w.vehicle_id, w.rank + 1 AS rank, n.latitude AS lat, n.longitude AS lon, w.seen || CAST(n.stop_idx AS VARCHAR) AS seen,
+         ROW_NUMBER() OVER (PARTITION BY w.vehicle_id ORDER BY (n.latitude - w.lat) * (n.latitude - w.lat)
+           + (n.longitude - w.lon) * (n.longitude - w.lon), n.stop_idx) AS rn
+  FROM pwalk w JOIN f_stops n ON n.vehicle_id = w.vehicle_id AND POSITION(CAST(n.stop_idx AS VARCHAR) IN w.seen) = 0) WHERE rn = 1""")
 for _start, _name, _labels in (("starts", "gwalk", "sp"), ("req_nodes", "rwalk", "ssp")):
     KEYED[_name] = (f"{_name}(vehicle_id, rank, node, stop_idx, cost, total, seen)", f"""
 SELECT vehicle_id, 0, node, -1, 0e0, 0e0, '' FROM {_start}
@@ -345,6 +377,29 @@ MAIN: dict[str, str] = {
         LEFT JOIN sp s ON s.source = p.source AND s.node = p.target""",
     "build_routes_cost": f"""SELECT v.vehicle_id, CASE WHEN w.total > 0 THEN {up('w.total', 4)} END AS estimated_total_travel_time_s
         FROM vehicles v LEFT JOIN (SELECT vehicle_id, MAX(total) AS total FROM walk GROUP BY vehicle_id) w ON w.vehicle_id = v.vehicle_id""",
+    "shortest_path_edges": f"""SELECT p.source, p.target, CASE WHEN p.source = p.target THEN '' ELSE SUBSTR(s.path, 2) END AS path,
+        CASE WHEN p.source = p.target THEN 0e0 ELSE {up('s.cost', 4)} END AS cost
+        FROM (SELECT DISTINCT t.node AS source, n.node_id AS target FROM starts t JOIN stop_nodes n ON n.vehicle_id = t.vehicle_id) p
+        JOIN spp s ON s.source = p.source AND s.node = p.target""",
+    "new_routes": f"""SELECT v.vehicle_id, CASE WHEN LENGTH(w.path) > 0 THEN SUBSTR(w.path, 2) ELSE ARRAY_TO_STRING(v.route, ',') END AS new_assigned_route,
+        CASE WHEN t.total > 0 THEN {up('t.total', 4)} END AS estimated_total_travel_time_s
+        FROM vehicles v LEFT JOIN totals t ON t.vehicle_id = v.vehicle_id
+        LEFT JOIN (SELECT vehicle_id, ARG_MAX(path, rank) AS path FROM walkp GROUP BY vehicle_id) w ON w.vehicle_id = v.vehicle_id""",
+    "planar_greedy_order": """SELECT vehicle_id, ARRAY_TO_STRING(STRING_SPLIT(ARG_MAX(seen, rank), ''), ',') AS stop_order FROM pwalk GROUP BY vehicle_id""",
+    "optimize_vehicles": f"""SELECT o.status, o.vehicle_id,
+        CASE o.status WHEN 'optimized' THEN COALESCE(o.reason, 'forced') WHEN 'skipped' THEN 'No blocked or congested edge detected'
+             ELSE 'current_edge_id must not be empty' END AS reason,
+        CASE WHEN o.status = 'optimized' THEN {up('f.start_cost + b.hours + f.penalty', 4)} END AS fitness,
+        CASE WHEN o.status = 'optimized' AND t.total > 0 THEN {up('t.total', 4)} END AS estimated_total_travel_time_s,
+        CASE WHEN o.status = 'optimized' THEN r.cust_ids ELSE '' END AS optimized_customer_order,
+        CASE WHEN o.status = 'optimized' THEN 0 END AS generation_count, o.status = 'optimized' AS optimized, {NOW_MS} AS timestamp
+        FROM outcomes o JOIN facts f ON f.vehicle_id = o.vehicle_id JOIN best b ON b.vehicle_id = o.vehicle_id
+        JOIN ordered r ON r.vehicle_id = o.vehicle_id LEFT JOIN totals t ON t.vehicle_id = o.vehicle_id""",
+    "stored_results": f"""SELECT COALESCE(d.vehicle_id, c.vehicle_id) AS vehicle_id, CASE WHEN c.vehicle_id IS NOT NULL THEN 'optimized' END AS route_status,
+        CASE WHEN c.vehicle_id IS NOT NULL THEN {NOW_MS} END AS last_optimized_at, {up('c.total', 4)} AS estimated_total_travel_time
+        FROM (SELECT * FROM docs WHERE vehicle_id IS NOT NULL) d
+        FULL JOIN (SELECT o.vehicle_id, CASE WHEN t.total > 0 THEN t.total END AS total FROM outcomes o
+                   LEFT JOIN totals t ON t.vehicle_id = o.vehicle_id WHERE o.status = 'optimized') c ON c.vehicle_id = d.vehicle_id""",
     "greedy_order": f"""SELECT g.vehicle_id, g.stop_idx, g.rank, {up('g.cost', 4)} AS cost FROM gwalk g WHERE g.rank > 0
         UNION ALL
         SELECT s.vehicle_id, s.stop_idx, COALESCE(m.last_rank, 0) + ROW_NUMBER() OVER (PARTITION BY s.vehicle_id ORDER BY s.stop_idx), NULL
