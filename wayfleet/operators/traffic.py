@@ -40,25 +40,34 @@ def archive_rows(matched: DataFrame) -> DataFrame:
                           "timestamp", "event_time", "edge_id")
 
 
+def _newest(names: tuple[str, ...], order: list[str]) -> list[Column]:
+    """Each column of the newest row.
+
+    By one column, every maximum has fixed width and picks the same row, so the
+    hash aggregation keeps its buffers in place; a tie-break needs a struct.
+    """
+    if len(order) == 1:
+        return [F.max_by(n, order[0]).alias(n) for n in names]
+    return [F.max_by(n, F.struct(*order)).alias(n) for n in names]
+
+
 def latest_positions(pings: DataFrame, kinds: tuple[str, ...] = ("Truck",),
                      tiebreak: str | None = None) -> DataFrame:
     """Newest position per vehicle."""
     order = ["timestamp", tiebreak] if tiebreak else ["timestamp"]
     rows = keep_entities(pings, kinds)
-    newest = (rows.groupBy("entity_id")
-              .agg(F.max_by(F.struct("latitude", "longitude", "speed"), F.struct(*order)).alias("_at")))
-    return newest.select(F.col("entity_id").alias("id"), F.col("_at.latitude").alias("lat"),
-                         F.col("_at.longitude").alias("lon"), F.col("_at.speed").alias("speed"))
+    newest = rows.groupBy("entity_id").agg(*_newest(("latitude", "longitude", "speed"), order))
+    return newest.select(F.col("entity_id").alias("id"), F.col("latitude").alias("lat"),
+                         F.col("longitude").alias("lon"), "speed")
 
 
 def conflate_positions(pings: DataFrame, every: str = "1 second", kinds: tuple[str, ...] = ("Truck",)) -> DataFrame:
     """Per tick, the newest position of every vehicle that moved in it.  Batch or stream."""
     return (keep_entities(pings, kinds)
             .groupBy(F.window("event_time", every).alias("_tick"), "entity_id")
-            .agg(F.max_by(F.struct("latitude", "longitude", "speed"), "timestamp").alias("_at"))
+            .agg(*_newest(("latitude", "longitude", "speed"), ["timestamp"]))
             .select(F.col("_tick.end").alias("tick"), F.col("entity_id").alias("id"),
-                    F.col("_at.latitude").alias("lat"), F.col("_at.longitude").alias("lon"),
-                    F.col("_at.speed").alias("speed")))
+                    F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), "speed"))
 
 
 # ---- windows ------------------------------------------------------------

@@ -23,9 +23,13 @@ def _finished(spark, folder: str) -> bool:
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
-def matched_stream(pings: DataFrame, index: NearestIndex) -> DataFrame:
-    """Clean and match a stream of decoded pings, row by row."""
-    return match_pings(traffic.clean_pings(pings), index)
+def matched_stream(pings: DataFrame, index: NearestIndex, salts: int = 1) -> DataFrame:
+    """Clean and match a stream of decoded pings, row by row.
+
+    Streams are not re-planned while they run: give ``salts`` when the candidates
+    are too large to broadcast and single cells are hot.
+    """
+    return match_pings(traffic.clean_pings(pings), index, salts)
 
 
 def start_archive(matched: DataFrame, path: str, checkpoint: str, every: str | None = "30 seconds") -> StreamingQuery:
@@ -67,9 +71,11 @@ def speed_stream(matched: DataFrame, delay: str = S.WATERMARK_DELAY) -> DataFram
 def publish_edge_state(edges: DataFrame, path: str):
     """Batch writer: window rows to published state, one folder per batch; errors fail the batch."""
     def publish(windows: DataFrame, batch_id: int) -> None:
-        states = traffic.edge_state_rows(traffic.enrich_edges(traffic.publishable(windows), edges))
+        windows = windows.persist()          # looked at twice: for being empty, and to be written
         if not windows.isEmpty():
+            states = traffic.edge_state_rows(traffic.enrich_edges(traffic.publishable(windows), edges))
             tables.write_state_batch(states, batch_id, path)
+        windows.unpersist()
     return publish
 
 
