@@ -118,7 +118,8 @@ def snapshot_speed(vehicles: DataFrame, state: DataFrame, blocked: DataFrame,
                    default: float = S.DEFAULT_FLEET_SPEED_KMH) -> DataFrame:
     """Mean positive speed over own and blocked edges; ``default`` without any.
 
-    The blocked part is the same for all vehicles, so it is summed once.
+    The blocked part is the same for all vehicles, so it is summed once.  Nine
+    decimals are kept, as the order of summation may change from run to run.
     """
     moving = state.filter("avg_speed > 0").select("edge_id", "avg_speed")
     free = moving.join(blocked.select("edge_id"), "edge_id", "left_anti")
@@ -129,7 +130,7 @@ def snapshot_speed(vehicles: DataFrame, state: DataFrame, blocked: DataFrame,
     total = F.coalesce("_s", F.lit(0.0)) + F.lit(float(jammed["s"]))
     number = F.coalesce("_n", F.lit(0)) + F.lit(int(jammed["n"]))
     return (vehicles.select("vehicle_id").join(own, "vehicle_id", "left")
-            .select("vehicle_id", F.when(number > 0, total / number).otherwise(F.lit(default)).alias("speed_kmh")))
+            .select("vehicle_id", F.when(number > 0, F.round(total / number, 9)).otherwise(F.lit(default)).alias("speed_kmh")))
 
 
 def route_conditions(vehicles: DataFrame, state: DataFrame, blocked: DataFrame,

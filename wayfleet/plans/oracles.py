@@ -128,7 +128,7 @@ SELECT vehicle_no, entity_id AS vehicle_id, entity_id, COALESCE(entity_type, 'Tr
     "route_edges": "SELECT DISTINCT vehicle_id, UNNEST(route) AS edge_id FROM vehicles",
     "own_edges": "SELECT * FROM route_edges UNION SELECT vehicle_id, current_edge_id FROM vehicles WHERE current_edge_id <> ''",
     "speeds": """
-SELECT v.vehicle_id, COALESCE(AVG(c.avg_speed), 30e0) AS speed_kmh FROM vehicles v
+SELECT v.vehicle_id, COALESCE(ROUND(AVG(c.avg_speed), 9), 30e0) AS speed_kmh FROM vehicles v
 LEFT JOIN (SELECT vehicle_id, edge_id FROM own_edges UNION SELECT vehicle_id, b.edge_id FROM vehicles CROSS JOIN blocked b) x
   ON x.vehicle_id = v.vehicle_id
 LEFT JOIN cur c ON c.edge_id = x.edge_id AND c.avg_speed > 0 GROUP BY v.vehicle_id""",
