@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wayfleet.llm import decontaminate as decontamination
 from wayfleet.llm import ngram_join
 from wayfleet.llm.ship import ship
 
@@ -18,7 +19,36 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), length=10)
+    return found.drop("text_hash")
+
+
+_WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+DECONTAMINATE_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(list_slice(w, s, s + least(len(w), 10) - 1), ' ') AS g
+        FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS s FROM i WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT n FROM win),
+grams AS (SELECT rid, n, s, array_to_string(list_slice(w, s, s + n - 1), ' ') AS g
+          FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, lens WHERE len(w) >= n)),
+m AS (SELECT rid, s, grams.n AS n, item FROM grams JOIN win ON grams.n = win.n AND grams.g = win.g),
+hit AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(s, s + n)) AS p FROM m) GROUP BY rid),
+met AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT rid, item FROM m) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN met USING (rid)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": ngram_jaccard,
+    "op8_decontaminate": decontaminate,
+}
+ORACLES: dict[str, str] = {
+    "op8_decontaminate": DECONTAMINATE_SQL,
 }
-ORACLES: dict[str, str] = {}
