@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wayfleet.llm import decontaminate as decontamination
-from wayfleet.llm import ngram_join
+from wayfleet.llm import mixing, ngram_join, sharding
 from wayfleet.llm.ship import ship
 
 
@@ -45,10 +45,45 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN hit USING (rid) LEFT JOIN met USING (rid)
 """
 
+SHARDS = 40
+
+
+def rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_table(_table(spark, sf_dir, "documents"), {s: 1.0 for s in range(SHARDS)}, new_shard=SHARDS)
+
+
+def _draw_sql(shard: str) -> str:
+    return (f"(CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || CAST({shard} AS VARCHAR)), 1, 13)) AS BIGINT) + 0.5) / 4503599627370496.0")
+
+
+RENDEZVOUS_SQL = f"""
+WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+                lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+x AS (SELECT rid, doc_id, octet_length(b) AS n, hex(b) AS h FROM d),
+s AS (SELECT rid, doc_id, CAST(n + 16 AS BIGINT) AS size,
+             xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+                 list_transform(range(n), lambda i: CAST(('0x' || substr(h, 2 * i + 1, 2)) AS BIGINT))),
+                 lambda c, y: xor(c >> 8, t[xor(c & 255, y) + 1])), 4294967295) AS text_crc32
+      FROM x, crc),
+o AS (SELECT rid, arg_min(k, {_draw_sql('k')} * -1) AS shard, max({_draw_sql('k')}) AS best
+      FROM s, range({SHARDS}) r(k) GROUP BY rid),
+g AS (SELECT rid, doc_id, size, text_crc32, shard,
+             CASE WHEN {_draw_sql(str(SHARDS))} > best THEN {SHARDS} ELSE shard END AS grown_shard,
+             CAST(('0x' || substr(md5('lane:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || CAST(text_crc32 AS VARCHAR)), 1, 6)) AS BIGINT) % 64 AS lane
+      FROM s JOIN o USING (rid))
+SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+       CAST(row_number() OVER (PARTITION BY shard ORDER BY lane, doc_id NULLS FIRST, text_crc32) - 1 AS BIGINT) AS slot,
+       CAST(grown_shard AS INTEGER) AS grown_shard
+FROM g
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": ngram_jaccard,
+    "op5_rendezvous_shards": rendezvous_shards,
     "op8_decontaminate": decontaminate,
 }
 ORACLES: dict[str, str] = {
+    "op5_rendezvous_shards": RENDEZVOUS_SQL,
     "op8_decontaminate": DECONTAMINATE_SQL,
 }
