@@ -109,10 +109,12 @@ def signatures(features: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def sketch(features: np.ndarray) -> np.ndarray:
-    """Parity of the features in each of 1,024 cells: two sketches differ in no more bits than the sets do."""
-    cell = np.bincount((text.mix(features ^ np.uint64(77)) >> np.uint64(54)).astype(np.int64), minlength=64 * _SKETCH_WORDS) & 1
-    return np.packbits(cell.astype(np.uint8), bitorder="little").view(np.int64)
+def sketch(features: np.ndarray, words: int | None = None) -> np.ndarray:
+    """Parity of the features in cells, about one cell a feature: two sketches of one length differ in no more bits than the sets do."""
+    if words is None:
+        words = max(_SKETCH_WORDS, 1 << (len(features) // 64).bit_length())
+    cell = (text.mix(features ^ np.uint64(77)) & np.uint64(64 * words - 1)).astype(np.int64)
+    return np.packbits((np.bincount(cell, minlength=64 * words) & 1).astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def _sets(batch: pa.RecordBatch, n: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -134,13 +136,17 @@ def _long_lists(values: list[np.ndarray]) -> pa.Array:
 
 
 def _describe(n: int, batches):
-    """id, size and 128-bit identity of each set."""
+    """id, size, 128-bit identity and sketches of each set."""
     for batch in batches:
         size, a, b = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
+        full, small = [], []
         for i, s in _sets(batch, n):
             size[i] = len(s)
             a[i], b[i] = _keys(s)
-        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(size), pa.array(a), pa.array(b)], ["id", "n_shingles", "key_a", "key_b"])
+            full.append(sketch(s))
+            small.append(sketch(s, _SKETCH_WORDS))
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(size), pa.array(a), pa.array(b), _long_lists(full), _long_lists(small)],
+                                         ["id", "n_shingles", "key_a", "key_b", "sketch", "small"])
 
 
 def _signed(n: int, percent: int, batches):
@@ -166,17 +172,16 @@ def _signed(n: int, percent: int, batches):
 
 
 def _featured(n: int, batches):
-    """id, sketch and features of candidate texts."""
+    """id and features of candidate texts."""
     for batch in batches:
-        found: list[tuple[int, np.ndarray]] = []
+        rows, found, held = [], [], 0
         for i, s in _sets(batch, n):
-            found.append((i, s))
-            if sum(len(x) for _, x in found) > 1 << 18 or i == batch.num_rows - 1:
-                rows = pa.array([x for x, _ in found])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(rows), _long_lists([sketch(x) for _, x in found]), _long_lists([x for _, x in found])],
-                    ["id", "sketch", "features"])
-                found = []
+            rows.append(i)
+            found.append(s)
+            held += len(s)
+            if held > 1 << 18 or i == batch.num_rows - 1:
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(rows)), _long_lists(found)], ["id", "features"])
+                rows, found, held = [], [], 0
 
 
 def _runs(batches, keys: list[str]):
@@ -211,7 +216,7 @@ def _crossing(percent: int, batches):
         ids, sizes, comps = (run.column(c).to_numpy() for c in ("id", "n_shingles", "component"))
         own = run.column("block").to_numpy()
         left, right = run.column("left")[0].as_py(), run.column("right")[0].as_py()
-        sketches = run.column("sketch").combine_chunks().flatten().to_numpy().reshape(len(ids), -1).view(np.uint64)
+        sketches = run.column("small").combine_chunks().flatten().to_numpy().reshape(len(ids), -1).view(np.uint64)
         a = np.flatnonzero(own == left)
         b = a if left == right else np.flatnonzero(own == right)
         pairs_a, pairs_b = [], []
@@ -226,75 +231,79 @@ def _crossing(percent: int, batches):
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(pairs_a)), pa.array(np.concatenate(pairs_b))], ["a", "b"])
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose feature sets meet the threshold; sizes and sketches are looked at before the sets are fetched."""
-    side = lambda tag, *cols: sets.select(F.col("id").alias(tag), *[F.col(c).alias(f"{c}_{tag}") for c in cols])
+def _near(pairs: DataFrame, member: DataFrame, percent: int) -> DataFrame:
+    """The pairs that sizes and sketches do not rule out, with their sizes."""
+    side = lambda tag: member.select(*[F.col(c).alias(f"{c}_{tag}") for c in ("id", "n_shingles", "sketch")])
+    half = lambda x: F.zip_with(F.slice(x, 1, F.size(x) / 2), F.slice(x, F.size(x) / 2 + 1, F.size(x) / 2), lambda y, z: y.bitwiseXOR(z))
+    fold = lambda x, y: F.when(F.size(x) > F.size(y), half(F.col(x))).otherwise(F.col(x))
     total = F.col("n_shingles_a") + F.col("n_shingles_b")
-    apart = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
-    near = (pairs.join(side("a", "n_shingles", "sketch"), "a").join(side("b", "n_shingles", "sketch"), "b")
+    apart = F.aggregate(F.zip_with(fold("sketch_a", "sketch_b"), fold("sketch_b", "sketch_a"), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                        F.lit(0), lambda acc, x: acc + x)
+    # Linkable sizes are less than a factor of 2 apart, so one sketch is at most twice the other.
+    return (pairs.join(side("a"), F.col("a") == F.col("id_a")).join(side("b"), F.col("b") == F.col("id_b"))
             .where(100 * F.least("n_shingles_a", "n_shingles_b") >= percent * F.greatest("n_shingles_a", "n_shingles_b"))
             .where(apart * (100 + percent) <= (100 - percent) * total)
-            .select("a", "b"))
-    near = cut(near, "near")
+            .select("a", "b", "n_shingles_a", "n_shingles_b"))
+
+
+def _linked(pairs: DataFrame, member: DataFrame, known: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs whose feature sets meet the threshold, exactly. Only texts of pairs left after sizes and sketches are read again."""
+    near = cut(_near(pairs, member, percent), "near")
+    wanted = cut(near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct(), "wanted")
+    sets = cut(known.join(wanted, "id", "left_semi").mapInArrow(functools.partial(_featured, n), "id long, features array<bigint>")
+               .groupBy("id").agg(F.min("features").alias("features")), "features")
+    side = lambda tag: sets.select(F.col("id").alias(tag), F.col("features").alias(f"features_{tag}"))
+    total = F.col("n_shingles_a") + F.col("n_shingles_b")
     shared = F.size(F.array_intersect("features_a", "features_b"))
-    return (near.join(side("b", "n_shingles", "features"), "b").join(side("a", "n_shingles", "features"), "a")
-            .where(100 * shared >= percent * (total - shared)).select("a", "b"))
+    return cut(near.join(side("b"), "b").join(side("a"), "a").where(100 * shared >= percent * (total - shared)).select("a", "b"), "links")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4,
                        percent: int = 85) -> DataFrame:
     """(id_col, n_shingles, component_id) of every row; see the module for the method and edge cases."""
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    described = cut(plain.mapInArrow(functools.partial(_describe, n), "id long, n_shingles long, key_a long, key_b long, "
+                                     "sketch array<bigint>, small array<bigint>"), "sets")
+    own = (described.where("id is not null and n_shingles > 0").groupBy("id")
+           .agg(F.min(F.struct("key_a", "key_b", "n_shingles")).alias("s")).select("id", "s.*"))
+    groups = own.groupBy("key_a", "key_b").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    classes = cut(own.join(groups.where("copies > 1").select("key_a", "key_b", "rep"), ["key_a", "key_b"], "left")
+                  .select("id", F.coalesce("rep", "id").alias("rep"), "key_a", "key_b"), "classes")
+    member = cut(described.join(classes.where("id = rep").select("id", "key_a", "key_b"), ["id", "key_a", "key_b"], "left_semi")
+                 .dropDuplicates(["id"]).select("id", "n_shingles", "sketch", "small"), "member")
     known = plain.where(F.col("id").isNotNull())
-    described = cut(plain.mapInArrow(functools.partial(_describe, n), "id long, n_shingles long, key_a long, key_b long"), "sets")
-    own = described.where("id is not null").groupBy("id").agg(F.min(F.struct("key_a", "key_b", "n_shingles")).alias("s")).select("id", "s.*")
-    own = own.where("n_shingles > 0")
-    first = own.groupBy("key_a", "key_b").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    several = first.where("copies > 1").select("key_a", "key_b", "rep")
-    # Copies inside a task are signed once; the others meet in the buckets and are mapped to their class here.
-    classes = cut(own.join(several, ["key_a", "key_b"], "left")
-                  .select("id", F.coalesce("rep", "id").alias("rep"), "n_shingles", "key_a", "key_b"), "classes")
 
+    # Copies inside a task are signed once; those of several tasks meet in the buckets and are mapped to their class there.
     signed = known.mapInArrow(functools.partial(_signed, n, percent), "sig long, id long")
     bucket = Window.partitionBy("sig")
-    live = cut(signed.withColumn("low", F.min("id").over(bucket)).withColumn("high", F.max("id").over(bucket))
-               .where("low != high").select("sig", "id"), "live")
-    live = cut(live.join(classes.select("id", "rep"), "id").select("sig", F.col("rep").alias("id")).distinct()
-               .withColumn("low", F.min("id").over(bucket)).withColumn("high", F.max("id").over(bucket))
-               .where("low != high").select("sig", "id"), "live")
-
-    wanted = cut(live.select("id").distinct().join(classes.select("id", "n_shingles", "key_a", "key_b"), "id"), "wanted")
-    sets = known.join(wanted.select("id"), "id", "left_semi").mapInArrow(
-        functools.partial(_featured, n), "id long, sketch array<bigint>, features array<bigint>")
-    sets = cut(sets.dropDuplicates(["id"]).join(wanted.select("id", "n_shingles"), "id"), "features")
+    spans = lambda rows: (rows.withColumn("low", F.min("id").over(bucket)).withColumn("high", F.max("id").over(bucket))
+                          .where("low != high").select("sig", "id"))
+    live = cut(spans(signed), "signed")
+    live = cut(spans(live.join(classes.select("id", "rep"), "id").select("sig", F.col("rep").alias("id")).distinct()), "live")
 
     orders = [F.xxhash64("id", F.lit(seed)) for seed in (1, 2)]
     leaders = live.groupBy("sig").agg(*[F.min(F.struct(o.alias("o"), "id"))["id"].alias(f"lead{i}") for i, o in enumerate(orders)])
-    led = live.join(leaders, "sig")
-    pairs = None
-    for i in range(len(orders)):
-        some = led.select(F.least("id", f"lead{i}").alias("a"), F.greatest("id", f"lead{i}").alias("b"))
-        pairs = some if pairs is None else pairs.unionByName(some)
-    links = cut(_linked(pairs.where("a != b").distinct(), sets, percent), "links")
+    led = live.join(leaders, "sig").select("id", F.explode(F.array("lead0", "lead1")).alias("lead")).where("id != lead").distinct()
+    links = _linked(led.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct(), member, known, n, percent)
 
     found = graph.components(links)
-    member = sets.select("id", "n_shingles", "sketch").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    placed = member.select("id", "n_shingles", "small").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     # Buckets that still span components: all their pairs across components, block by block.
-    open_rows = live.join(member.select("id", "component"), "id")
+    open_rows = live.join(placed.select("id", "component"), "id")
     spread = open_rows.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"))
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     rows = (open_rows.join(spread.where("low != high").select("sig", blocks.alias("blocks")), "sig")
             .withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("sig", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "id")
-            .join(member, "id"))
+            .join(placed, "id"))
     crossing = (rows.repartition("sig", "left", "right").sortWithinPartitions("sig", "left", "right")
-                .mapInArrow(functools.partial(_crossing, percent), "a long, b long").distinct())
-    more = cut(_linked(crossing, sets, percent), "links")
+                .mapInArrow(functools.partial(_crossing, percent), "a long, b long").distinct()
+                .join(led.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")), ["a", "b"], "left_anti"))
+    more = _linked(crossing, member, known, n, percent)
     final = graph.components(links.unionByName(more))
 
     by_class = classes.join(final.withColumnRenamed("id", "rep"), "rep", "left").select(
         "id", F.coalesce("component", "rep").alias("component"))
     return (described.select("id", "n_shingles").join(by_class, "id", "left")
-            .select(F.col("id").alias(id_col), "n_shingles",
-                    F.coalesce("component", "id").alias("component_id")))
+            .select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id")))
