@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wayfleet.llm import decontaminate as decontamination
-from wayfleet.llm import mixing, ngram_join, sharding
+from wayfleet.llm import language, mixing, ngram_join, sharding
 from wayfleet.llm.ship import ship
 
 
@@ -45,6 +46,24 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN hit USING (rid) LEFT JOIN met USING (rid)
 """
 
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_pages(spark, _table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"))
+
+
+#: Wanted shares of tokens.
+TARGETS = {
+    "source": {f"src{i}": 0.05 for i in range(20)},
+    "lang": {"en": 0.58, "de": 0.16, "fr": 0.15, "es": 0.11},
+    "topic": {"prose": 0.92, "records": 0.02, "table": 0.02, "symbols": 0.02, "shouting": 0.02},
+}
+
+
+def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", mixing.tokens(F.col("text")).alias("tokens"),
+                                                     mixing.register(F.col("text")).alias("topic"))
+    return mixing.mix(docs, TARGETS).select("doc_id", "source", "lang", "topic", "tokens", "weight", "probability", "kept")
+
+
 SHARDS = 40
 
 
@@ -82,6 +101,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": ngram_jaccard,
     "op5_rendezvous_shards": rendezvous_shards,
     "op8_decontaminate": decontaminate,
+    "op9_language_id": language_id,
+    "op10_mixed_sources": mixed_sources,
 }
 ORACLES: dict[str, str] = {
     "op5_rendezvous_shards": RENDEZVOUS_SQL,
