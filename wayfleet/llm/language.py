@@ -127,8 +127,8 @@ def _normal(weights: list[Column]) -> list[Column]:
     return [w / total for w in weights]
 
 
-def fuse(scored: DataFrame, languages: tuple[str, ...] = LANGUAGES, least: float = 0.5) -> DataFrame:
-    """``scored`` with language, confidence and accepted in place of the _ev_* columns.
+def fuse(scored: DataFrame, languages: tuple[str, ...] = LANGUAGES, least: float = 0.5, prefix: str = "") -> DataFrame:
+    """``scored`` with language, confidence and accepted (names after ``prefix``) in place of the _ev_* columns.
 
     ``scored`` is read twice, for the grouped sums and for the result.
     """
@@ -170,8 +170,8 @@ def fuse(scored: DataFrame, languages: tuple[str, ...] = LANGUAGES, least: float
     top = F.greatest(*fused)
     shares = sum([F.exp(x - top) for x in fused[1:]], F.exp(fused[0] - top))
     name = F.coalesce(*[F.when(x == top, F.lit(c)) for x, c in zip(fused, classes, strict=True)])
-    out = joined.withColumns({"language": name, "confidence": F.round(1 / shares, 6)})
-    out = out.withColumn("accepted", (F.col("language") != UNKNOWN) & (F.col("confidence") >= least) & (F.col("_ev_says") > 0))
+    out = joined.withColumns({f"{prefix}language": name, f"{prefix}confidence": F.round(1 / shares, 6)})
+    out = out.withColumn(f"{prefix}accepted", (F.col(f"{prefix}language") != UNKNOWN) & (F.col(f"{prefix}confidence") >= least) & (F.col("_ev_says") > 0))
     return out.drop(*[c for c in out.columns if c.startswith("_ev_")])
 
 
@@ -197,8 +197,8 @@ def identify_pages(spark: SparkSession, pages: DataFrame, training: DataFrame) -
     return fuse(scored).select("page_id", "host", "declared", "language", "confidence", "accepted")
 
 
-def identify_documents(docs: DataFrame, text_col: str = "text", declared_col: str = "lang", host_col: str = "source") -> DataFrame:
-    """``docs`` with language, confidence, accepted: the declared column stands for markup, the source for the host."""
+def identify_documents(docs: DataFrame, text_col: str = "text", declared_col: str = "lang", host_col: str = "source", prefix: str = "") -> DataFrame:
+    """``docs`` with language, confidence, accepted (names after ``prefix``): the declared column stands for markup, the source for the host."""
     none = F.lit(None).cast("string")
     model = train(docs, text_col, declared_col)
-    return fuse(score_texts(docs, model, F.col(text_col), F.col(declared_col), none, F.col(host_col), F.lit("sources")))
+    return fuse(score_texts(docs, model, F.col(text_col), F.col(declared_col), none, F.col(host_col), F.lit("sources")), prefix=prefix)

@@ -65,8 +65,8 @@ def rake(totals: np.ndarray, margins: list[np.ndarray], rounds: int = 200, toler
 
 
 def mix(docs: DataFrame, targets: dict[str, dict[str, float]], key_col: str = "doc_id", weight_col: str = "tokens",
-        salt: str = "mix", keep: str | float = "most") -> DataFrame:
-    """``docs`` with cell, calibrated weight, probability and kept.
+        salt: str = "mix", keep: str | float = "most", prefix: str = "") -> DataFrame:
+    """``docs`` with cell, calibrated weight, probability and kept (the last three named after ``prefix``).
 
     ``targets`` gives each dimension column the wanted share of tokens by value.
     ``keep``: "most" scales the largest probability to 1; a number is the
@@ -96,7 +96,7 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]], key_col: str = "d
             low, high = (scale, high) if (np.minimum(1, ratio * scale) * totals).sum() < float(keep) * totals.sum() else (low, scale)
     table = [(*[values[d][i] for d, i in zip(dims, at, strict=True)], round(float(ratio[at]), 9), round(min(1.0, float(ratio[at] * scale)), 9))
              for at in np.ndindex(*totals.shape)]
-    schema = ", ".join(f"cell_{d} string" for d in dims) + ", weight double, probability double"
+    schema = ", ".join(f"cell_{d} string" for d in dims) + f", {prefix}weight double, {prefix}probability double"
     cells = docs.sparkSession.createDataFrame(table, schema)
     return (labelled.join(F.broadcast(cells), [f"cell_{d}" for d in dims])  # bounded by the targets
-            .withColumn("kept", uniform(F.col(key_col), salt) < F.col("probability")))
+            .withColumn(f"{prefix}kept", uniform(F.col(key_col), salt) < F.col(f"{prefix}probability")))
