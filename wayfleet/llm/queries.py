@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfleet.llm import decontaminate as decontamination
-from wayfleet.llm import language, mixing, ngram_join, sharding
+from wayfleet.llm import language, mixing, ngram_join, quality, sharding, toxicity
 from wayfleet.llm.ship import ship
 
 
@@ -64,6 +64,14 @@ def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, TARGETS).select("doc_id", "source", "lang", "topic", "tokens", "weight", "probability", "kept")
 
 
+def quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 SHARDS = 40
 
 
@@ -99,7 +107,9 @@ FROM g
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": ngram_jaccard,
+    "op3_quality_discriminant": quality_discriminant,
     "op5_rendezvous_shards": rendezvous_shards,
+    "op6_weak_toxicity": weak_toxicity,
     "op8_decontaminate": decontaminate,
     "op9_language_id": language_id,
     "op10_mixed_sources": mixed_sources,

@@ -67,16 +67,21 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)), offsets
 
 
-def words(data: np.ndarray, separators: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
-    """First byte and end of each word of one piece of bytes."""
+def words(data: np.ndarray, edges: np.ndarray, separators: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of each word of a run of texts; ``edges`` has the first byte of each text and the end."""
     inside = np.zeros(len(data) + 2, np.int8)
     inside[1:-1] = ~separators[data]
     edge = np.diff(inside)
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    starts, stops = edge == 1, edge == -1
+    borders = edges[(edges > 0) & (edges < len(data))]
+    cut = borders[(inside[borders] == 1) & (inside[borders + 1] == 1)]  # a word ends where a text ends
+    starts[cut] = True
+    stops[cut] = True
+    return np.flatnonzero(starts), np.flatnonzero(stops)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each word [start, end) with A-Z lower-cased."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, letters: np.ndarray = LOWER) -> np.ndarray:
+    """64-bit hash of each word [start, end), its bytes taken through ``letters`` (A-Z lower-cased)."""
     out = np.empty(len(starts), np.uint64)
     first = 0
     while first < len(starts):
@@ -85,7 +90,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         low, high = int(starts[first]), int(ends[last - 1])
         up, down = _TABLES.upto(high - low + 1)
         sums = np.zeros(high - low + 1, np.uint64)
-        np.cumsum((LOWER[data[low:high]].astype(np.uint64) + np.uint64(1)) * up[: high - low], out=sums[1:])
+        np.cumsum((letters[data[low:high]].astype(np.uint64) + np.uint64(1)) * up[: high - low], out=sums[1:])
         s, e = starts[first:last] - low, ends[first:last] - low
         out[first:last] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
         first = last
@@ -102,17 +107,9 @@ def documents(column: pa.Array, separators: np.ndarray = SPACE, limit: int = 4 *
         end = min(end, rows)
         low, high = int(at[row]), int(at[end])
         piece = data[low:high]
-        inside = np.zeros(len(piece) + 2, np.int8)
-        inside[1:-1] = ~separators[piece]
-        edge = np.diff(inside)
-        starts, stops = edge == 1, edge == -1
-        borders = at[row + 1:end] - low
-        borders = borders[(borders > 0) & (borders < len(piece))]
-        cut = borders[(inside[borders] == 1) & (inside[borders + 1] == 1)]  # a word ends where a text ends
-        starts[cut] = True
-        stops[cut] = True
-        s, e = np.flatnonzero(starts), np.flatnonzero(stops)
-        yield row, end, word_hashes(piece, s, e), np.searchsorted(s, at[row:end + 1] - low)
+        edges = at[row:end + 1] - low
+        s, e = words(piece, edges, separators)
+        yield row, end, word_hashes(piece, s, e), np.searchsorted(s, edges)
         row = end
 
 
