@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfleet.llm import decontaminate as decontamination
-from wayfleet.llm import language, mixing, ngram_join, quality, sharding, toxicity
+from wayfleet.llm import conversations, language, mixing, ngram_join, quality, sharding, topk, toxicity
 from wayfleet.llm.ship import ship
 
 
@@ -72,6 +72,39 @@ def weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.collapse_and_render(_table(spark, sf_dir, "conversations"))
+
+
+CHAT_SQL = f"""
+WITH c AS (SELECT conv_id, coalesce(role, 'user') AS role, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'user'), coalesce(text, '')) AS p
+           FROM conversations WHERE conv_id IS NOT NULL),
+w AS (SELECT conv_id, list(role || chr(10) || text ORDER BY p) AS turns FROM c GROUP BY conv_id),
+k AS (SELECT turns, min(conv_id) AS conv_id, count(*) AS n_copies FROM w GROUP BY turns),
+pre AS (SELECT DISTINCT list_slice(turns, 1, n) AS turns FROM (SELECT turns, unnest(range(1, len(turns))) AS n FROM k)),
+kept AS (SELECT k.* FROM k LEFT JOIN pre ON k.turns = pre.turns WHERE pre.turns IS NULL)
+SELECT conv_id, CAST(len(turns) AS BIGINT) AS n_turns, n_copies,
+       array_to_string(list_transform(turns, lambda t: '{conversations.OPEN}' || t || '{conversations.CLOSE}'), chr(10)) AS chat
+FROM kept
+"""
+
+
+def top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
+TOP_SQL = """
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT q.rid, q.vec_id AS query_id, c.vec_id, c.rid AS other,
+             coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])), 0) AS score
+      FROM v q JOIN v c ON q.rid <> c.rid AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id, other) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM r WHERE rank <= 5
+"""
+
 SHARDS = 40
 
 
@@ -106,15 +139,19 @@ FROM g
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_snapshots": chat_snapshots,
     "op2_ngram_jaccard": ngram_jaccard,
     "op3_quality_discriminant": quality_discriminant,
     "op5_rendezvous_shards": rendezvous_shards,
     "op6_weak_toxicity": weak_toxicity,
+    "op7_top_products": top_products,
     "op8_decontaminate": decontaminate,
     "op9_language_id": language_id,
     "op10_mixed_sources": mixed_sources,
 }
 ORACLES: dict[str, str] = {
+    "op1_chat_snapshots": CHAT_SQL,
     "op5_rendezvous_shards": RENDEZVOUS_SQL,
+    "op7_top_products": TOP_SQL,
     "op8_decontaminate": DECONTAMINATE_SQL,
 }
