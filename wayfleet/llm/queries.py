@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfleet.llm import decontaminate as decontamination
-from wayfleet.llm import conversations, language, mixing, ngram_join, quality, sharding, topk, toxicity
+from wayfleet.llm import conversations, kneser_ney, language, mixing, ngram_join, quality, sharding, topk, toxicity
 from wayfleet.llm.ship import ship
 
 
@@ -105,6 +105,10 @@ r AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id,
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM r WHERE rank <= 5
 """
 
+def kneser_ney_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.score_held_out(_table(spark, sf_dir, "documents"))
+
+
 SHARDS = 40
 
 
@@ -142,6 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_snapshots": chat_snapshots,
     "op2_ngram_jaccard": ngram_jaccard,
     "op3_quality_discriminant": quality_discriminant,
+    "op4_kneser_ney": kneser_ney_scores,
     "op5_rendezvous_shards": rendezvous_shards,
     "op6_weak_toxicity": weak_toxicity,
     "op7_top_products": top_products,
