@@ -11,8 +11,10 @@ least one. A signature over no feature at all would be shared by strangers, so
 ranges that have such a signature emits them; no link is lost.
 
 Candidates are checked exactly on the feature sets. First every bucket of a
-signature is checked against two leaders; the rest of the pairs is checked only
-where a bucket still spans several components, in blocks. So a group of
+signature is checked against two leaders, then, where a bucket still spans
+several components, each member against those nearest by sketch; the rest of
+the pairs is checked only where a bucket spans several components even then, in
+blocks. So a group of
 thousands of near copies costs links to its leaders, not all its pairs.
 
 Defined results: null or empty texts (or texts without words) have no features
@@ -40,6 +42,8 @@ from wayfleet.session import cut
 _GROWTH = 1.3          # ratio of neighbouring size windows
 _SKETCH_WORDS = 16     # 64-bit words of the parity sketch
 BLOCK = 512            # members of a bucket compared at a time
+NEAREST = 3            # partners a member of a large block is checked with before all others
+_SMALL = 8             # members of a block whose pairs are made all at once
 
 
 def farthest(size_a: int, size_b: int, percent: int) -> int:
@@ -184,51 +188,67 @@ def _featured(n: int, batches):
                 rows, found, held = [], [], 0
 
 
-def _runs(batches, keys: list[str]):
-    """Runs of equal keys of sorted batches, as tables; a run that spans batches is put together."""
-    held: list[pa.RecordBatch] = []
+def _whole_runs(batches, keys: list[str]):
+    """Sorted batches cut where a run of equal keys ends, so that no run is in two tables."""
+    held = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        cols = [batch.column(k).to_numpy() for k in keys]
-        new = np.zeros(batch.num_rows, bool)
-        for c in cols:
-            new[1:] |= c[1:] != c[:-1]
-        cuts = np.flatnonzero(new)
-        if held and any(held[-1].column(k)[-1].as_py() != batch.column(k)[0].as_py() for k in keys):
-            yield pa.Table.from_batches(held)
-            held = []
-        start = 0
-        for c in cuts:
-            held.append(batch.slice(start, c - start))
-            yield pa.Table.from_batches(held)
-            held, start = [], c
-        held.append(batch.slice(start))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def _crossing(percent: int, batches):
-    """Pairs of a bucket's blocks in different components that sizes and sketches cannot rule out."""
-    for run in _runs(batches, ["sig", "left", "right"]):
-        if run.num_rows < 2:
-            continue
-        ids, sizes, comps = (run.column(c).to_numpy() for c in ("id", "n_shingles", "component"))
-        own = run.column("block").to_numpy()
-        left, right = run.column("left")[0].as_py(), run.column("right")[0].as_py()
-        sketches = run.column("small").combine_chunks().flatten().to_numpy().reshape(len(ids), -1).view(np.uint64)
-        a = np.flatnonzero(own == left)
-        b = a if left == right else np.flatnonzero(own == right)
-        pairs_a, pairs_b = [], []
-        for x in a:
-            y = b[(comps[b] != comps[x]) & (ids[b] > ids[x])] if left == right else b[comps[b] != comps[x]]
-            big, small = np.maximum(sizes[y], sizes[x]), np.minimum(sizes[y], sizes[x])
-            y = y[100 * small >= percent * big]
-            apart = np.bitwise_count(sketches[y] ^ sketches[x]).sum(axis=1)
-            y = y[apart * (100 + percent) <= (100 - percent) * (sizes[y] + sizes[x])]
-            pairs_a.append(np.minimum(ids[y], ids[x]))
-            pairs_b.append(np.maximum(ids[y], ids[x]))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(pairs_a)), pa.array(np.concatenate(pairs_b))], ["a", "b"])
+        table = pa.Table.from_batches([batch])
+        if held is not None:
+            table = pa.concat_tables([held, table]).combine_chunks()
+        last = np.ones(table.num_rows, bool)
+        for k in keys:
+            column = table.column(k).to_numpy()
+            last &= column == column[-1]
+        start = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
+        if start:
+            yield table.slice(0, start)
+        held = table.slice(start)
+    if held is not None:
+        yield held
+
+
+def _crossing(percent: int, nearest: int | None, batches):
+    """Pairs of a bucket's blocks in different components that sizes and sketches cannot rule out.
+
+    Of a large block only the ``nearest`` by sketch for each member, if given.
+    """
+    keys = ["sig", "left", "right"]
+    for table in _whole_runs(batches, keys):
+        ids, sizes, comps, own, left, right = (table.column(c).to_numpy() for c in ("id", "n_shingles", "component", "block", "left", "right"))
+        sketches = table.column("small").combine_chunks().flatten().to_numpy().reshape(len(ids), -1).view(np.uint64)
+        new = np.ones(len(ids), bool)
+        new[1:] = np.any([table.column(k).to_numpy()[1:] != table.column(k).to_numpy()[:-1] for k in keys], axis=0)
+        run, starts = np.cumsum(new) - 1, np.flatnonzero(new)
+        lengths = np.diff(np.append(starts, len(ids)))
+        found = []
+
+        def open_pairs(x, y):
+            ok = (comps[x] != comps[y]) & ((left[x] == right[x]) | (own[x] != own[y]))
+            x, y = x[ok], y[ok]
+            ok = 100 * np.minimum(sizes[x], sizes[y]) >= percent * np.maximum(sizes[x], sizes[y])
+            x, y = x[ok], y[ok]
+            apart = np.bitwise_count(sketches[x] ^ sketches[y]).sum(axis=1, dtype=np.int64)
+            ok = apart * (100 + percent) <= (100 - percent) * (sizes[x] + sizes[y])
+            return x[ok], y[ok], apart[ok]
+
+        small = lengths[run] <= _SMALL
+        for d in range(1, _SMALL):
+            x = np.flatnonzero(small[:-d] & (run[:-d] == run[d:])) if d < len(ids) else np.zeros(0, np.int64)
+            found.append(open_pairs(x, x + d)[:2])
+        for r in np.flatnonzero(lengths > _SMALL):
+            rows = np.arange(starts[r], starts[r] + lengths[r])
+            for x in rows:
+                _, y, apart = open_pairs(np.full(len(rows), x), rows)
+                if nearest:
+                    y = y[np.lexsort((ids[y], apart))[:nearest]]
+                else:
+                    y = y[y > x]
+                found.append((np.full(len(y), x), y))
+        x, y = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in (0, 1))
+        low, high = np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])
+        yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
 
 
 def _near(pairs: DataFrame, member: DataFrame, percent: int) -> DataFrame:
@@ -258,6 +278,21 @@ def _linked(pairs: DataFrame, member: DataFrame, known: DataFrame, n: int, perce
     return cut(near.join(side("b"), "b").join(side("a"), "a").where(100 * shared >= percent * (total - shared)).select("a", "b"), "links")
 
 
+def _open_pairs(live: DataFrame, member: DataFrame, found: DataFrame, percent: int, nearest: int | None) -> DataFrame:
+    """Distinct pairs (a, b) of the buckets that still span components, block by block."""
+    placed = member.select("id", "n_shingles", "small").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    rows = live.join(placed.select("id", "component"), "id")
+    spread = rows.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"))
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    rows = (rows.join(spread.where("low != high").select("sig", blocks.alias("blocks")), "sig")
+            .withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("sig", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "id")
+            .join(placed, "id"))
+    return (rows.repartition("sig", "left", "right").sortWithinPartitions("sig", "left", "right")
+            .mapInArrow(functools.partial(_crossing, percent, nearest), "a long, b long").distinct())
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4,
                        percent: int = 85) -> DataFrame:
     """(id_col, n_shingles, component_id) of every row; see the module for the method and edge cases."""
@@ -283,25 +318,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     orders = [F.xxhash64("id", F.lit(seed)) for seed in (1, 2)]
     leaders = live.groupBy("sig").agg(*[F.min(F.struct(o.alias("o"), "id"))["id"].alias(f"lead{i}") for i, o in enumerate(orders)])
-    led = live.join(leaders, "sig").select("id", F.explode(F.array("lead0", "lead1")).alias("lead")).where("id != lead").distinct()
-    links = _linked(led.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct(), member, known, n, percent)
-
-    found = graph.components(links)
-    placed = member.select("id", "n_shingles", "small").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    # Buckets that still span components: all their pairs across components, block by block.
-    open_rows = live.join(placed.select("id", "component"), "id")
-    spread = open_rows.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"))
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    rows = (open_rows.join(spread.where("low != high").select("sig", blocks.alias("blocks")), "sig")
-            .withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("sig", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "id")
-            .join(placed, "id"))
-    crossing = (rows.repartition("sig", "left", "right").sortWithinPartitions("sig", "left", "right")
-                .mapInArrow(functools.partial(_crossing, percent), "a long, b long").distinct()
-                .join(led.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")), ["a", "b"], "left_anti"))
-    more = _linked(crossing, member, known, n, percent)
-    final = graph.components(links.unionByName(more))
+    led = live.join(leaders, "sig").select("id", F.explode(F.array("lead0", "lead1")).alias("lead")).where("id != lead")
+    tested = cut(led.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct(), "led")
+    links = _linked(tested, member, known, n, percent)
+    for nearest in (NEAREST, None):
+        crossing = cut(_open_pairs(live, member, graph.components(links), percent, nearest).join(tested, ["a", "b"], "left_anti"), "crossing")
+        links = links.unionByName(_linked(crossing, member, known, n, percent))
+        tested = tested.unionByName(crossing)
+    final = graph.components(links)
 
     by_class = classes.join(final.withColumnRenamed("id", "rep"), "rep", "left").select(
         "id", F.coalesce("component", "rep").alias("component"))
