@@ -39,10 +39,11 @@ def benchmark_windows(benchmark: DataFrame, length: int, id_col: str = "item_id"
     items = benchmark.select(F.col(id_col).cast("string").alias("item"), words(F.col(text_col)).alias("w")).where("size(w) > 0")
     starts = F.sequence(F.lit(0), F.greatest(F.size("w") - length, F.lit(0)))
     rows = items.select("item", "w", F.explode(starts).alias("s")).select("item", F.slice("w", F.col("s") + 1, length).alias("w"))
-    # Windows are told apart by all their words: the id is a digest of the joined words.
-    rows = cut(rows.select(F.sha2(F.array_join("w", " "), 256).alias("window"), "item", "w"), "windows")
-    terms = rows.dropDuplicates(["window"]).select("window", F.size("w").alias("length"), F.posexplode("w").alias("offset", "word"))
-    return terms, rows.select("window", "item").distinct()
+    # Windows are told apart by all their words, and numbered to travel light.
+    rows = cut(rows.select(F.sha2(F.array_join("w", " "), 256).alias("digest"), "item", "w"), "windows")
+    kinds = cut(rows.dropDuplicates(["digest"]).select("digest", "w").withColumn("window", F.monotonically_increasing_id()), "windows")
+    terms = kinds.select("window", F.size("w").alias("length"), F.posexplode("w").alias("offset", "word"))
+    return terms, cut(rows.join(kinds.select("digest", "window"), "digest").select("window", "item").distinct(), "items")
 
 
 def positional_index(docs: DataFrame, vocabulary: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -55,7 +56,7 @@ def positional_index(docs: DataFrame, vocabulary: DataFrame, id_col: str = "doc_
     numbered = docs.select(F.monotonically_increasing_id().alias("d"), F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                            F.array_append(words(F.col(text_col)), F.lit(_END)).alias("w"))
     found = numbered.select("d", "doc_id", "text_hash", F.posexplode("w").alias("position", "word"))
-    ends = vocabulary.sparkSession.createDataFrame([(_END, -1)], "word string, term long")
+    ends = vocabulary.sparkSession.range(1).select(F.lit(_END).alias("word"), F.lit(-1).cast("long").alias("term"))   # of known size
     return cut(found.join(vocabulary.select("word", "term").unionByName(ends), "word")
                .select("d", "doc_id", "text_hash", "position", "term"), "postings")
 
