@@ -38,9 +38,7 @@ def streets(rng, n):
 
 @pytest.mark.parametrize("options", [
     {}, {"dense_mean": 4, "rows_per_shape": 64}, {"dense_mean": 4, "array_limit": 64}, {"dense_mean": 100_000, "array_limit": 50}])
-def test_same_as_comparing_every_pair(spark, options, monkeypatch):
-    if "array_limit" in options:
-        monkeypatch.setattr(nearest, "ARRAY_LIMIT", options["array_limit"])
+def test_same_as_comparing_every_pair(spark, options):
     rng = np.random.default_rng(5)
     segs = streets(rng, 700)
     inside = np.column_stack([21 + rng.random(300) * 0.05, 105.8 + rng.random(300) * 0.05])
@@ -56,8 +54,24 @@ def test_same_as_comparing_every_pair(spark, options, monkeypatch):
         assert abs(row.match_distance_m - d.min()) < 1e-6
 
 
-def test_equal_points_keep_their_number_without_a_key(spark, monkeypatch):
-    monkeypatch.setattr(nearest, "ARRAY_LIMIT", 20)
+def test_streams_match_like_batches_on_networks_beyond_one_array(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    index = matching.edge_index(network_of(spark, streets(rng, 5000)))
+    assert index.n_shapes > nearest.ARRAY_LIMIT and not index.in_one_row
+    points = [(i, float(21 + a * 0.06), float(105.8 + b * 0.06)) for i, (a, b) in enumerate(rng.random((60, 2)))]
+    points += [(100, 0.0, 0.0), (101, 50.0, 106.0), (102, None, 105.8)]
+    pings = spark.createDataFrame(points, "i int, latitude double, longitude double")
+    pings.write.parquet(str(tmp_path / "in"))
+    stream = matching.match_pings(spark.readStream.schema(pings.schema).parquet(str(tmp_path / "in")), index)
+    (stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c"))
+     .trigger(availableNow=True).start().awaitTermination())
+    key = lambda r: r.i
+    got = sorted(spark.read.parquet(str(tmp_path / "out")).select("i", "edge_id").collect(), key=key)
+    assert got == sorted(matching.match_pings(pings, index).select("i", "edge_id").collect(), key=key)
+    assert [r.edge_id == "UNKNOWN" for r in got][-3:] == [False, False, True]
+
+
+def test_equal_points_keep_their_number_without_a_key(spark):
     rng = np.random.default_rng(1)
     index = matching.edge_index(network_of(spark, streets(rng, 200)), dense_mean=1000, array_limit=20)
     assert index.parts > 1 and not index.in_one_row

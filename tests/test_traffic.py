@@ -138,22 +138,21 @@ def test_replayed_batch_changes_nothing_and_compaction_keeps_rows(spark, roads,
     assert tables.read_state(spark, path).collect() == before
 
 
-def test_large_networks_match_inside_the_batch(spark, roads, tmp_path, monkeypatch):
-    from wayfleet.operators import nearest
-    monkeypatch.setattr(nearest, "ARRAY_LIMIT", 1)
+def test_one_call_archives_and_publishes(spark, roads, tmp_path):
+    """A network beyond one array, in one call; the same as the batch operators."""
     index = matching.edge_index(roads, array_limit=1, dense_mean=1000)
     source = tmp_path / "in"
     source.mkdir()
-    feed(spark, source, "1", [ping("t1", 0, 10.0), ping("t2", 1, 10.0, 105.85), ping("t3", 1, 1.0, 0.0, lat=0.0)])
-    with pytest.raises(ValueError):
-        jobs.matched_stream(stream_of(spark, source), index)
-    out = str(tmp_path / "out")
-    jobs.start_match_archive(stream_of(spark, source), index, out, str(tmp_path / "c"), every=None).awaitTermination()
-    assert spark.read.parquet(out).groupBy("edge_id").count().count() == 2
-    speeds = jobs.speed_stream(jobs.archived_stream(spark, out))
-    query = speeds.writeStream.format("memory").queryName("speeds").outputMode("update").trigger(availableNow=True).start()
-    query.awaitTermination()
-    assert spark.table("speeds").count() > 0
+    rows = [ping("t1", 0, 10.0), ping("t2", 1, 10.0, 105.85), ping("t3", 1, 1.0, 0.0, lat=0.0), ping("t1", 40, 30.0)]
+    feed(spark, source, "1", rows)
+    for query in jobs.start_traffic(stream_of(spark, source), index, roads, str(tmp_path / "job"), every=None):
+        query.awaitTermination()
+    matched = matching.match_pings(traffic.clean_pings(spark.createDataFrame(rows, PING)), index)
+    want = traffic.archive_rows(matched).select("entity_id", "timestamp", "edge_id")
+    got = spark.read.parquet(str(tmp_path / "job" / "archive")).select("entity_id", "timestamp", "edge_id")
+    assert sorted(got.collect()) == sorted(want.collect()) and got.count() == 4
+    state = traffic.latest_edge_state(traffic.edge_state(matched, roads)).select("edge_id", "avg_speed", "vehicle_count", "last_updated")
+    assert sorted(tables.read_state(spark, str(tmp_path / "job" / "state")).select(*state.columns).collect()) == sorted(state.collect())
 
 
 def test_key_value_form(spark):

@@ -48,11 +48,12 @@ class NearestIndex:
     depths: list[int]           # level of each region, REGIONS * REGIONS entries
     parts: int                  # most parts any cell needed
     n_shapes: int
+    array_limit: int = ARRAY_LIMIT
 
     @property
     def in_one_row(self) -> bool:
         """True if every point, also beyond the box, is served by one candidate row."""
-        return self.parts <= 1 and self.n_shapes <= ARRAY_LIMIT
+        return self.parts <= 1 and self.n_shapes <= self.array_limit
 
 
 # ---- distance of a point to a shape -------------------------------------
@@ -218,10 +219,13 @@ def build_index(shapes: DataFrame, metric: str, dense_mean: int = DENSE_MEAN,
         split = (leaves.join(sized, ["level", "x", "y"])
                  .withColumn("parts", F.ceil(F.col("_n") / (array_limit / 2)).cast("int"))
                  .withColumn("part", F.pmod(F.hash("seq"), F.col("parts"))))
+        # A part may get no shape: count those that did, as a point meets only them.
+        filled = split.select("level", "x", "y", "part").distinct().groupBy("level", "x", "y").agg(F.count(F.lit(1)).cast("int").alias("parts"))
+        split = split.drop("parts").join(filled, ["level", "x", "y"])
     arrays = cut(split.groupBy("level", "x", "y", "parts", "part")
                  .agg(F.collect_list(F.struct(*distinct.columns)).alias("candidates")), "candidates")
     most = math.ceil(largest / (array_limit / 2)) if largest > array_limit else 1
-    return NearestIndex(arrays, distinct, metric, box, depths, int(most), int(n))
+    return NearestIndex(arrays, distinct, metric, box, depths, int(most), int(n), array_limit)
 
 
 # ---- looking up ---------------------------------------------------------
@@ -252,14 +256,45 @@ def _join_cells(points: DataFrame, index: NearestIndex, salts: int) -> DataFrame
     return points.join(cells, keys, "left").drop(*keys)
 
 
+def _whole_network(index: NearestIndex) -> tuple[DataFrame, int]:
+    """All shapes in arrays (_chunk, _candidates) of about the index's limit, and their number."""
+    chunks = math.ceil(index.n_shapes / index.array_limit)
+    return (index.shapes.withColumn("_chunk", F.pmod(F.hash("seq"), F.lit(chunks)))
+            .groupBy("_chunk").agg(F.collect_list(F.struct(*index.shapes.columns)).alias("_candidates"))), chunks
+
+
+def _best_by_parts(located: DataFrame, index: NearestIndex, lat: str, lon: str, out: str) -> DataFrame:
+    """Row by row for cells of several candidate rows: one join per row of a cell, then the least hit.
+
+    No state and no shuffle by point, so a stream can take it. The joins grow with the
+    network (one per ``array_limit`` shapes for points beyond the box); for very large
+    ones ``jobs.start_traffic`` matches inside the batch instead.
+    """
+    def joined(rows: DataFrame, side: DataFrame, keys: list[str], name: str) -> DataFrame:
+        best = _best_candidate(index.metric, F.col(lat), F.col(lon), F.col("_candidates"))
+        return rows.join(side, keys, "left").withColumn(name, best).drop("_candidates")
+
+    hits = []
+    for part in range(index.parts):
+        cells = index.cells.filter(F.col("part") == part).select(
+            F.col("level").alias("_level"), F.col("x").alias("_x"), F.col("y").alias("_y"), F.col("candidates").alias("_candidates"))
+        hits.append(f"_hit{part}")
+        located = joined(located, cells, ["_level", "_x", "_y"], hits[-1])
+    if index.n_shapes > index.array_limit:
+        arrays, chunks = _whole_network(index)
+        for chunk in range(chunks):
+            side = arrays.filter(F.col("_chunk") == chunk).select(F.lit(OUTSIDE).alias("_level"), "_candidates")
+            hits.append(f"_far{chunk}")
+            located = joined(located, side, ["_level"], hits[-1])
+    return located.withColumn(out, F.least(*hits) if len(hits) > 1 else F.col(hits[0]))
+
+
 def _outside_matches(points: DataFrame, index: NearestIndex, lat: str, lon: str) -> DataFrame:
     """Matches for points beyond the box when the network is too large for one array.
 
     Distinct positions only, so that repeated ones (such as 0, 0) cost one search.
     """
-    chunks = math.ceil(index.n_shapes / ARRAY_LIMIT)
-    arrays = (index.shapes.withColumn("_chunk", F.pmod(F.hash("seq"), F.lit(chunks)))
-              .groupBy("_chunk").agg(F.collect_list(F.struct(*index.shapes.columns)).alias("_candidates")))
+    arrays, chunks = _whole_network(index)
     far = (points.filter(F.col("_level") == OUTSIDE).select(lat, lon).distinct()
            .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))))
     best = _best_candidate(index.metric, F.col(lat), F.col(lon), F.col("_candidates"))
@@ -270,10 +305,8 @@ def attach_nearest(points: DataFrame, index: NearestIndex, lat: str = "latitude"
                    out: str = "nearest", salts: int = 1) -> DataFrame:
     """Add ``out`` = struct(rank, seq, id), null where a coordinate is missing or there are no shapes.
 
-    Row-wise (no shuffle by point) when ``index.in_one_row``; only then may ``points`` be a stream.
+    Row-wise (no shuffle by point) when ``index.in_one_row``, and for streams always.
     """
-    if points.isStreaming and not index.in_one_row:
-        raise ValueError("this network needs several candidate rows per point: match inside foreachBatch")
     original = points.columns
     located = points
     for name, expr in _cell_columns(index, lat, lon).items():
@@ -282,6 +315,8 @@ def attach_nearest(points: DataFrame, index: NearestIndex, lat: str = "latitude"
 
     if index.in_one_row:
         return _join_cells(located, index, salts).select(*original, best.alias(out))
+    if points.isStreaming:
+        return _best_by_parts(located, index, lat, lon, out).select(*original, out)
 
     keep_level = located.withColumn("_outside", F.col("_level") == OUTSIDE)
     joined = _join_cells(keep_level, index, salts).withColumn(out, best)
@@ -294,7 +329,7 @@ def attach_nearest(points: DataFrame, index: NearestIndex, lat: str = "latitude"
                   .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.expr("cast(_rows / _parts as int)"))))
                   .select(*original, "_outside", out))
         joined = joined.filter(~several).select(*original, "_outside", out).unionByName(merged)
-    if index.n_shapes > ARRAY_LIMIT:
+    if index.n_shapes > index.array_limit:
         far = _outside_matches(located, index, lat, lon)
         joined = (joined.join(far, [lat, lon], "left")
                   .withColumn(out, F.when(F.col("_outside"), F.col("_far")).otherwise(F.col(out))))

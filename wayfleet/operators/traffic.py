@@ -53,8 +53,8 @@ def _newest(names: tuple[str, ...], order: list[str]) -> list[Column]:
 
 def latest_positions(pings: DataFrame, kinds: tuple[str, ...] = ("Truck",),
                      tiebreak: str | None = None) -> DataFrame:
-    """Newest position per vehicle."""
-    order = ["timestamp", tiebreak] if tiebreak else ["timestamp"]
+    """Newest position per vehicle; of equally new ones that of ``tiebreak``, or the greatest."""
+    order = ["timestamp", tiebreak] if tiebreak else ["timestamp", "latitude", "longitude", "speed"]
     rows = keep_entities(pings, kinds)
     newest = rows.groupBy("entity_id").agg(*_newest(("latitude", "longitude", "speed"), order))
     return newest.select(F.col("entity_id").alias("id"), F.col("latitude").alias("lat"),
@@ -62,10 +62,10 @@ def latest_positions(pings: DataFrame, kinds: tuple[str, ...] = ("Truck",),
 
 
 def conflate_positions(pings: DataFrame, every: str = "1 second", kinds: tuple[str, ...] = ("Truck",)) -> DataFrame:
-    """Per tick, the newest position of every vehicle that moved in it.  Batch or stream."""
+    """Per tick, the newest position of every vehicle that moved in it; of equally new ones the greatest.  Batch or stream."""
     return (keep_entities(pings, kinds)
             .groupBy(F.window("event_time", every).alias("_tick"), "entity_id")
-            .agg(*_newest(("latitude", "longitude", "speed"), ["timestamp"]))
+            .agg(*_newest(("latitude", "longitude", "speed"), ["timestamp", "latitude", "longitude", "speed"]))
             .select(F.col("_tick.end").alias("tick"), F.col("entity_id").alias("id"),
                     F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), "speed"))
 

@@ -57,6 +57,30 @@ def start_match_archive(pings: DataFrame, index: NearestIndex, path: str, checkp
     return _triggered(writer, every).start()
 
 
+def start_traffic(pings: DataFrame, index: NearestIndex, edges: DataFrame, folder: str,
+                  every: str | None = "3 seconds", delay: str = S.WATERMARK_DELAY) -> list[StreamingQuery]:
+    """The whole job over decoded pings of a topic or of files: match once, archive, then publish edge state.
+
+    Pings are matched inside each batch, so the network may be of any size; the
+    state query reads the archive that the first one writes. With ``every`` None both
+    run to the end of what is there.
+    """
+    archive = f"{folder}/archive"
+    matching = start_match_archive(pings, index, archive, f"{folder}/archive-progress", every)
+    if every is None:
+        matching.awaitTermination()
+    else:
+        _made(pings.sparkSession, archive)
+    matched = archived_stream(pings.sparkSession, archive)
+    return [matching, start_edge_state(matched, edges, f"{folder}/state", f"{folder}/state-progress", every, delay)]
+
+
+def _made(spark, folder: str) -> None:
+    """The folder, empty if nothing has written to it yet."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+
+
 def archived_stream(spark, path: str) -> DataFrame:
     """Stream over an archive written by ``start_match_archive``."""
     schema = ("entity_id string, entity_type string, latitude double, longitude double, speed double, "
