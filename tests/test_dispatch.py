@@ -103,6 +103,20 @@ def test_exact_order_of_twelve_and_none(spark):
     assert got["v1"].order == [] and got["v1"].fitness == 0.0
 
 
+def test_thirteen_stops_are_ordered_and_twenty_are_refused_or_searched(spark):
+    groups = [[(21 + (i * 5 % 13) / 1000, 105.8) for i in range(13)], random_groups([5])[0]]
+    got = {r.vehicle_id: r for r in dispatch.exact_order(facts_of(spark, groups)).collect()}
+    lats = [c.latitude for c in got["v0"].order]
+    assert len(got) == 2 and lats in (sorted(lats), sorted(lats, reverse=True))
+    large = facts_of(spark, random_groups([20, 3]))
+    with pytest.raises(ValueError, match="20 stops"):
+        dispatch.exact_order(large)
+    assert dispatch.stop_pair_costs(large).count() == 20 * 19 + 3 * 2
+    cfg = dispatch.CycleConfig(now_ms=0, search=genetic.SearchConfig(population=10, generations=5))
+    found = {r.vehicle_id: (len(r.order), r.algorithm) for r in dispatch.best_orders(large, cfg).collect()}
+    assert found == {"v0": (20, "genetic"), "v1": (3, "genetic")}
+
+
 def test_fitness(spark):
     facts = facts_of(spark, random_groups([4]))
     stops = facts.first().stops

@@ -29,6 +29,16 @@ def test_map_file_to_edges(spark, tmp_path):
     assert kept.road_name == "Đường không tên"                       # last definition wins
 
 
+def test_long_ways_number_every_edge_once(spark):
+    n = 3000
+    nodes = spark.createDataFrame([(str(i), 21 + i / 1e5, 105.8) for i in range(n)], "node_id string, lat double, lon double")
+    ways = spark.createDataFrame([(7, [str(i) for i in range(n)], "primary", "no", "long", 40.0), (8, ["0", "2"], "primary", "no", "next", 40.0)],
+                                 "way_id long, refs array<string>, highway string, oneway string, road_name string, max_speed_kmh double")
+    edges = network.segment_ways(ways, nodes)
+    assert edges.count() == edges.select("edge_seq").distinct().count() == 2 * (n - 1) + 2
+    assert edges.filter("road_name = 'long'").agg({"edge_seq": "max"}).first()[0] < edges.filter("road_name = 'next'").agg({"edge_seq": "min"}).first()[0]
+
+
 def test_clip_job_keeps_the_source(spark, make_edges, tmp_path):
     edges = make_edges([edge_row(0, "a", "b", AT), edge_row(2, "b", "d", AT)])
     full = str(tmp_path / "full")

@@ -16,7 +16,7 @@ from wayfleet.operators.nearest import NearestIndex
 from wayfleet.operators.network import with_position
 from wayfleet.session import cut
 
-EXACT_STOPS = 12
+EXACT_STOPS = 15
 ROUTE_SPAN = 6
 STRIDE = 13
 EMPTY_ROUTE = "array<string>"
@@ -199,13 +199,9 @@ def leg_hours(a, b, speed) -> Column:
     return geo.haversine_km(a["latitude"], a["longitude"], b["latitude"], b["longitude"]) / speed
 
 
-def stop_pair_costs(facts: DataFrame, max_stops: int = EXACT_STOPS) -> DataFrame:
-    """(vehicle_id, from_idx, to_idx, hours) for the vehicles an exact order is worked out for.
-
-    Larger vehicles never get a pair table; the genetic order prices legs as it goes.
-    """
-    small = facts.filter(F.size("stops") <= max_stops)
-    a = small.select("vehicle_id", "speed_kmh", "stops", F.posexplode("stops").alias("from_idx", "a"))
+def stop_pair_costs(facts: DataFrame) -> DataFrame:
+    """(vehicle_id, from_idx, to_idx, hours) of all pairs of a vehicle's stops."""
+    a = facts.select("vehicle_id", "speed_kmh", "stops", F.posexplode("stops").alias("from_idx", "a"))
     b = a.select("vehicle_id", "speed_kmh", "from_idx", "a", F.posexplode("stops").alias("to_idx", "b"))
     return b.filter("from_idx <> to_idx").select(
         "vehicle_id", "from_idx", "to_idx", leg_hours(F.col("a"), F.col("b"), F.col("speed_kmh")).alias("hours"))
@@ -233,23 +229,23 @@ def exact_order(facts: DataFrame, max_stops: int = EXACT_STOPS) -> DataFrame:
     """Best open order per vehicle, by dynamic programming over visited sets.
 
     Rows are (vehicle, visited set, last stop) with the cheapest cost, grown one
-    stop per level for all vehicles together.  At most ``max_stops`` stops, so a
-    vehicle has a bounded number of rows and an order fits a long, 4 bits a stop.
-    A route and its reverse cost the same: the one with the smaller code is kept.
+    stop per level for all vehicles together.  A vehicle of n stops needs n * 2^n
+    rows, so a table with a larger vehicle than ``max_stops`` is refused as a whole.
+    A route and its reverse cost the same: the one whose stops come first is kept.
     """
-    if max_stops > 15:
-        raise ValueError("an order of more than 15 stops does not fit its code")
     spark = facts.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    small = cut(facts.filter(F.size("stops").between(1, max_stops)).withColumn("n", F.size("stops"))
+    small = cut(facts.filter(F.size("stops") >= 1).withColumn("n", F.size("stops"))
                 .repartition(tasks, "vehicle_id"), "facts")
     longest = small.agg(F.max("n")).first()[0] or 0
+    if longest > max_stops:
+        raise ValueError(f"a vehicle has {longest} stops; an exact order is worked out for {max_stops} at most: use the genetic search")
     stops = small.select("vehicle_id", "n", "speed_kmh", F.posexplode("stops").alias("idx", "at"))
     # Every level groups and joins by vehicle first, so one partitioning serves them all.
     stops = stops.repartition(tasks, "vehicle_id")
     state = stops.select("vehicle_id", F.shiftleft(F.lit(1), 0).alias("mask"), "idx", "n", "at").select(
         "vehicle_id", "n", F.expr("cast(shiftleft(1, idx) as int)").alias("mask"), F.col("idx").alias("last"),
-        F.col("at").alias("last_at"), F.lit(0.0).alias("cost"), F.col("idx").cast("long").alias("code"))
+        F.col("at").alias("last_at"), F.lit(0.0).alias("cost"), F.array("idx").alias("code"))
     options = stops.select(F.col("vehicle_id").alias("_v"), "idx", "at", "speed_kmh")
     for _ in range(1, longest):
         whole = F.expr("bit_count(mask) = n")
@@ -261,17 +257,15 @@ def exact_order(facts: DataFrame, max_stops: int = EXACT_STOPS) -> DataFrame:
         grown = grown.select(
             "vehicle_id", "n", F.expr("mask | cast(shiftleft(1, idx) as int)").alias("mask"),
             F.col("idx").alias("last"), "at", (F.col("cost") + step).alias("cost"),
-            F.when(whole, F.col("code")).otherwise(F.col("code") * 16 + F.col("idx")).alias("code"))
+            F.when(whole, F.col("code")).otherwise(F.array_append("code", F.col("idx"))).alias("code"))
         state = (grown.groupBy("vehicle_id", "n", "mask", "last")
                  .agg(F.min(F.struct("cost", "code", "at")).alias("b"))
                  .select("vehicle_id", "n", "mask", "last", F.col("b.at").alias("last_at"),
                          F.col("b.cost").alias("cost"), F.col("b.code").alias("code")))
     best = (state.groupBy("vehicle_id").agg(F.min(F.struct(F.round("cost", 9).alias("c"), F.col("code"), F.col("cost"))).alias("b"))
             .select("vehicle_id", F.col("b.cost").alias("hours"), F.col("b.code").alias("code")))
-    places = F.transform(F.sequence(F.col("n") - 1, F.lit(0)),
-                         lambda k: F.expr("cast(1 as bigint)") * F.floor(F.col("code") / F.pow(F.lit(16.0), k)).cast("long") % 16)
-    ordered = (small.join(best, "vehicle_id").withColumn("_idx", places)
-               .withColumn("order", F.transform("_idx", lambda i: F.get(F.col("stops"), i.cast("int")))))
+    ordered = (small.join(best, "vehicle_id")
+               .withColumn("order", F.transform("code", lambda i: F.get(F.col("stops"), i))))
     empty = facts.filter(F.size("stops") == 0).select(
         "vehicle_id", F.array().cast(EMPTY_STOPS).alias("order"), F.lit(0.0).alias("fitness"))
     return ordered.select("vehicle_id", "order", (F.col("start_cost") + F.col("hours") + F.col("penalty")).alias("fitness")).unionByName(empty)
@@ -283,18 +277,19 @@ class CycleConfig:
     now_ms: int
     force: bool = False
     slow_limit: float = S.REROUTE_AT_OR_BELOW_KMH
-    exact_stops: int = EXACT_STOPS
+    algorithm: str = "genetic"      # or "exact"; the same for all vehicles of a cycle
     search: genetic.SearchConfig = genetic.SearchConfig()
 
 
 def best_orders(facts: DataFrame, cfg: CycleConfig) -> DataFrame:
-    """(vehicle_id, order, fitness, generations, algorithm): exact where small, genetic beyond."""
-    exact = exact_order(facts, cfg.exact_stops).select(
-        "vehicle_id", "order", "fitness", F.lit(0).alias("generations"), F.lit("exact").alias("algorithm"))
-    large = facts.filter(F.size("stops") > cfg.exact_stops)
-    found = genetic.ga_optimize(large, cfg.search).select(
+    """(vehicle_id, order, fitness, generations, algorithm) by the algorithm asked for."""
+    if cfg.algorithm == "exact":
+        return exact_order(facts).select(
+            "vehicle_id", "order", "fitness", F.lit(0).alias("generations"), F.lit("exact").alias("algorithm"))
+    if cfg.algorithm != "genetic":
+        raise ValueError(f"unknown algorithm {cfg.algorithm}")
+    return genetic.ga_optimize(facts, cfg.search).select(
         "vehicle_id", "order", "fitness", "generations", F.lit("genetic").alias("algorithm"))
-    return exact.unionByName(found)
 
 
 def new_routes(vehicles: DataFrame, orders: DataFrame, costs: DataFrame, nodes: DataFrame, edges: DataFrame,
@@ -377,7 +372,10 @@ def result_changes(results: DataFrame) -> DataFrame:
         "vehicle_id", "new_assigned_route",
         F.col("estimated_total_travel_time_s").alias("estimated_total_travel_time"),
         "optimized_customer_order", F.lit("optimized").alias("route_status"),
-        F.col("timestamp").alias("last_optimized_at"))
+        F.col("timestamp").alias("last_optimized_at"),
+        F.struct("old_assigned_route", "new_assigned_route", "optimized_customer_order", "fitness",
+                 F.col("estimated_total_travel_time_s").alias("estimated_total_travel_time"),
+                 "generation_count", "algorithm").alias("optimization_result"))
 
 
 def result_summary(results: DataFrame) -> DataFrame:

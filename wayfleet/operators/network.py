@@ -10,8 +10,8 @@ from wayfleet.functions import geo
 from wayfleet.functions import scalars as X
 from wayfleet.session import cut
 
-# A way has at most 2,000 nodes, so (position, direction) fits below this stride.
-SEQ_PER_WAY = 4096
+# (position, direction) of a way's edges stay below this stride; a longer way is refused, not numbered twice.
+SEQ_PER_WAY = 1 << 21
 
 
 # ---- ways and tags ------------------------------------------------------
@@ -55,6 +55,11 @@ def way_segments(ways: DataFrame, nodes: DataFrame) -> DataFrame:
             .filter("raw_length_m > 0"))
 
 
+def _checked_position() -> Column:
+    too_long = F.raise_error(F.concat(F.lit("way with too many nodes: "), F.col("way_id").cast("string")))
+    return F.when(F.col("pos") < SEQ_PER_WAY // 2, F.col("pos")).otherwise(too_long.cast("int"))
+
+
 def segment_ways(ways: DataFrame, nodes: DataFrame) -> DataFrame:
     """Directed edges: ``yes`` keeps the way's direction, ``-1`` turns it, anything else gives both."""
     segments = way_segments(drivable(ways), nodes)
@@ -69,7 +74,7 @@ def segment_ways(ways: DataFrame, nodes: DataFrame) -> DataFrame:
         return F.struct(pick("").alias("node_id"), pick("_lat").alias("lat"), pick("_lon").alias("lon"))
 
     return directed.select(
-        (F.col("way_id") * SEQ_PER_WAY + F.col("pos") * 2 + F.col("direction")).cast("long").alias("edge_seq"),
+        (F.col("way_id") * SEQ_PER_WAY + _checked_position() * 2 + F.col("direction")).cast("long").alias("edge_seq"),
         node("u", "v").alias("start_node"),
         node("v", "u").alias("end_node"),
         "road_name", "max_speed_kmh",

@@ -49,11 +49,11 @@ SELECT * FROM (
   FROM pairs p JOIN way_attr w ON w.way_id = p.way_id AND w.highway IN ({CLASSES})
   JOIN f_nodes a ON a.node_id = p.u JOIN f_nodes b ON b.node_id = p.v) WHERE raw_length_m > 0""",
     "raw_edges": f"""
-SELECT way_id * 4096 + pos * 2 AS edge_seq, 'E_' || u || '_' || v AS edge_id, road_name, max_speed_kmh, u AS start_id,
+SELECT way_id * 2097152 + pos * 2 AS edge_seq, 'E_' || u || '_' || v AS edge_id, road_name, max_speed_kmh, u AS start_id,
        u_lat AS start_lat, u_lon AS start_lon, v AS end_id, v_lat AS end_lat, v_lon AS end_lon, {up('raw_length_m', 2)} AS length_meters
 FROM segs WHERE oneway <> '-1'
 UNION ALL
-SELECT way_id * 4096 + pos * 2 + 1, 'E_' || v || '_' || u, road_name, max_speed_kmh, v, v_lat, v_lon, u, u_lat, u_lon,
+SELECT way_id * 2097152 + pos * 2 + 1, 'E_' || v || '_' || u, road_name, max_speed_kmh, v, v_lat, v_lon, u, u_lat, u_lon,
        {up('raw_length_m', 2)}
 FROM segs WHERE oneway <> 'yes'""",
     "outcomes": """
@@ -297,9 +297,9 @@ MAIN: dict[str, str] = {
     "matched_pings": f"SELECT ping_id, edge_id, {up(metres('h'), 3)} AS match_distance_m FROM matched",
     "matched_everything": "SELECT p.ping_id, COALESCE(h.edge_id, 'UNKNOWN') AS edge_id FROM f_pings p LEFT JOIN hits h ON h.ping_id = p.ping_id",
     "latest_positions": "SELECT * FROM positions",
-    "conflated_positions": """SELECT entity_id AS id, COUNT(DISTINCT timestamp // 1000) AS ticks,
-        MIN(timestamp // 1000 * 1000 + 1000) AS first_tick, MAX(timestamp // 1000 * 1000 + 1000) AS last_tick
-        FROM f_pings WHERE entity_type = 'Truck' GROUP BY entity_id""",
+    "conflated_positions": """SELECT entity_id AS id, timestamp // 1000 * 1000 + 1000 AS tick_ms, latitude AS lat, longitude AS lon, speed
+        FROM (SELECT *, row_number() OVER (PARTITION BY entity_id, timestamp // 1000 ORDER BY timestamp DESC, latitude DESC NULLS LAST,
+              longitude DESC NULLS LAST, speed DESC NULLS LAST) AS k FROM f_pings WHERE entity_type = 'Truck') WHERE k = 1""",
     "way_segments": f"SELECT way_id, pos, u, v, oneway, road_name, max_speed_kmh, {up('raw_length_m', 3)} AS raw_length_m FROM segs",
     "road_edges": "SELECT edge_seq, edge_id, road_name, max_speed_kmh, length_meters, start_id, end_id, start_lat, end_lon FROM edges",
     "clipped_edges": " UNION ALL ".join(
@@ -396,9 +396,12 @@ MAIN: dict[str, str] = {
         FROM outcomes o JOIN facts f ON f.vehicle_id = o.vehicle_id JOIN best b ON b.vehicle_id = o.vehicle_id
         JOIN ordered r ON r.vehicle_id = o.vehicle_id LEFT JOIN totals t ON t.vehicle_id = o.vehicle_id""",
     "stored_results": f"""SELECT COALESCE(d.vehicle_id, c.vehicle_id) AS vehicle_id, CASE WHEN c.vehicle_id IS NOT NULL THEN 'optimized' END AS route_status,
-        CASE WHEN c.vehicle_id IS NOT NULL THEN {NOW_MS} END AS last_optimized_at, {up('c.total', 4)} AS estimated_total_travel_time
+        CASE WHEN c.vehicle_id IS NOT NULL THEN {NOW_MS} END AS last_optimized_at, {up('c.total', 4)} AS estimated_total_travel_time,
+        CASE WHEN c.vehicle_id IS NOT NULL THEN 'exact' END AS algorithm, CASE WHEN c.vehicle_id IS NOT NULL THEN 0 END AS generation_count,
+        COALESCE(ARRAY_TO_STRING(c.route, ','), '') AS old_route, COALESCE(c.cust_ids, '') AS customer_order
         FROM (SELECT * FROM docs WHERE vehicle_id IS NOT NULL) d
-        FULL JOIN (SELECT o.vehicle_id, CASE WHEN t.total > 0 THEN t.total END AS total FROM outcomes o
+        FULL JOIN (SELECT o.vehicle_id, v.route, r.cust_ids, CASE WHEN t.total > 0 THEN t.total END AS total FROM outcomes o
+                   JOIN vehicles v ON v.vehicle_id = o.vehicle_id JOIN ordered r ON r.vehicle_id = o.vehicle_id
                    LEFT JOIN totals t ON t.vehicle_id = o.vehicle_id WHERE o.status = 'optimized') c ON c.vehicle_id = d.vehicle_id""",
     "greedy_order": f"""SELECT g.vehicle_id, g.stop_idx, g.rank, {up('g.cost', 4)} AS cost FROM gwalk g WHERE g.rank > 0
         UNION ALL

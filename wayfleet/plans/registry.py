@@ -106,7 +106,8 @@ class Inputs:
             F.lit(None).cast("double").alias("estimated_total_travel_time"),
             F.lit(None).cast("string").alias("route_status"),
             F.lit(None).cast("array<string>").alias("optimized_customer_order"),
-            F.lit(None).cast("long").alias("last_optimized_at"))
+            F.lit(None).cast("long").alias("last_optimized_at"),
+            F.lit(None).cast(S.OPTIMIZATION_RESULT).alias("optimization_result"))
         return cut(rows, "documents")
 
     @cached_property
@@ -143,7 +144,7 @@ class Inputs:
 
     @cached_property
     def results(self) -> DataFrame:
-        cfg = dispatch.CycleConfig(now_ms=NOW_MS)
+        cfg = dispatch.CycleConfig(now_ms=NOW_MS, algorithm="exact")
         return cut(dispatch.optimize_vehicles(self.documents, self.current, self.blocked, self.edges, self.nodes,
                                               self.node_index, cfg), "results")
 
@@ -233,8 +234,7 @@ def latest_positions(d: Inputs) -> DataFrame:
 @query
 def conflated_positions(d: Inputs) -> DataFrame:
     per_second = traffic.conflate_positions(traffic.with_event_time(d.pings))
-    return per_second.groupBy("id").agg(F.count(F.lit(1)).alias("ticks"), F.min(F.unix_millis("tick")).alias("first_tick"),
-                                        F.max(F.unix_millis("tick")).alias("last_tick"))
+    return per_second.select("id", F.unix_millis("tick").alias("tick_ms"), "lat", "lon", "speed")
 
 
 # ---- network ------------------------------------------------------------
@@ -556,7 +556,7 @@ def optimize_vehicles(d: Inputs) -> DataFrame:
 def optimize_asked_vehicles(d: Inputs) -> DataFrame:
     """Vehicles named by the route updates, known or not."""
     asked = d.updates.select("vehicle_id").distinct()
-    cfg = dispatch.CycleConfig(now_ms=NOW_MS)
+    cfg = dispatch.CycleConfig(now_ms=NOW_MS, algorithm="exact")
     return dispatch.optimize_vehicles(d.documents, d.current, d.blocked, d.edges, d.nodes, d.node_index, cfg, asked).select(
         "status", "vehicle_id", "reason")
 
@@ -581,7 +581,9 @@ def stored_results(d: Inputs) -> DataFrame:
     from wayfleet.sources.tables import upsert_by_key
     base = d.documents.filter("vehicle_id is not null")
     return upsert_by_key(base, dispatch.result_changes(d.results), "vehicle_id").select(
-        "vehicle_id", "route_status", "last_optimized_at", r("estimated_total_travel_time"))
+        "vehicle_id", "route_status", "last_optimized_at", r("estimated_total_travel_time"),
+        F.col("optimization_result.algorithm").alias("algorithm"), F.col("optimization_result.generation_count").alias("generation_count"),
+        text("optimization_result.old_assigned_route", "old_route"), text("optimization_result.optimized_customer_order", "customer_order"))
 
 
 @query

@@ -76,6 +76,16 @@ CUSTOMER = T.StructType([
     T.StructField("longitude", T.DoubleType()),
 ])
 
+OPTIMIZATION_RESULT = T.StructType([
+    T.StructField("old_assigned_route", T.ArrayType(T.StringType())),
+    T.StructField("new_assigned_route", T.ArrayType(T.StringType())),
+    T.StructField("optimized_customer_order", T.ArrayType(T.StringType())),
+    T.StructField("fitness", T.DoubleType()),
+    T.StructField("estimated_total_travel_time", T.DoubleType()),
+    T.StructField("generation_count", T.IntegerType()),
+    T.StructField("algorithm", T.StringType()),
+])
+
 VEHICLE = T.StructType([
     T.StructField("vehicle_id", T.StringType()),
     T.StructField("entity_id", T.StringType()),
@@ -90,6 +100,7 @@ VEHICLE = T.StructType([
     T.StructField("route_status", T.StringType()),
     T.StructField("optimized_customer_order", T.ArrayType(T.StringType())),
     T.StructField("last_optimized_at", T.LongType()),
+    T.StructField("optimization_result", OPTIMIZATION_RESULT),
 ])
 
 EDGE_STATE = T.StructType([
