@@ -344,9 +344,10 @@ def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
 
 
 def score_held_out(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All rows scored by the model of the training folds."""
+    """All rows scored by the model of the training folds; scores keep six decimals, as sums of doubles do not keep all."""
     fold = remainder(F.col(id_col), FOLDS)
     model = train(docs.where(fold != LEFT_OUT), text_col)
-    return (score_texts(docs, model, id_col, text_col)
-            .select(F.col("id").alias(id_col), (remainder(F.col("id"), FOLDS) == LEFT_OUT).alias("held_out"), "n_tokens", "n_known",
-                    F.lit(model.words.tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity"))
+    scored = score_texts(docs, model, id_col, text_col).withColumns({c: F.round(c, 6) for c in ("base_score", "score")})
+    return scored.select(F.col("id").alias(id_col), (remainder(F.col("id"), FOLDS) == LEFT_OUT).alias("held_out"), "n_tokens", "n_known",
+                         F.lit(model.words.tokens).cast("long").alias("train_tokens"), "base_score", "score",
+                         F.round(F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")), 3).alias("perplexity"))

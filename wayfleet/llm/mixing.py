@@ -94,7 +94,7 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]], key_col: str = "d
         for _ in range(100):
             scale = (low + high) / 2
             low, high = (scale, high) if (np.minimum(1, ratio * scale) * totals).sum() < float(keep) * totals.sum() else (low, scale)
-    table = [(*[values[d][i] for d, i in zip(dims, at, strict=True)], round(float(ratio[at]), 9), round(min(1.0, float(ratio[at] * scale)), 9))
+    table = [(*[values[d][i] for d, i in zip(dims, at, strict=True)], round(float(ratio[at]), 6), round(min(1.0, float(ratio[at] * scale)), 6))
              for at in np.ndindex(*totals.shape)]
     schema = ", ".join(f"cell_{d} string" for d in dims) + f", {prefix}weight double, {prefix}probability double"
     cells = docs.sparkSession.createDataFrame(table, schema)

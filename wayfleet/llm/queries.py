@@ -142,6 +142,94 @@ SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law, CAS
 FROM g
 """
 
+_SPACED = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+           r"'[^\x20\x09-\x0D]+')")
+
+JACCARD_SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_SPACED} AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, s, s + 3), ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS s FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM g x JOIN g y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach(id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, reach.r FROM reach JOIN e ON e.a = reach.id)
+SELECT documents.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r) AS component_id
+FROM documents LEFT JOIN n ON n.doc_id = documents.doc_id JOIN reach ON reach.id = documents.doc_id GROUP BY documents.doc_id
+"""
+
+
+def _discount_sql(counts: str, column: str) -> str:
+    """n1 to n4 of a table of counts and what counts of 1, 2, 3 or more give away."""
+    y = "(n1 / (n1 + 2e0 * n2))"
+    clip = lambda x, high: f"least(greatest({x}, 0.05e0), {high}e0)"
+    three = [clip(f"1e0 - 2e0 * {y} * n2 / n1", 0.95), clip(f"2e0 - 3e0 * {y} * n3 / n2", 1.95), clip(f"3e0 - 4e0 * {y} * n4 / n3", 2.95)]
+    some = "least(n1, n2, n3, n4) > 0"
+    return (f"SELECT {', '.join(f'CASE WHEN {some} THEN {x} ELSE {other} END AS d{i + 1}' for i, (x, other) in enumerate(zip(three, ('0.5e0', '1e0', '1.5e0'))))} "
+            f"FROM (SELECT {', '.join(f'count(*) FILTER ({column} = {i}) AS n{i}' for i in (1, 2, 3, 4))} FROM {counts})")
+
+
+KNESER_NEY_SQL = f"""
+WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+                lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+k AS (SELECT row_number() OVER () AS rid, doc_id, CAST(doc_id AS VARCHAR) AS s, list_append({_SPACED}, '') AS w FROM documents),
+f AS (SELECT rid, doc_id, w, coalesce(xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+                 list_transform(range(1, len(s) + 1), lambda i: CAST(ascii(substr(s, i, 1)) AS BIGINT))),
+                 lambda c, y: xor(c >> 8, t[xor(c & 255, y) + 1])), 4294967295) % 7 = 2, false) AS held FROM k, crc),
+u AS (SELECT rid, held, unnest(w) AS tok, unnest(range(len(w))) AS pos FROM f),
+b AS (SELECT rid, held, tok, coalesce(lag(tok) OVER (PARTITION BY rid ORDER BY pos), ' ') AS prev FROM u),
+one AS (SELECT tok, count(*) AS c FROM b WHERE NOT held GROUP BY tok),
+whole AS (SELECT CAST(sum(c) AS BIGINT) AS n, count(*) AS v FROM one),
+two AS (SELECT prev, tok, count(*) AS c FROM b WHERE NOT held GROUP BY prev, tok),
+after AS (SELECT tok, count(*) AS c FROM two GROUP BY tok),
+dp AS ({_discount_sql('two', 'c')}), ds AS ({_discount_sql('after', 'c')}),
+ctx AS (SELECT prev, sum(c) AS total, sum(CASE WHEN c = 1 THEN d1 WHEN c = 2 THEN d2 ELSE d3 END) AS gives FROM two, dp GROUP BY prev),
+lft AS (SELECT sum(c) AS pairs, sum(CASE WHEN c = 1 THEN d1 WHEN c = 2 THEN d2 ELSE d3 END) / sum(c) AS gives FROM after, ds),
+s AS (SELECT rid, one.c AS c1, two.c AS c2, total, ctx.gives AS gives, dp.d1 AS p1, dp.d2 AS p2, dp.d3 AS p3, n, v,
+             lft.gives / (v + 1) + coalesce(greatest(after.c - CASE WHEN after.c = 1 THEN ds.d1 WHEN after.c = 2 THEN ds.d2 ELSE ds.d3 END, 0), 0) / pairs AS low
+      FROM b CROSS JOIN whole CROSS JOIN dp CROSS JOIN ds CROSS JOIN lft LEFT JOIN one ON one.tok = b.tok LEFT JOIN after ON after.tok = b.tok
+      LEFT JOIN two ON two.prev = b.prev AND two.tok = b.tok LEFT JOIN ctx ON ctx.prev = b.prev),
+r AS (SELECT rid, count(*) AS n_tokens, count(c1) AS n_known, any_value(n) AS train_tokens,
+             round(sum(log10((coalesce(c1, 0) + 1) / (n + v + 1))), 6) AS base_score,
+             round(sum(log10(CASE WHEN total IS NULL THEN low ELSE (coalesce(greatest(c2 - CASE WHEN c2 = 1 THEN p1 WHEN c2 = 2 THEN p2 ELSE p3 END, 0), 0)
+                                                                    + gives * low) / total END)), 6) AS score
+      FROM s GROUP BY rid)
+SELECT doc_id, held AS held_out, n_tokens, n_known, train_tokens, base_score, score, round(pow(10, -score / n_tokens), 3) AS perplexity
+FROM f JOIN r USING (rid)
+"""
+
+
+def _shares_sql(dim: str) -> str:
+    rows = ", ".join(f"('{v}', {share}e0)" for v, share in sorted(TARGETS[dim].items()))
+    return (f"t_{dim} AS (SELECT v, share / sum(share) OVER () * (SELECT sum(total) FROM cells) AS target FROM (VALUES {rows}) x(v, share) "
+            f"WHERE v IN (SELECT {dim} FROM cells WHERE total > 0))")
+
+
+def _step_sql(inner: str, dim: str) -> str:
+    return (f"(SELECT k, source, lang, topic, total, CASE WHEN sum(x) OVER (PARTITION BY {dim}) > 0 THEN x * coalesce(target, 0) "
+            f"/ sum(x) OVER (PARTITION BY {dim}) ELSE x END AS x FROM {inner} LEFT JOIN t_{dim} ON t_{dim}.v = {dim})")
+
+
+MIXING_SQL = f"""
+WITH RECURSIVE share AS (SELECT *, greatest(length(coalesce(text, '')), 1) AS size FROM documents),
+d AS (SELECT doc_id, source AS own_source, lang AS own_lang, CAST(len({_SPACED}) AS BIGINT) AS tokens,
+             CASE WHEN len(regexp_extract_all(coalesce(text, ''), '[|]')) / size > 0.02e0 THEN 'table'
+                  WHEN len(regexp_extract_all(coalesce(text, ''), '[#$%&*]')) / size > 0.1e0 THEN 'symbols'
+                  WHEN len(regexp_extract_all(coalesce(text, ''), '[A-Z]')) / size > 0.3e0 THEN 'shouting'
+                  WHEN len(regexp_extract_all(coalesce(text, ''), '[0-9]')) / size > 0.01e0 THEN 'records' ELSE 'prose' END AS topic,
+             CASE WHEN source IN ({', '.join(repr(v) for v in TARGETS['source'])}) THEN source ELSE 'other' END AS source,
+             CASE WHEN lang IN ({', '.join(repr(v) for v in TARGETS['lang'])}) THEN lang ELSE 'other' END AS lang FROM share),
+cells AS (SELECT source, lang, topic, CAST(sum(tokens) AS DOUBLE) AS total FROM d GROUP BY source, lang, topic),
+{_shares_sql('source')}, {_shares_sql('lang')}, {_shares_sql('topic')},
+raked AS (SELECT 0 AS k, source, lang, topic, total, total AS x FROM cells
+          UNION ALL SELECT k + 1, source, lang, topic, total, x FROM {_step_sql(_step_sql(_step_sql('(SELECT * FROM raked WHERE k < 60)', 'source'), 'lang'), 'topic')}),
+done AS (SELECT source, lang, topic, CASE WHEN total > 0 THEN x / total ELSE 0 END AS ratio FROM raked WHERE k = 60),
+scaled AS (SELECT source, lang, topic, round(ratio, 6) AS weight, round(least(1, ratio / (SELECT max(ratio) FROM done)), 6) AS probability FROM done)
+SELECT doc_id, own_source AS source, own_lang AS lang, topic, tokens, weight, probability,
+       (CAST(('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13)) AS BIGINT) + 0.5) / 4503599627370496.0 < probability AS kept
+FROM d JOIN scaled USING (source, lang, topic)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_snapshots": chat_snapshots,
     "op2_ngram_jaccard": ngram_jaccard,
@@ -156,7 +244,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     "op1_chat_snapshots": CHAT_SQL,
+    "op2_ngram_jaccard": JACCARD_SQL,
+    "op4_kneser_ney": KNESER_NEY_SQL,
     "op5_rendezvous_shards": RENDEZVOUS_SQL,
     "op7_top_products": TOP_SQL,
     "op8_decontaminate": DECONTAMINATE_SQL,
+    "op10_mixed_sources": MIXING_SQL,
 }
