@@ -152,13 +152,15 @@ def fuse(scored: DataFrame, languages: tuple[str, ...] = LANGUAGES, least: float
     def given(column: str, name: str) -> DataFrame:
         """log P(value | class), smoothed."""
         kinds = cells.groupBy(column).agg(*again)
-        return kinds.select(column, *[F.log((F.col(f"s{k}") + 0.5) / F.lit(total[k] + 5.0)).alias(f"{name}{k}") for k in range(len(classes))])
+        return cut(kinds.select(column, *[F.log((F.col(f"s{k}") + 0.5) / F.lit(total[k] + 5.0)).alias(f"{name}{k}") for k in range(len(classes))]), "kinds")
 
     domains = cells.groupBy("_ev_domain").agg(*again, F.sum("n").alias("n")).select(
         "_ev_domain", *[((F.col(f"s{k}") + DOMAIN_WEIGHT * overall[k]) / (F.col("n") + DOMAIN_WEIGHT)).alias(f"d{k}") for k in range(len(classes))])
     hosts = (cells.groupBy("_ev_host", "_ev_domain").agg(*again, F.sum("n").alias("n")).join(domains, "_ev_domain")
              .select("_ev_host", "_ev_domain", F.col("n").alias("_ev_n"), *[F.col(f"s{k}").alias(f"h{k}") for k in range(len(classes))],
                      *[f"d{k}" for k in range(len(classes))]))
+    # Written tables, so that each join with the rows has an exchange of its own that AQE can split, or is broadcast by its size.
+    hosts = cut(hosts, "hosts")
     joined = (rows.join(given("_ev_declared", "_ev_m"), "_ev_declared", "left").join(given("_ev_suffix", "_ev_x"), "_ev_suffix", "left")
               .join(hosts.withColumnsRenamed({f"{a}{k}": f"_ev_{a}{k}" for a in "hd" for k in range(len(classes))}), ["_ev_host", "_ev_domain"], "left"))
     placed = F.col("_ev_host") != NONE
