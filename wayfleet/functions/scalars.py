@@ -14,6 +14,16 @@ def _col(x) -> Column:
     return F.col(x) if isinstance(x, str) else (x if isinstance(x, Column) else F.lit(x))
 
 
+# ---- repeatable draws ---------------------------------------------------
+DRAW_DIGITS = 13
+
+
+def drawn(*slots) -> Column:
+    """Integer of 52 bits that the slots decide, from a digest any SQL engine can repeat."""
+    digest = F.md5(F.concat_ws(":", *[F.lit(x).cast("string") if not isinstance(x, Column) else x.cast("string") for x in slots]))
+    return F.conv(F.substring(digest, 1, DRAW_DIGITS), 16, 10).cast("long")
+
+
 # ---- tolerant conversions ----------------------------------------------
 def to_str(x, default: str = "") -> Column:
     value = _col(x)

@@ -1,7 +1,7 @@
 """Genetic stop order: many vehicles, one row each, no shuffle between generations.
 
 A population lives in its vehicle's row, and a fold over the generation numbers
-evolves it there.  All choices come from hashes of (seed, vehicle, generation,
+evolves it there.  All choices come from digests of (seed, vehicle, generation,
 individual, slot), so a recomputed task repeats them exactly.
 """
 
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfleet.functions import geo
+from wayfleet.functions.scalars import drawn
 from wayfleet.session import task_count
 
 
@@ -31,8 +32,8 @@ def _let(value: Column, body) -> Column:
 
 
 def _draw(cfg: SearchConfig, n: Column, *slots) -> Column:
-    """Integer in [0, n) from the hash of the slots."""
-    return F.pmod(F.xxhash64(F.lit(cfg.seed), *slots), n.cast("long")).cast("int")
+    """Integer in [0, n) that the slots decide."""
+    return F.pmod(drawn(cfg.seed, *slots), n.cast("long")).cast("int")
 
 
 def _numbers(upto: Column, start: int = 0) -> Column:
@@ -43,8 +44,7 @@ def _numbers(upto: Column, start: int = 0) -> Column:
 # ---- building blocks ----------------------------------------------------
 def shuffled_order(cfg: SearchConfig, vehicle: Column, individual: Column, n: Column) -> Column:
     """0 .. n-1 in a random but repeatable order."""
-    keyed = F.transform(_numbers(n), lambda s: F.struct(
-        F.xxhash64(F.lit(cfg.seed), vehicle, individual, s).alias("h"), s.alias("s")))
+    keyed = F.transform(_numbers(n), lambda s: F.struct(drawn(cfg.seed, vehicle, individual, s).alias("h"), s.alias("s")))
     return F.transform(F.array_sort(keyed), lambda k: k["s"])
 
 
@@ -75,27 +75,41 @@ def order_hours(order: Column, stops: Column, speed: Column) -> Column:
 
 
 def ranked(population: Column, stops: Column, speed: Column) -> Column:
-    """Scored individuals, best first; the earlier one on a tie."""
-    return F.array_sort(F.transform(population, lambda o, i: F.struct(
-        order_hours(o, stops, speed).alias("hours"), i.alias("i"), o.alias("order"))))
+    """Scored individuals, best first; the earlier one on a tie, that is of equal hours to nine decimals."""
+    return F.array_sort(F.transform(population, lambda o, i: _let(order_hours(o, stops, speed), lambda hours: F.struct(
+        F.round(hours, 9).alias("about"), i.alias("i"), hours.alias("hours"), o.alias("order")))))
 
 
 def select_parents(scored: Column, cfg: SearchConfig) -> Column:
     return F.slice(scored, 1, max(cfg.elite, cfg.population // 2))
 
 
+def _two_places(cfg: SearchConfig, n: Column, slot: int, *slots) -> Column:
+    """Two different places in [0, n), the smaller first."""
+    return _let(_draw(cfg, n, *slots, F.lit(slot)), lambda x: _let(
+        _draw(cfg, n - 1, *slots, F.lit(slot + 1)), lambda y: F.array_sort(F.array(x, F.when(y >= x, y + 1).otherwise(y)))))
+
+
+def bred_child(parents: Column, cfg: SearchConfig, vehicle: Column, generation: Column, i: Column, n: Column) -> Column:
+    """Child ``i`` of two drawn parents, by crossover between two drawn places."""
+    mother = F.get(parents, _draw(cfg, F.size(parents), vehicle, generation, i, F.lit(1)))["order"]
+    father = F.get(parents, _draw(cfg, F.size(parents), vehicle, generation, i, F.lit(2)))["order"]
+    crossed = _let(_two_places(cfg, n, 3, vehicle, generation, i), lambda at: order_crossover(mother, father, at[0], at[1]))
+    return F.when(n > 1, crossed).otherwise(mother)
+
+
+def mutated_child(order: Column, cfg: SearchConfig, vehicle: Column, generation: Column, i: Column, n: Column) -> Column:
+    """``order`` with two drawn places exchanged, at the rate of the configuration."""
+    hit = _draw(cfg, F.lit(1_000_000), vehicle, generation, i, F.lit(7)) < int(cfg.mutation_rate * 1_000_000)
+    swapped = _let(_two_places(cfg, n, 5, vehicle, generation, i), lambda at: swap_mutation(order, at[0], at[1], hit))
+    return F.when(n > 1, swapped).otherwise(order)
+
+
 def next_generation(scored: Column, cfg: SearchConfig, vehicle: Column, generation: Column, n: Column) -> Column:
     """The elites unchanged, then mutated children of random parent pairs."""
     def child(parents, i):
-        draw = lambda size, slot: _draw(cfg, size, vehicle, generation, i, F.lit(slot))
-        mother = F.get(parents, draw(F.size(parents), 1))["order"]
-        father = F.get(parents, draw(F.size(parents), 2))["order"]
-        two = lambda a, b: _let(draw(n, a), lambda x: _let(
-            draw(n - 1, b), lambda y: F.array_sort(F.array(x, F.when(y >= x, y + 1).otherwise(y)))))
-        bred = _let(two(3, 4), lambda cutpoints: order_crossover(mother, father, cutpoints[0], cutpoints[1]))
-        hit = draw(F.lit(1_000_000), 7) < int(cfg.mutation_rate * 1_000_000)
-        mutated = _let(bred, lambda o: _let(two(5, 6), lambda at: swap_mutation(o, at[0], at[1], hit)))
-        return F.when(n > 1, mutated).otherwise(mother)
+        return _let(bred_child(parents, cfg, vehicle, generation, i, n),
+                    lambda order: mutated_child(order, cfg, vehicle, generation, i, n))
 
     elites = F.transform(F.slice(scored, 1, cfg.elite), lambda s: s["order"])
     children = F.sequence(F.lit(cfg.elite), F.lit(cfg.population - 1))

@@ -33,6 +33,26 @@ def km(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     return f"(2.0e0 * 6371.0e0 * asin(least(1.0e0, sqrt({hav(lat1, lon1, lat2, lon2)}))))"
 
 
+def drawn(*slots: str) -> str:
+    """The 52 bits that the slots decide."""
+    return f"CAST('0x' || SUBSTR(MD5(CONCAT_WS(':', {', '.join(slots)})), 1, 13) AS BIGINT)"
+
+
+# Choices of the genetic operators: seed 42, 30 individuals, 15 parents, 2 elites, generation 1.
+_CHOICE = lambda n, slot, who: f"({drawn('42', 'vehicle_id', '1', who, str(slot))} % {n})"
+
+
+def _places(slot: int, who: str) -> str:
+    x, y = _CHOICE("n", slot, who), _CHOICE("(n - 1)", slot + 1, who)
+    return f"[LEAST({x}, {y} + CASE WHEN {y} >= {x} THEN 1 ELSE 0 END), GREATEST({x}, {y} + CASE WHEN {y} >= {x} THEN 1 ELSE 0 END)]"
+
+
+def _mutated(who: str) -> str:
+    return f"""SELECT vehicle_id, {who}, CASE WHEN hit THEN LIST_TRANSFORM(o, lambda x, k: CASE WHEN k = cuts[1] + 1 THEN o[cuts[2] + 1]
+        WHEN k = cuts[2] + 1 THEN o[cuts[1] + 1] ELSE x END) ELSE o END AS o
+        FROM (SELECT *, {_places(5, who)} AS cuts, {_CHOICE('1000000', 7, who)} < 150000 AS hit"""
+
+
 STATIC = "(length_meters / (greatest(max_speed_kmh, 1.0e0) * 1000.0e0 / 3600.0e0))"
 
 PARTS: dict[str, str] = {name: fixtures.view_text(name, "duck") for name in fixtures.VIEWS}
@@ -146,6 +166,22 @@ FROM vehicles v LEFT JOIN cur c ON c.edge_id = v.current_edge_id""",
     "facts": """
 SELECT v.vehicle_id, s.speed_kmh, p.penalty, c.start_cost FROM vehicles v JOIN speeds s ON s.vehicle_id = v.vehicle_id
 JOIN penalties p ON p.vehicle_id = v.vehicle_id JOIN start_costs c ON c.vehicle_id = v.vehicle_id""",
+    "first": f"""
+SELECT vehicle_id, individual, n, LIST(stop_idx ORDER BY {drawn('42', 'vehicle_id', 'individual', 'stop_idx')}) AS o
+FROM (SELECT *, COUNT(*) OVER (PARTITION BY vehicle_id) AS n FROM f_stops), RANGE(30) r(individual) GROUP BY vehicle_id, individual, n""",
+    "first_hours": """
+SELECT p.vehicle_id, p.individual, ROUND(SUM(l.hours), 9) AS about FROM (SELECT vehicle_id, individual, UNNEST(RANGE(1, n)) AS k, o FROM first) p
+JOIN legs l ON l.vehicle_id = p.vehicle_id AND l.i = p.o[p.k] AND l.j = p.o[p.k + 1] GROUP BY p.vehicle_id, p.individual""",
+    "first_ranks": """
+SELECT f.*, h.about, ROW_NUMBER() OVER (PARTITION BY f.vehicle_id ORDER BY h.about, f.individual) - 1 AS rank
+FROM first f JOIN first_hours h ON h.vehicle_id = f.vehicle_id AND h.individual = f.individual""",
+    "bred": f"""
+SELECT vehicle_id, i, n, LIST_CONCAT(rest[1:cuts[1]], kept, rest[cuts[1] + 1:]) AS o
+FROM (SELECT *, LIST_FILTER(father, lambda x: NOT LIST_CONTAINS(kept, x)) AS rest
+      FROM (SELECT c.vehicle_id, c.i, c.n, c.cuts, b.o AS father, a.o[c.cuts[1] + 1:c.cuts[2]] AS kept
+            FROM (SELECT vehicle_id, i, n, {_places(3, 'i')} AS cuts, {_CHOICE('15', 1, 'i')} AS ma, {_CHOICE('15', 2, 'i')} AS pa
+                  FROM (SELECT DISTINCT vehicle_id, n FROM first), RANGE(2, 30) r(i)) c
+            JOIN first_ranks a ON a.vehicle_id = c.vehicle_id AND a.rank = c.ma JOIN first_ranks b ON b.vehicle_id = c.vehicle_id AND b.rank = c.pa))""",
     "legs": f"""
 SELECT a.vehicle_id, a.stop_idx AS i, b.stop_idx AS j,
        {km('a.latitude', 'a.longitude', 'b.latitude', 'b.longitude')} / f.speed_kmh AS hours
@@ -250,7 +286,7 @@ SELECT vehicle_id, rank, node, stop_idx, cost, total, seen FROM (
   WHERE w.node = n.node_id OR s.cost IS NOT NULL) WHERE rn = 1""")
 
 HEAVY = {"hits", "matched", "windows", "states", "cur", "edges", "best", "facts", "speeds", "blocked", "costs", "arcs",
-         "static_arcs", "stop_nodes", "nodes", "req_nodes", "legs"}
+         "static_arcs", "stop_nodes", "nodes", "req_nodes", "legs", "first", "first_ranks", "bred"}
 
 
 def _body(name: str) -> str:
@@ -335,7 +371,7 @@ MAIN: dict[str, str] = {
     "state_json": "SELECT 'edge:' || edge_id AS key, avg_speed, vehicle_count, is_congested, updated_at FROM cur",
     "edge_occupancy": f"""SELECT edge_id, vehicles, {up('density', 4)} AS density,
         {up('CASE WHEN density >= 250 THEN 2.5e0 ELSE GREATEST(2.5e0, max_speed_kmh * (1 - density / 250e0)) END', 4)} AS expected_speed,
-        {up('250e0 * (length_meters / 1000)', 4)} AS capacity, vehicles >= 250e0 * (length_meters / 1000) AS at_capacity
+        {up('250e0 * (length_meters / 1000)', 4)} AS capacity, vehicles >= 250e0 * (length_meters / 1000) AS cuts_capacity
         FROM (SELECT l.edge_id, COUNT(*) AS vehicles, e.length_meters, e.max_speed_kmh, COUNT(*) / (e.length_meters / 1000) AS density
               FROM (SELECT * FROM matched QUALIFY ROW_NUMBER() OVER (PARTITION BY entity_id ORDER BY timestamp DESC, ping_id DESC) = 1) l
               JOIN edges e ON e.edge_id = l.edge_id GROUP BY l.edge_id, e.length_meters, e.max_speed_kmh)""",
@@ -362,6 +398,15 @@ MAIN: dict[str, str] = {
     "reroute_candidates": """SELECT vehicle_id, hits_blocked OR hits_congested OR hits_slow AS needs_reroute,
         CASE WHEN hits_blocked THEN 'blocked' WHEN hits_congested THEN 'congested' WHEN hits_slow THEN 'slow' END AS reason FROM conditions""",
     "start_cost": f"SELECT vehicle_id, {up('start_cost', 6)} AS start_cost FROM start_costs",
+    "ga_init": "SELECT vehicle_id, individual, ARRAY_TO_STRING(o, ',') AS \"order\" FROM first",
+    "ga_selection": f"SELECT vehicle_id, rank, individual, {up('about', 6)} AS hours FROM first_ranks WHERE rank < 15",
+    "ga_crossover": "SELECT vehicle_id, i, ARRAY_TO_STRING(o, ',') AS \"order\" FROM bred",
+    "ga_mutation": f"SELECT vehicle_id, individual, ARRAY_TO_STRING(o, ',') AS \"order\" FROM ({_mutated('individual')} FROM first))",
+    "ga_next_generation": f"""SELECT vehicle_id, rank AS individual, ARRAY_TO_STRING(o, ',') AS \"order\" FROM first_ranks WHERE rank < 2
+        UNION ALL SELECT vehicle_id, i, ARRAY_TO_STRING(o, ',') FROM ({_mutated('i')} FROM bred))""",
+    "sampled_edges": f"""SELECT * FROM (SELECT 'uniform' AS kind, edge_id FROM edges ORDER BY {drawn('7', 'edge_id')}, edge_id LIMIT 15)
+        UNION ALL SELECT * FROM (SELECT 'length', edge_id FROM edges
+        ORDER BY -LN(({drawn('7', 'edge_id')} + 0.5e0) / 4503599627370496e0) / GREATEST(length_meters, 1e0), edge_id LIMIT 15)""",
     "stop_pair_costs": f"SELECT vehicle_id, i AS from_idx, j AS to_idx, {up('hours', 6)} AS hours FROM legs",
     "route_fitness": f"""SELECT f.vehicle_id, k.kind, CASE WHEN k.kind = 'short' THEN 1e6 ELSE {up('f.start_cost + COALESCE(t.hours, 0e0) + f.penalty', 4)} END AS fitness
         FROM facts f CROSS JOIN (SELECT UNNEST(['given', 'reverse', 'short']) AS kind) k

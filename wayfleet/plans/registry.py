@@ -463,6 +463,45 @@ def ga_init(d: Inputs) -> DataFrame:
     return genetic.ga_init(d.facts, SEARCH).select("vehicle_id", "individual", text("order"))
 
 
+def _first_generation(d: Inputs) -> DataFrame:
+    """One row per vehicle: its first population, scored and ranked."""
+    orders = genetic.ga_init(d.facts, SEARCH).groupBy("vehicle_id").agg(
+        F.array_sort(F.collect_list(F.struct("individual", "order"))).alias("p"))    # a population, bounded by the configuration
+    rows = d.facts.join(orders, "vehicle_id").withColumn("population", F.transform("p", lambda x: x["order"]))
+    return rows.withColumn("scored", genetic.ranked(F.col("population"), F.col("stops"), F.col("speed_kmh"))).withColumn("n", F.size("stops"))
+
+
+@query
+def ga_selection(d: Inputs) -> DataFrame:
+    """The parents of the first generation, best first."""
+    parents = _first_generation(d).select("vehicle_id", F.posexplode(genetic.select_parents(F.col("scored"), SEARCH)).alias("rank", "s"))
+    return parents.select("vehicle_id", "rank", F.col("s.i").alias("individual"), F.round("s.about", 6).alias("hours"))
+
+
+@query
+def ga_crossover(d: Inputs) -> DataFrame:
+    """The children of the first generation before mutation."""
+    rows = _first_generation(d).withColumn("parents", genetic.select_parents(F.col("scored"), SEARCH))
+    rows = rows.withColumn("i", F.explode(F.sequence(F.lit(SEARCH.elite), F.lit(SEARCH.population - 1))))
+    bred = genetic.bred_child(F.col("parents"), SEARCH, F.col("vehicle_id"), F.lit(1), F.col("i"), F.col("n"))
+    return rows.select("vehicle_id", "i", bred.alias("order")).select("vehicle_id", "i", text("order"))
+
+
+@query
+def ga_mutation(d: Inputs) -> DataFrame:
+    """Every individual of the first population after mutation."""
+    rows = genetic.ga_init(d.facts, SEARCH).join(d.facts.select("vehicle_id", F.size("stops").alias("n")), "vehicle_id")
+    mutated = genetic.mutated_child(F.col("order"), SEARCH, F.col("vehicle_id"), F.lit(1), F.col("individual"), F.col("n"))
+    return rows.select("vehicle_id", "individual", mutated.alias("order")).select("vehicle_id", "individual", text("order"))
+
+
+@query
+def ga_next_generation(d: Inputs) -> DataFrame:
+    """The population that follows the first one."""
+    after = genetic.next_generation(F.col("scored"), SEARCH, F.col("vehicle_id"), F.lit(1), F.col("n"))
+    return _first_generation(d).select("vehicle_id", F.posexplode(after).alias("individual", "order")).select("vehicle_id", "individual", text("order"))
+
+
 @query
 def ga_order(d: Inputs) -> DataFrame:
     return genetic.ga_optimize(d.facts, SEARCH).select(
