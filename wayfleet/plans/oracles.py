@@ -326,7 +326,7 @@ def _state_columns() -> str:
 
 MAIN: dict[str, str] = {
     "decoded_pings": """SELECT entity_id, entity_type, latitude, longitude, speed, timestamp FROM clean WHERE ping_id % 53 <> 0""",
-    "encoded_pings": "SELECT entity_id AS key, COUNT(*) AS messages, COUNT(latitude) AS with_latitude FROM f_pings GROUP BY entity_id",
+    "encoded_pings": "SELECT entity_id AS key, entity_id, entity_type, latitude, longitude, speed, timestamp FROM f_pings",
     "event_time": """SELECT ping_id, timestamp AS event_ms, strftime(make_timestamp(timestamp * 1000), '%Y-%m-%dT%H:%M:%S') AS event_text FROM f_pings""",
     "archive_rows": """SELECT entity_id, entity_type, latitude, longitude, speed, timestamp, edge_id, timestamp AS event_ms,
         strftime(make_timestamp(timestamp * 1000), '%Y-%m-%d') AS event_date FROM matched""",
@@ -425,7 +425,7 @@ MAIN: dict[str, str] = {
     "shortest_path_edges": f"""SELECT p.source, p.target, CASE WHEN p.source = p.target THEN '' ELSE SUBSTR(s.path, 2) END AS path,
         CASE WHEN p.source = p.target THEN 0e0 ELSE {up('s.cost', 4)} END AS cost
         FROM (SELECT DISTINCT t.node AS source, n.node_id AS target FROM starts t JOIN stop_nodes n ON n.vehicle_id = t.vehicle_id) p
-        JOIN spp s ON s.source = p.source AND s.node = p.target""",
+        LEFT JOIN spp s ON s.source = p.source AND s.node = p.target""",
     "new_routes": f"""SELECT v.vehicle_id, CASE WHEN LENGTH(w.path) > 0 THEN SUBSTR(w.path, 2) ELSE ARRAY_TO_STRING(v.route, ',') END AS new_assigned_route,
         CASE WHEN t.total > 0 THEN {up('t.total', 4)} END AS estimated_total_travel_time_s
         FROM vehicles v LEFT JOIN totals t ON t.vehicle_id = v.vehicle_id
@@ -477,7 +477,7 @@ MAIN: dict[str, str] = {
         COUNT(*) FILTER (v.current_edge_id <> '' AND v.new_route IS NOT NULL AND NOT bad) AS skipped_count,
         COUNT(*) FILTER (v.current_edge_id = '') AS error_count
         FROM vehicles v JOIN (SELECT vehicle_id, hits_blocked OR hits_congested OR hits_slow AS bad FROM conditions) x ON x.vehicle_id = v.vehicle_id""",
-    "upserted_vehicles": f"""SELECT COALESCE(d.vehicle_id, u.vehicle_id) AS vehicle_id, d.entity_type,
+    "upserted_vehicles": f"""SELECT COALESCE(d.vehicle_id, u.vehicle_id) AS vehicle_id, d.entity_type, CASE WHEN u.vehicle_id IS NULL THEN 'stale' END AS route_status,
         COALESCE(CASE WHEN u.vehicle_id IS NOT NULL THEN u.path_csv ELSE ARRAY_TO_STRING(d.new_route, ',') END, '') AS new_assigned_route,
         {up('u.time', 4)} AS estimated_total_travel_time
         FROM (SELECT * FROM docs WHERE vehicle_id IS NOT NULL) d FULL JOIN latest_updates u ON u.vehicle_id = d.vehicle_id""",
@@ -488,7 +488,7 @@ MAIN: dict[str, str] = {
         CASE WHEN time IS NULL THEN '—' WHEN time / 60 >= 10000 THEN printf('%.1f giờ', {up('time / 60 / 60', 1)})
              ELSE printf('%.1f phút', {up('time / 60', 1)}) END AS eta FROM live_routes""",
     "vehicle_search": "SELECT vehicle_id FROM live_routes WHERE LOWER(vehicle_id) LIKE '%truck\\_00%' ESCAPE '\\'",
-    "ordered_vehicles": """SELECT vehicle_id, CAST(REGEXP_REPLACE(vehicle_id, '[^0-9]', '', 'g') AS BIGINT) AS number,
+    "ordered_vehicles": """SELECT vehicle_id, ROW_NUMBER() OVER (ORDER BY CAST(REGEXP_REPLACE(vehicle_id, '[^0-9]', '', 'g') AS BIGINT), vehicle_id) - 1 AS place, CAST(REGEXP_REPLACE(vehicle_id, '[^0-9]', '', 'g') AS BIGINT) AS number,
         SUBSTR(vehicle_id, 7) AS short_id FROM live_routes""",
     "vehicle_board": f"""SELECT p.id, SUBSTR(p.id, 7) AS short_id, CASE WHEN p.speed > 0 THEN GREATEST(3, CAST({up('p.speed', 0)} AS INT)) ELSE 0 END AS shown_speed,
         r.vehicle_id IS NOT NULL AS has_route, CASE WHEN r.vehicle_id IS NULL THEN 0 ELSE 1 END AS path_size,

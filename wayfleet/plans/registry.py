@@ -196,11 +196,10 @@ def decoded_pings(d: Inputs) -> DataFrame:
 
 @query
 def encoded_pings(d: Inputs) -> DataFrame:
-    from wayfleet.sources.pings import decode_pings, encode_pings
+    """Every message: its key and what its payload says."""
+    from wayfleet.sources.pings import encode_pings
     sent = encode_pings(d.pings.select("entity_id", "entity_type", "latitude", "longitude", "speed", "timestamp"))
-    back = decode_pings(sent.select("value"))
-    return sent.groupBy(F.col("key").cast("string").alias("key")).agg(F.count(F.lit(1)).alias("messages")).join(
-        back.groupBy(F.col("entity_id").alias("key")).agg(F.count("latitude").alias("with_latitude")), "key")
+    return sent.select(F.col("key").cast("string").alias("key"), F.from_json("value", S.PING).alias("p")).select("key", "p.*")
 
 
 @query
@@ -535,7 +534,9 @@ def shortest_path_cost(d: Inputs) -> DataFrame:
 @query
 def shortest_path_edges(d: Inputs) -> DataFrame:
     found = routing.shortest_paths(_start_stop_pairs(d), d.costs, d.nodes)
-    return found.filter(F.col("cost") < routing.INFINITY).select("source", "target", text("path"), r("cost"))
+    there = F.col("cost") < routing.INFINITY
+    return found.select("source", "target", F.when(there, F.concat_ws(",", "path")).alias("path"), F.when(there, F.col("cost")).alias("cost")).select(
+        "source", "target", "path", r("cost"))
 
 
 @query
@@ -610,9 +611,9 @@ def upserted_vehicles(d: Inputs) -> DataFrame:
     from wayfleet.sources.tables import upsert_by_key
     changes = d.updates.groupBy("vehicle_id").agg(F.max_by(F.struct("path", "time"), "update_seq").alias("u")).select(
         "vehicle_id", F.col("u.path").alias("new_assigned_route"), F.col("u.time").alias("estimated_total_travel_time"))
-    base = d.documents.filter("vehicle_id is not null")
+    base = d.documents.filter("vehicle_id is not null").withColumn("route_status", F.lit("stale"))
     return upsert_by_key(base, changes, "vehicle_id", reset=("route_status",)).select(
-        "vehicle_id", "entity_type", text("new_assigned_route"), r("estimated_total_travel_time"))
+        "vehicle_id", "entity_type", "route_status", text("new_assigned_route"), r("estimated_total_travel_time"))
 
 
 @query
@@ -650,8 +651,8 @@ def vehicle_search(d: Inputs) -> DataFrame:
 
 @query
 def ordered_vehicles(d: Inputs) -> DataFrame:
-    rows = serving.order_vehicles(serving.merge_routes(d.updates))
-    return rows.select("vehicle_id", X.number_in_id("vehicle_id").cast("long").alias("number"), X.short_truck_id("vehicle_id").alias("short_id"))
+    rows = serving.numbered_vehicles(serving.merge_routes(d.updates))
+    return rows.select("vehicle_id", "place", X.number_in_id("vehicle_id").cast("long").alias("number"), X.short_truck_id("vehicle_id").alias("short_id"))
 
 
 @query
