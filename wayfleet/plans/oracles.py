@@ -530,6 +530,9 @@ MAIN: dict[str, str] = {
         COUNT(*) AS changes FROM f_route_updates GROUP BY 1, 2""",
 }
 MAIN["streamed_match_archive"] = MAIN["streamed_archive"]
+MAIN["streamed_traffic_job"] = MAIN["streamed_edge_state"]
+MAIN["streamed_snapshot"] = MAIN["traffic_feed"]
+MAIN["streamed_conflation"] = MAIN["conflated_positions"]
 
 
 def all_queries() -> dict[str, str]:

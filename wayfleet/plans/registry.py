@@ -734,3 +734,19 @@ def streamed_match_archive(d: Inputs) -> DataFrame:
 @query
 def streamed_route_changes(d: Inputs) -> DataFrame:
     return streamed.route_changes(d)
+
+
+@query
+def streamed_traffic_job(d: Inputs) -> DataFrame:
+    """The same state from the one-call job."""
+    return streamed.traffic_job(d)
+
+
+@query
+def streamed_snapshot(d: Inputs) -> DataFrame:
+    return streamed.snapshot(d)
+
+
+@query
+def streamed_conflation(d: Inputs) -> DataFrame:
+    return streamed.conflation(d).select("id", F.unix_millis("tick").alias("tick_ms"), "lat", "lon", "speed")

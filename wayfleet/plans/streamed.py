@@ -31,6 +31,34 @@ def edge_state(d) -> DataFrame:
     return tables.read_state(d.spark, out)
 
 
+def traffic_job(d) -> DataFrame:
+    """State published by the one-call job: match in the batch, archive, average, publish."""
+    folder = _folder(d, "traffic-job")
+    for query in jobs.start_traffic(_payload_stream(d), d.edge_index, d.edges, folder, every=None):
+        query.awaitTermination()
+    return tables.read_state(d.spark, f"{folder}/state")
+
+
+def snapshot(d) -> DataFrame:
+    """The traffic feed that a periodic reader takes from the published state."""
+    out = _folder(d, "stream-state")
+    matched = jobs.matched_stream(_payload_stream(d), d.edge_index)
+    jobs.start_edge_state(matched, d.edges, out, _folder(d, "ckpt"), every=None).awaitTermination()
+    return jobs.traffic_snapshot_rows(d.spark, out)
+
+
+def conflation(d) -> DataFrame:
+    """Newest position per truck and second, as the stream gives them out."""
+    out = _folder(d, "stream-positions")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    (jobs.conflated_stream(_payload_stream(d)).writeStream.outputMode("update").foreachBatch(write)
+     .option("checkpointLocation", _folder(d, "ckpt")).trigger(availableNow=True).start().awaitTermination())
+    return d.spark.read.parquet(out).drop("batch")
+
+
 def archive(d) -> DataFrame:
     out = _folder(d, "stream-archive")
     jobs.start_archive(jobs.matched_stream(_payload_stream(d), d.edge_index), out, _folder(d, "ckpt"), every=None).awaitTermination()
