@@ -21,12 +21,14 @@ WINDOW = 10
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that no language explains: those without words and those unlike any of the languages."""
+    ship(spark)
     found = language.identify_documents(docs, prefix="_lid_")
     return found.where("_lid_accepted").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest id of each group of linked documents; rows of one id are one document, rows without id stay."""
+    ship(spark)
     groups = ngram_join.jaccard_components(docs, n=NEAR_WORDS, percent=NEAR_PERCENT)
     kept = cut(groups.where("component_id = doc_id").groupBy("doc_id").agg((F.count(F.lit(1)) > 1).alias("repeated")), "kept")
     out = docs.join(kept.where("not repeated").select("doc_id"), "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
@@ -37,6 +39,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold ten words in a row of a benchmark item."""
+    ship(spark)
     found = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), length=WINDOW)
     bad = cut(found.where("contaminated").select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct(), "contaminated")
     return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64("text") == F.col("_bad_hash")), "left_anti")
@@ -44,6 +47,7 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Samples documents so that tokens meet the targets by source, language and topic; the scarcest cell is kept whole."""
+    ship(spark)
     rows = docs.withColumns({"_mix_source": F.col("source"), "_mix_lang": F.col("lang"), "_mix_topic": mixing.register(F.col("text")),
                              "_mix_tokens": mixing.tokens(F.col("text"))})
     mixed = mixing.mix(rows, {f"_mix_{d}": shares for d, shares in TARGETS.items()}, weight_col="_mix_tokens", prefix="_mix_")
@@ -52,6 +56,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def deal_to_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The shard and slot of every remaining document."""
+    ship(spark)
     return sharding.shard_table(docs, {s: 1.0 for s in range(SHARDS)}, new_shard=SHARDS)
 
 
@@ -69,7 +74,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written to the shared folder and read again."""
-    docs = ship(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = cut(stage(spark, docs, sf_dir), name.split()[0])
     return docs

@@ -67,12 +67,22 @@ def _token_runs(column: pa.Array):
         yield row, end, out.view(np.int64), np.concatenate([[0], ends + 1])
 
 
+def _counted(arrays, at_once: int = 4_000_000):
+    """Distinct values with their counts, for about ``at_once`` values at a time."""
+    held, size = [], 0
+    for values in arrays:
+        held.append(values)
+        size += len(values)
+        if size >= at_once:
+            yield np.unique(np.concatenate(held), return_counts=True)
+            held, size = [], 0
+    if held:
+        yield np.unique(np.concatenate(held), return_counts=True)
+
+
 def _unigrams(batches):
-    for batch in batches:
-        runs = [run[2] for run in _token_runs(batch.column("text"))]
-        if runs:
-            words, n = np.unique(np.concatenate(runs), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(n)], ["word", "n"])
+    for words, n in _counted(run[2] for batch in batches for run in _token_runs(batch.column("text"))):
+        yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(n)], ["word", "n"])
 
 
 def _write_words(folder: str, batches):
@@ -152,15 +162,17 @@ class Deal:
 
 
 def _bigrams(words: Words, deal: Deal, batches):
-    """Pairs of a batch with their counts, key = number of the context and of the word."""
-    for batch in batches:
-        found = []
-        for _, _, hashes, at in _token_runs(batch.column("text")):
-            number, _ = _numbered(words, hashes)
-            found.append((_contexts(number, at, words.size) << 32) | number)
-        if found:
-            keys, n = np.unique(np.concatenate(found), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(deal(keys).astype(np.int32)), pa.array(keys), pa.array(n)], ["shard", "key", "n"])
+    """Pairs with their counts, combined some millions at a time; key = number of the context and of the word."""
+    def pairs():
+        for batch in batches:
+            for _, _, hashes, at in _token_runs(batch.column("text")):
+                number, _ = _numbered(words, hashes)
+                yield (_contexts(number, at, words.size) << 32) | number
+
+    for keys, n in _counted(pairs()):
+        for low in range(0, len(keys), 1 << 18):
+            part = keys[low:low + (1 << 18)]
+            yield pa.RecordBatch.from_arrays([pa.array(deal(part).astype(np.int32)), pa.array(part), pa.array(n[low:low + (1 << 18)])], ["shard", "key", "n"])
 
 
 _PAIR_ROWS = "kind int, id long, a long, b long, c long, d long"

@@ -1,4 +1,4 @@
-"""Send the package to the executors, for sessions that were not started with it on their path."""
+"""Get a session ready: the package on the executors, batches of bounded size between Spark and Python."""
 
 from __future__ import annotations
 
@@ -10,10 +10,13 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _SHIPPED: set[str] = set()
+#: Bytes of a batch, in Spark's buffers and again in the Python worker, however long the texts are.
+BATCH_BYTES = 8 << 20
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Add the package as a Python file of the application, once; Spark serves it to every executor."""
+    """Add the package as a Python file of the application, once (Spark serves it to every executor), and bound the batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     sc = spark.sparkContext
     if sc.applicationId not in _SHIPPED:
         root = Path(__file__).resolve().parents[2]
