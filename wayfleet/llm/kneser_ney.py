@@ -80,11 +80,13 @@ def _counted(arrays, at_once: int = 4_000_000):
         yield np.unique(np.concatenate(held), return_counts=True)
 
 
+@texts.tidied
 def _unigrams(batches):
     for words, n in _counted(run[2] for batch in batches for run in _token_runs(batch.column("text"))):
         yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(n)], ["word", "n"])
 
 
+@texts.tidied
 def _write_words(folder: str, batches):
     """The sorted hashes and counts of the parts dealt to this task; their sizes go on."""
     parts: dict[int, list] = {}
@@ -161,6 +163,7 @@ class Deal:
         return np.minimum(shard, self.shards - 1)
 
 
+@texts.tidied
 def _bigrams(words: Words, deal: Deal, batches):
     """Pairs with their counts, combined some millions at a time; key = number of the context and of the word."""
     def pairs():
@@ -179,6 +182,7 @@ _PAIR_ROWS = "kind int, id long, a long, b long, c long, d long"
 _FOLLOWED, _HOT, _FILE = range(3)
 
 
+@texts.tidied
 def _write_pairs(folder: str, deal: Deal, batches):
     """Write a shard's arrays; yield how many contexts each word follows, hot contexts' shares and counts of counts."""
     shards: dict[int, list] = {}
@@ -215,6 +219,7 @@ def _write_pairs(folder: str, deal: Deal, batches):
         yield rows(_FILE, [s], *[[int((n == k).sum())] for k in (1, 2, 3, 4)])
 
 
+@texts.tidied
 def _write_followed(folder: str, size: int, chunk: int, batches):
     """Dense arrays of how many contexts a word follows, by ranges of word numbers."""
     parts: dict[int, np.ndarray] = {}
@@ -329,6 +334,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
     return Model(words, deal, there, chunk, discounts(*[float(x) for x in of_pairs]), single, max(pairs, 1), left, hot_stats)
 
 
+@texts.tidied
 def _scored(model: Model, batches):
     words = model.words
     for batch in batches:

@@ -63,6 +63,7 @@ def _pieces(column: pa.Array, limit: int = 2 * texts.PIECE):
         row = end
 
 
+@texts.tidied
 def _count(languages: tuple[str, ...], batches):
     """Trigram counts of a task by language."""
     counts = np.zeros((len(languages), BUCKETS), np.int64)

@@ -139,6 +139,7 @@ def _long_lists(values: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32), pa.array(flat.view(np.int64)))
 
 
+@text.tidied
 def _describe(n: int, batches):
     """id, size, 128-bit identity and sketches of each set."""
     for batch in batches:
@@ -153,6 +154,7 @@ def _describe(n: int, batches):
                                          ["id", "n_shingles", "key_a", "key_b", "sketch", "small"])
 
 
+@text.tidied
 def _signed(n: int, percent: int, batches):
     """(signature, id), once for the equal sets that a task reads."""
     seen: set[tuple[int, int]] = set()
@@ -175,6 +177,7 @@ def _signed(n: int, percent: int, batches):
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(got).view(np.int64)), pa.array(np.concatenate(who))], ["sig", "id"])
 
 
+@text.tidied
 def _featured(n: int, batches):
     """id and features of candidate texts."""
     for batch in batches:
@@ -209,6 +212,7 @@ def _whole_runs(batches, keys: list[str]):
         yield held
 
 
+@text.tidied
 def _crossing(percent: int, nearest: int | None, batches):
     """Pairs of a bucket's blocks in different components that sizes and sketches cannot rule out.
 

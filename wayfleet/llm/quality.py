@@ -96,6 +96,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+@texts.tidied
 def _described(batches):
     for batch in batches:
         yield pa.RecordBatch.from_arrays([batch.column("id"), _lists(statistics(batch.column("text")))], ["id", "x"])

@@ -6,6 +6,8 @@ at a time, so memory follows the piece and the longest text, not the table.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +25,20 @@ SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
+def tidied(task):
+    """A task function that gives freed memory back to the system at its end, as Spark keeps the worker for other tasks."""
+    @functools.wraps(task)
+    def run(*args):
+        try:
+            yield from task(*args)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+    return run
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective finaliser of 64-bit hashes."""
     x = x ^ (x >> _S33)

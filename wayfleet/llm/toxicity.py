@@ -152,6 +152,7 @@ def votes(column: pa.Array, mined: Mined = NOTHING) -> np.ndarray:
     return np.where(out > 0, 1 + np.log(np.maximum(out, 1)), 0.0)
 
 
+@texts.tidied
 def _voted(mined: Mined, batches):
     for batch in batches:
         yield pa.RecordBatch.from_arrays([batch.column("id"), _lists(votes(batch.column("text"), mined))], ["id", "x"])
@@ -169,6 +170,7 @@ def _text_stems(column: pa.Array, keep: np.ndarray | None = None):
         yield row, np.concatenate(got, axis=1)
 
 
+@texts.tidied
 def _toxic_stems(batches):
     """Stems of toxic texts with the number of texts, by task."""
     for batch in batches:
@@ -177,6 +179,7 @@ def _toxic_stems(batches):
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(kinds[at].astype(np.int32)), pa.array(n)], ["stem", "kind", "n"])
 
 
+@texts.tidied
 def _stem_counts(keys: np.ndarray, batches):
     """Texts of each label, and those among them with each stem."""
     held = np.zeros((2, len(keys) + 1))
