@@ -37,12 +37,22 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """
     now = cut(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
               "edges")
-    before = None
     for _ in range(rounds):
-        seen = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.countDistinct("a")).first()
-        if seen[0] == 0 or (seen[0] == seen[2] and tuple(seen) == before):
+        seen = now.agg(F.count(F.lit(1)), F.countDistinct("a")).first()
+        # Every node points at one smaller node that points at nothing: the components are read off.
+        if seen[0] == seen[1] and now.join(now.select(F.col("b").alias("a")), "a", "left_semi").isEmpty():
             return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
                 now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
-        before = tuple(seen)
         now = cut(_stars(_stars(now, large=True), large=False), "edges")
     raise RuntimeError(f"components did not settle in {rounds} rounds")
+
+
+def merged(found: DataFrame, edges: DataFrame) -> DataFrame:
+    """``found`` (id, component) after more edges (a, b): only the graph of components is searched again."""
+    ends = edges.select(F.col("a").alias("id")).unionByName(edges.select(F.col("b").alias("id"))).distinct()
+    fresh = ends.join(found.select("id"), "id", "left_anti").select("id", F.col("id").alias("component"))
+    every = cut(found.unionByName(fresh), "components")
+    side = lambda tag: every.select(F.col("id").alias(tag), F.col("component").alias(f"of_{tag}"))
+    between = edges.join(side("a"), "a").join(side("b"), "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    joined = components(between).select(F.col("id").alias("component"), F.col("component").alias("_under"))
+    return every.join(joined, "component", "left").select("id", F.coalesce("_under", "component").alias("component"))

@@ -273,6 +273,8 @@ def _near(pairs: DataFrame, member: DataFrame, percent: int) -> DataFrame:
 def _linked(pairs: DataFrame, member: DataFrame, known: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs whose feature sets meet the threshold, exactly. Only texts of pairs left after sizes and sketches are read again."""
     near = cut(_near(pairs, member, percent), "near")
+    if near.isEmpty():
+        return near.select("a", "b")     # no text is read for nothing
     wanted = cut(near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct(), "wanted")
     sets = cut(known.join(wanted, "id", "left_semi").mapInArrow(functools.partial(_featured, n), "id long, features array<bigint>")
                .groupBy("id").agg(F.min("features").alias("features")), "features")
@@ -325,11 +327,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     led = live.join(leaders, "sig").select("id", F.explode(F.array("lead0", "lead1")).alias("lead")).where("id != lead")
     tested = cut(led.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct(), "led")
     links = _linked(tested, member, known, n, percent)
+    final = cut(graph.components(links), "components")
     for nearest in (NEAREST, None):
-        crossing = cut(_open_pairs(live, member, graph.components(links), percent, nearest).join(tested, ["a", "b"], "left_anti"), "crossing")
-        links = links.unionByName(_linked(crossing, member, known, n, percent))
+        crossing = cut(_open_pairs(live, member, final, percent, nearest).join(tested, ["a", "b"], "left_anti"), "crossing")
+        more = _linked(crossing, member, known, n, percent)
+        if not more.isEmpty():
+            final = cut(graph.merged(final, more), "components")
         tested = tested.unionByName(crossing)
-    final = graph.components(links)
 
     by_class = classes.join(final.withColumnRenamed("id", "rep"), "rep", "left").select(
         "id", F.coalesce("component", "rep").alias("component"))
