@@ -308,7 +308,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     own = (described.where("id is not null and n_shingles > 0").groupBy("id")
            .agg(F.min(F.struct("key_a", "key_b", "n_shingles")).alias("s")).select("id", "s.*"))
     groups = own.groupBy("key_a", "key_b").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    classes = cut(own.join(groups.where("copies > 1").select("key_a", "key_b", "rep"), ["key_a", "key_b"], "left")
+    # Written, so that the join has an exchange of its own and a large group of copies can be split.
+    several = cut(groups.where("copies > 1").select("key_a", "key_b", "rep"), "copies")
+    classes = cut(own.join(several, ["key_a", "key_b"], "left")
                   .select("id", F.coalesce("rep", "id").alias("rep"), "key_a", "key_b"), "classes")
     member = cut(described.join(classes.where("id = rep").select("id", "key_a", "key_b"), ["id", "key_a", "key_b"], "left_semi")
                  .dropDuplicates(["id"]).select("id", "n_shingles", "sketch", "small"), "member")
