@@ -62,7 +62,7 @@ STANDS_FOR = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "
 #: Bytes of the word beginnings that are mined; 0 is the whole word.
 STEMS = (5, 6, 7, 0)
 MINED, LEAST_ODDS, LEAST_TEXTS, LEAST_SHARE = 20_000, 20.0, 4, 0.002
-LABELS_TO_SEND = 2_000_000   # labelled rows up to which they are sent to the texts and not the texts to them
+LABELS_TO_SEND = 500_000     # labelled rows up to which they are sent to the texts and not the texts to them
 _VOTERS = [*LISTS, *(f"mined {n}" for n in STEMS), "disguised", "several", "repeated", "dense", "shouted"]
 WIDTH = len(_VOTERS)
 
