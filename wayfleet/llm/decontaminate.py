@@ -64,7 +64,7 @@ def positional_index(docs: DataFrame, vocabulary: DataFrame, id_col: str = "doc_
 def _ranked(index: DataFrame, terms: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(window, length, offset, term, rank): the terms of windows that can occur, rarest first."""
     counts = index.where("term >= 0").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    known = terms.join(vocabulary, "word").join(counts, "term", "left")
+    known = terms.join(vocabulary, "word").join(cut(counts, "counts"), "term", "left")
     own = Window.partitionBy("window")
     return cut(known.withColumn("least", F.min(F.coalesce("n", F.lit(0))).over(own)).where("least > 0")
                .withColumn("rank", F.row_number().over(own.orderBy("n", "offset")))
@@ -92,7 +92,9 @@ def phrase_matches(index: DataFrame, terms: DataFrame, vocabulary: DataFrame) ->
     found = cut(found, "found")
     rest = ranked.where(f"rank > {_RAREST}").select("window", "offset", "term")
     asked = found.join(rest, "window").withColumn("position", F.col("start") + F.col("offset"))
-    lists = index.where("term >= 0").join(found.select("d").distinct(), "d", "left_semi").select("d", "position", "term")
+    # Written, so that the choice between sending the documents or the postings rests on the exact size.
+    hit = cut(found.select("d").distinct(), "hit")
+    lists = index.where("term >= 0").join(hit, "d", "left_semi").select("d", "position", "term")
     met = (asked.join(lists, ["d", "position", "term"], "left_semi")
            .groupBy("d", "window", "length", "start").agg(F.count(F.lit(1)).alias("met"))
            .where(f"met = length - {_RAREST}").drop("met"))
