@@ -105,6 +105,7 @@ def _evidence(model: np.ndarray):
             out[row:end, -2] = -n * np.log(BUCKETS)
             out[row:end, :-1] *= (np.minimum(n, EFFECTIVE) / np.maximum(n, 1))[:, None]
             out[row:end, -1] = n
+        texts.give_back()
         return pa.ListArray.from_arrays(np.arange(0, out.size + 1, width, dtype=np.int32), pa.array(out.reshape(-1)))
 
     return evidence
