@@ -46,7 +46,7 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Samples documents so that tokens meet the targets by source, language and topic; the scarcest cell is kept whole."""
+    """Samples documents so that tokens meet the targets by source, language and topic; values without a target keep their share, the scarcest cell is kept whole."""
     ship(spark)
     rows = docs.withColumns({"_mix_source": F.col("source"), "_mix_lang": F.col("lang"), "_mix_topic": mixing.register(F.col("text")),
                              "_mix_tokens": mixing.tokens(F.col("text"))})

@@ -70,6 +70,23 @@ def test_raking_meets_the_marginals(spark):
     assert mixing.mix(df.where("false").drop("weight", "probability", "kept"), targets).collect() == []
 
 
+def test_values_without_a_target_are_sampled(spark):
+    rng = random.Random(5)
+    rows = [(i, rng.choice(["a", "b", "hot", None]), rng.choice(["x", "y", None]), rng.choice([None, "elsewhere"]), 1) for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, lang string, topic string, tokens long")
+    targets = {"source": {"a": 0.8, "b": 0.2}, "lang": {"x": 0.5, "y": 0.5}, "topic": {"t": 1.0}}      # no row of topic t
+    got = mixing.mix(df, targets).collect()
+    assert len(got) == len(rows) and all(r.probability > 0 for r in got)
+    whole = collections.Counter()
+    for r in got:
+        whole[r.source] += r.weight
+    rest = sum(r.source not in ("a", "b") for r in got) / len(got)
+    total = sum(whole.values())
+    assert abs((whole["hot"] + whole[None]) / total - rest) < 1e-6
+    assert abs(whole["a"] / total - 0.8 * (1 - rest)) < 1e-6 and abs(whole["b"] / total - 0.2 * (1 - rest)) < 1e-6
+    assert {r.source for r in got if r.kept} == {"a", "b", "hot", None} and {r.lang for r in got if r.kept} == {"x", "y", None}
+
+
 def test_raking_matches_plain_fitting():
     rng = np.random.default_rng(0)
     totals = rng.random((3, 4, 2)) * 10

@@ -9,6 +9,10 @@ The number of cells is bounded by the targets, not by the data: a value without
 a target of its own is counted as ``OTHER``, so there are at most
 (targets + 1) per dimension, and only this cell table comes to the driver.
 
+Values without a target (null ones too) keep the share of tokens they have in the
+table, and the listed targets share out the rest, so such rows are sampled like all
+others. A dimension without any listed value in the table is left out of the raking.
+
 Defined results: null values of a dimension are OTHER; a text without words
 weighs 0 tokens and is kept with its cell's probability; a marginal whose
 target value has no tokens is left out and the others are rescaled; rows of one key
@@ -46,12 +50,14 @@ def register(text: Column) -> Column:
             .when(share(r"[A-Z]") > 0.3, "shouting").when(share(r"[0-9]") > 0.01, "records").otherwise("prose"))
 
 
-def rake(totals: np.ndarray, margins: list[np.ndarray], rounds: int = 200, tolerance: float = 1e-10) -> np.ndarray:
-    """Cell weights with the shape of ``totals`` whose sums along each axis meet the margins."""
+def rake(totals: np.ndarray, margins: list[np.ndarray | None], rounds: int = 200, tolerance: float = 1e-10) -> np.ndarray:
+    """Cell weights with the shape of ``totals`` whose sums along each axis meet the margins; an axis without one is free."""
     fitted = totals.astype(float)
     for _ in range(rounds):
         moved = 0.0
         for axis, target in enumerate(margins):
+            if target is None:
+                continue
             others = tuple(a for a in range(fitted.ndim) if a != axis)
             have = fitted.sum(axis=others)
             factor = np.divide(target, have, out=np.ones_like(have), where=have > 0)
@@ -65,13 +71,15 @@ def rake(totals: np.ndarray, margins: list[np.ndarray], rounds: int = 200, toler
 
 
 def mix(docs: DataFrame, targets: dict[str, dict[str, float]], key_col: str = "doc_id", weight_col: str = "tokens",
-        salt: str = "mix", keep: str | float = "most", prefix: str = "") -> DataFrame:
+        salt: str = "mix", keep: str | float = "most", prefix: str = "", unlisted: str = "observed") -> DataFrame:
     """``docs`` with cell, calibrated weight, probability and kept (the last three named after ``prefix``).
 
     ``targets`` gives each dimension column the wanted share of tokens by value.
     ``keep``: "most" scales the largest probability to 1; a number is the
     share of all tokens the sample should have, as far as probabilities of at
     most 1 allow.
+    ``unlisted``: "observed" lets values without a target keep their share;
+    "none" wants no tokens of them, they get weight and probability 0.
     """
     dims = list(targets)
     values = {d: sorted(set(map(str, targets[d])) | {OTHER}) for d in dims}
@@ -83,9 +91,13 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]], key_col: str = "d
         totals[tuple(values[d].index(row[f"cell_{d}"]) for d in dims)] += float(row["total"] or 0)
     margins = []
     for axis, d in enumerate(dims):
-        there = totals.sum(axis=tuple(a for a in range(totals.ndim) if a != axis)) > 0
-        wanted = np.array([float(targets[d].get(v, 0.0)) for v in values[d]]) * there
-        margins.append(wanted / wanted.sum() * totals.sum() if wanted.sum() > 0 else there * 0.0)
+        have = totals.sum(axis=tuple(a for a in range(totals.ndim) if a != axis))
+        wanted = np.array([float(targets[d].get(v, 0.0)) for v in values[d]]) * (have > 0)
+        rest = have * [unlisted == "observed" and v == OTHER and OTHER not in targets[d] for v in values[d]]
+        if wanted.sum() > 0:
+            margins.append(wanted / wanted.sum() * (totals.sum() - rest.sum()) + rest)
+        else:
+            margins.append(None if unlisted == "observed" else wanted)
     fitted = rake(totals, margins)
     ratio = np.divide(fitted, totals, out=np.zeros_like(totals), where=totals > 0)
     scale = 1 / ratio.max() if ratio.max(initial=0.0) > 0 else 0.0

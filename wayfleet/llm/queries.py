@@ -61,7 +61,8 @@ TARGETS = {
 def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", mixing.tokens(F.col("text")).alias("tokens"),
                                                      mixing.register(F.col("text")).alias("topic"))
-    return mixing.mix(docs, TARGETS).select("doc_id", "source", "lang", "topic", "tokens", "weight", "probability", "kept")
+    # The twin in SQL wants no tokens of values without a target.
+    return mixing.mix(docs, TARGETS, unlisted="none").select("doc_id", "source", "lang", "topic", "tokens", "weight", "probability", "kept")
 
 
 def quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
