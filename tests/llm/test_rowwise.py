@@ -184,6 +184,18 @@ def test_toxicity_held_out(spark):
     assert toxicity.score_toxicity(df.where("false"), lab).collect() == []
 
 
+def test_rare_toxic_stems_are_mined_beside_many_frequent_ones(spark):
+    """28,000 ordinary stems are in every text; the insult is in eight of the twenty toxic ones."""
+    rng = random.Random(13)
+    common = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8)) for _ in range(7000))
+    plain = spark.createDataFrame([(i, common + (" zarkvolk" if i < 8 else "")) for i in range(80)], "id long, text string").repartition(4)
+    known = spark.createDataFrame([(i, int(i < 20)) for i in range(80)], "id long, label int")
+    keys, kinds = toxicity.mine(plain, known)
+    assert sorted(kinds) == [0, 1, 2, 3] and (np.diff(keys.astype(float)) > 0).all()
+    found = toxicity.votes(pa.array(["zarkvolk", common]), (keys, kinds))[:, len(toxicity.LISTS):len(toxicity.LISTS) + len(toxicity.STEMS)]
+    assert found[0].all() and not found[1].any()
+
+
 def test_disguised_words_are_votes():
     found = toxicity.votes(pa.array(["you id10t", "you idiot!", "nothing here", None]))
     first = len(toxicity.LISTS) + len(toxicity.STEMS)

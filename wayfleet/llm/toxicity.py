@@ -9,7 +9,8 @@ voters repeat each other; correlated voters are damped. Its posteriors are
 the soft labels of a linear classifier over voter counts, trained by Newton
 steps whose sums are made per task and added in Spark. The given labels of the
 training folds also set the share of toxic texts, the start of EM and the cut-off.
-A mined list holds at most ``MINED`` entries, a bound on the model, not on the data.
+Every stem that passes ``LEAST_TEXTS``, ``LEAST_SHARE`` and ``LEAST_ODDS`` is mined. At most
+1 / ``LEAST_SHARE`` times the mean number of stems of a toxic text can pass, however many texts there are.
 
 Defined results: an empty or null text fires no voter and has a score; repeated rows
 are scored one by one; without labels the share of toxic texts is ``PRIOR``;
@@ -61,7 +62,7 @@ LISTS = {
 STANDS_FOR = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 #: Bytes of the word beginnings that are mined; 0 is the whole word.
 STEMS = (5, 6, 7, 0)
-MINED, LEAST_ODDS, LEAST_TEXTS, LEAST_SHARE = 20_000, 20.0, 4, 0.002
+LEAST_ODDS, LEAST_TEXTS, LEAST_SHARE = 20.0, 4, 0.002
 LABELS_TO_SEND = 500_000     # labelled rows up to which they are sent to the texts and not the texts to them
 _VOTERS = [*LISTS, *(f"mined {n}" for n in STEMS), "disguised", "several", "repeated", "dense", "shouted"]
 WIDTH = len(_VOTERS)
@@ -181,31 +182,33 @@ def _toxic_stems(batches):
 
 @texts.tidied
 def _stem_counts(keys: np.ndarray, batches):
-    """Texts of each label, and those among them with each stem."""
-    held = np.zeros((2, len(keys) + 1))
+    """Texts with each of the stems ``keys``, by task; without those in no text."""
+    held = np.zeros(len(keys), np.int64)
     for batch in batches:
-        label = batch.column("label").to_numpy()
-        held[:, 0] += np.bincount(label, minlength=2)
-        for row, (who, hashes, _) in _text_stems(batch.column("text"), keys):
-            np.add.at(held, (label[row + who.astype(np.int64)], 1 + np.searchsorted(keys, hashes)), 1)
-    for c in (0, 1):
-        yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([held[c]])], ["part", "values"])
+        for _, (_, hashes, _) in _text_stems(batch.column("text"), keys):
+            held += np.bincount(np.searchsorted(keys, hashes), minlength=len(keys))
+    found = np.flatnonzero(held)
+    yield pa.RecordBatch.from_arrays([pa.array(keys[found].view(np.int64)), pa.array(held[found])], ["stem", "n"])
 
 
 def mine(plain: DataFrame, known: DataFrame) -> Mined:
     """Stems that are much commoner in toxic than in clean texts of the training folds."""
     labels = F.broadcast(known) if known.count() <= LABELS_TO_SEND else known
+    sizes = {r["label"]: r["count"] for r in plain.select("id").join(labels, "id").groupBy("label").count().collect()}
+    n_clean, n_toxic = sizes.get(0, 0), sizes.get(1, 0)
     found = (plain.join(labels.where("label = 1"), "id").select("text").mapInArrow(_toxic_stems, "stem long, kind int, n long")
-             .groupBy("stem", "kind").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_TEXTS)
-             .orderBy(F.desc("n"), "stem").limit(MINED).collect())
+             .groupBy("stem", "kind").agg(F.sum("n").alias("n"))
+             .where(F.col("n") >= max(LEAST_TEXTS, LEAST_SHARE * n_toxic)).collect())   # bounded by the share
     if not found:
         return NOTHING
-    found.sort(key=lambda r: r["stem"] % (1 << 64))
-    keys, kinds = np.array([r["stem"] for r in found], np.int64).view(np.uint64), np.array([r["kind"] for r in found])
-    got = sums(plain.join(labels, "id").select("text", "label"), functools.partial(_stem_counts, keys))
-    clean, toxic = np.array(got[0]), np.array(got[1])
-    odds = (toxic[1:] + 0.5) / (toxic[0] + 1) / ((clean[1:] + 0.5) / (clean[0] + 1))
-    kept = (odds >= LEAST_ODDS) & (toxic[1:] >= LEAST_SHARE * toxic[0])
+    keys, kinds, toxic = (np.array([r[c] for r in found]) for c in ("stem", "kind", "n"))
+    order = np.argsort(keys.view(np.uint64))
+    keys, kinds, toxic = keys.view(np.uint64)[order], kinds[order], toxic[order]
+    clean = np.zeros(len(keys))
+    counts = plain.join(labels.where("label = 0"), "id").select("text").mapInArrow(functools.partial(_stem_counts, keys), "stem long, n long")
+    for stem, n in counts.groupBy("stem").agg(F.sum("n")).collect():
+        clean[np.searchsorted(keys, np.uint64(stem % (1 << 64)))] = n
+    kept = (toxic + 0.5) / (n_toxic + 1) / ((clean + 0.5) / (n_clean + 1)) >= LEAST_ODDS
     return (keys[kept], kinds[kept]) if kept.any() else NOTHING
 
 
