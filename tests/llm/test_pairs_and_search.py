@@ -60,6 +60,44 @@ def test_many_near_copies_in_blocks(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == components(rows, 4, 85)
 
 
+def all_links(rows, n, percent):
+    sets = {}
+    for key, text, *_ in rows:
+        w = words(text)
+        if key is not None:
+            sets[key] = frozenset(tuple(w[i:i + n]) for i in range(max(1, len(w) - n + 1))) if w else frozenset()
+    return sets, {(a, b) for a, b in itertools.combinations(sorted(sets), 2)
+                  if sets[a] & sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+
+
+@pytest.mark.parametrize("block", [8, 512])
+def test_every_link_is_returned(spark, monkeypatch, block):
+    """Also those inside a component that is connected without them."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rng = random.Random(12)
+    rows = [(i, t) for i, t, *_ in awkward_documents()]
+    base = prose(rng, 120, 5000).split()
+    for i in range(40):
+        w = list(base)
+        for _ in range(rng.randrange(4)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+        rows.append((100 + i, " ".join(w)))
+    df = with_clashing(spark.createDataFrame(rows, "doc_id long, text string")).repartition(3)
+    sets, want = all_links(rows, 4, 85)
+    pairs, classes = ngram_join.jaccard_links(df)
+    rep, members = {}, {}
+    for r in classes.collect():
+        rep[r.id] = r.rep
+        members.setdefault(r.rep, []).append(r.id)
+    assert set(rep) == {k for k, s in sets.items() if s}
+    got = [tuple(sorted(p)) for r in pairs.collect() for p in itertools.product(members[r.a], members[r.b])]
+    got += [p for ids in members.values() for p in itertools.combinations(sorted(ids), 2)]
+    assert len(got) == len(set(got)) and set(got) == want
+    counts = {r.doc_id: r.n_links for r in ngram_join.link_counts(df).collect()}
+    assert counts == {k: sum(k in p for p in want) for k in sets}
+    assert ngram_join.link_counts(df.where("false")).collect() == []
+
+
 def test_signatures_meet_for_every_linked_pair():
     """Whatever the sizes, two linked sets share a signature."""
     import numpy as np

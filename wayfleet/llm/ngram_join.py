@@ -16,6 +16,7 @@ several components, each member against those nearest by sketch; the rest of
 the pairs is checked only where a bucket spans several components even then, in
 blocks. So a group of
 thousands of near copies costs links to its leaders, not all its pairs.
+That is enough for components; ``jaccard_links`` checks every candidate pair and returns all links.
 
 Defined results: null or empty texts (or texts without words) have no features
 and link with nothing; a text of fewer than n words has its whole sequence as
@@ -299,9 +300,8 @@ def _open_pairs(live: DataFrame, member: DataFrame, found: DataFrame, percent: i
             .mapInArrow(functools.partial(_crossing, percent, nearest), "a long, b long").distinct())
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4,
-                       percent: int = 85) -> DataFrame:
-    """(id_col, n_shingles, component_id) of every row; see the module for the method and edge cases."""
+def _candidates(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> tuple[DataFrame, ...]:
+    """(described rows, classes of equal sets, their representatives, rows with id, (sig, representative) of shared signatures)."""
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     described = cut(plain.mapInArrow(functools.partial(_describe, n), "id long, n_shingles long, key_a long, key_b long, "
                                      "sketch array<bigint>, small array<bigint>"), "sets")
@@ -323,7 +323,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                           .where("low != high").select("sig", "id"))
     live = cut(spans(signed), "signed")
     live = cut(spans(live.join(classes.select("id", "rep"), "id").select("sig", F.col("rep").alias("id")).distinct()), "live")
+    return described, classes, member, known, live
 
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4,
+                       percent: int = 85) -> DataFrame:
+    """(id_col, n_shingles, component_id) of every row; see the module for the method and edge cases."""
+    described, classes, member, known, live = _candidates(docs, id_col, text_col, n, percent)
     orders = [F.xxhash64("id", F.lit(seed)) for seed in (1, 2)]
     leaders = live.groupBy("sig").agg(*[F.min(F.struct(o.alias("o"), "id"))["id"].alias(f"lead{i}") for i, o in enumerate(orders)])
     led = live.join(leaders, "sig").select("id", F.explode(F.array("lead0", "lead1")).alias("lead")).where("id != lead")
@@ -341,3 +347,29 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "id", F.coalesce("component", "rep").alias("component"))
     return (described.select("id", "n_shingles").join(by_class, "id", "left")
             .select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id")))
+
+
+def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4,
+                  percent: int = 85) -> tuple[DataFrame, DataFrame]:
+    """(pairs, membership): all links (a, b), a < b, between different sets, and (id, rep) of each id with a set.
+
+    A pair stands for all pairs of the members of its two classes; members of one class
+    have equal sets and link too. Every candidate pair is verified, whatever the components.
+    """
+    _, classes, member, known, live = _candidates(docs, id_col, text_col, n, percent)
+    alone = docs.sparkSession.createDataFrame([], "id long, component long")      # no pair is passed over as connected
+    pairs = cut(_open_pairs(live, member, alone, percent, None), "pairs")
+    return _linked(pairs, member, known, n, percent), classes.select("id", "rep")
+
+
+def link_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, percent: int = 85) -> DataFrame:
+    """(id_col, n_links) of every id: how many other ids it links with."""
+    pairs, classes = jaccard_links(docs, id_col, text_col, n, percent)
+    sizes = cut(classes.groupBy("rep").agg(F.count(F.lit(1)).alias("members")), "sizes")
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = both.join(sizes, F.col("b") == F.col("rep")).groupBy("a").agg(F.sum("members").alias("others"))
+    counted = cut(sizes.join(others, F.col("a") == F.col("rep"), "left")
+                  .select("rep", (F.col("members") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")), "counted")
+    ids = docs.select(F.col(id_col).cast("long").alias("id")).where("id is not null").distinct()
+    return (ids.join(classes.join(counted, "rep").select("id", "n_links"), "id", "left")
+            .select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))

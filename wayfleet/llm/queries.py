@@ -20,6 +20,10 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+def ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_counts(_table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), length=10)
     return found.drop("text_hash")
@@ -234,6 +238,7 @@ FROM d JOIN scaled USING (source, lang, topic)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_snapshots": chat_snapshots,
     "op2_ngram_jaccard": ngram_jaccard,
+    "op2_ngram_links": ngram_links,
     "op3_quality_discriminant": quality_discriminant,
     "op4_kneser_ney": kneser_ney_scores,
     "op5_rendezvous_shards": rendezvous_shards,
