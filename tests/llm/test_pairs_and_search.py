@@ -170,6 +170,23 @@ def test_proximity_finds_moved_words(spark):
     assert 1 in near and 3 in near
 
 
+def test_proximity_looks_at_all_words(spark):
+    passage = "one two three four five six seven eight nine ten"
+    items = spark.createDataFrame([(1, passage), (2, "echo echo echo")], "item_id long, text string")
+    docs = [(1, passage), (2, "ten " + "z " * 30 + passage[:-4]), (3, passage.replace("three", "x three")),
+            (4, passage.replace("four", "4")), (5, passage.replace("four", "4").replace("six", "6")), (6, "echo"), (7, None), (8, "one ten")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    near = lambda df, **more: {r.doc_id: r.n_near_items for r in decontaminate.decontaminate(df, items, slop=2, **more).collect()}
+    assert near(docs) == {1: 1, 2: 0, 3: 1, 4: 0, 5: 0, 6: 0, 7: 0, 8: 0}
+    assert near(docs, missing=1) == {1: 1, 2: 1, 3: 1, 4: 1, 5: 0, 6: 0, 7: 0, 8: 0}
+    alone = docs.where("doc_id in (4, 5)")             # "four" is in no document
+    assert near(alone) == {4: 0, 5: 0} and near(alone, missing=1) == {4: 1, 5: 0}
+    exact = decontaminate.decontaminate(docs, items)
+    both = decontaminate.decontaminate(docs, items, slop=2)
+    assert both.columns == [*exact.columns, "n_near_items", "near"]
+    assert sorted(map(tuple, both.select(*exact.columns).collect())) == sorted(map(tuple, exact.collect()))
+
+
 def test_top_k_matches_brute_force(spark, monkeypatch):
     monkeypatch.setattr(topk, "ROWS", 16)
     monkeypatch.setattr(topk, "QUERIES", 2)

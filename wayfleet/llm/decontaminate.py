@@ -101,31 +101,38 @@ def phrase_matches(index: DataFrame, terms: DataFrame, vocabulary: DataFrame) ->
     return cut(met.unionByName(found.where(f"length <= {_RAREST}")), "matches")
 
 
-def proximity_matches(index: DataFrame, terms: DataFrame, vocabulary: DataFrame, slop: int) -> DataFrame:
-    """(d, window, start) where the rarest terms of a window stand at most ``slop`` words from their places.
+def proximity_matches(index: DataFrame, terms: DataFrame, vocabulary: DataFrame, slop: int, missing: int = 0) -> DataFrame:
+    """(d, window, start) where the words of a window, all but ``missing`` of them, stand at most ``slop`` words from their places.
 
-    ``start`` is where the window would begin by its rarest term; each of the
-    next rarest ones must occur so that its own beginning is within ``slop``.
+    ``start`` is where the window would begin by one of its ``missing + 1`` rarest
+    words, one of which must occur; all others are looked for around it. Words in no
+    document are missing ones. Of a repeated word no more places count than the text
+    has words there. A window of no more than ``missing`` words may miss all but one.
     """
-    ranked = _ranked(index, terms, vocabulary).where(f"rank <= {_RAREST}")
-    begun = (index.select("d", "position", "term").join(ranked, "term")
-             .select("d", "window", "rank", (F.col("position") - F.col("offset")).alias("start")))
-    begun = cut(begun, "begun")
-    found = begun.where("rank = 1").select("d", "window", "start")
+    counts = index.where("term >= 0").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    rarest = Window.partitionBy("window").orderBy(F.coalesce("n", F.lit(0)), "offset")
+    ranked = cut(terms.join(vocabulary, "word").join(cut(counts, "counts"), "term", "left")
+                 .withColumn("rank", F.row_number().over(rarest)).select("window", "length", "offset", "term", "rank"), "ranked")
+    begun = cut(index.select("d", "position", "term").join(ranked.where(F.col("rank") <= missing + 1), "term")
+                .select("d", "window", "length", (F.col("position") - F.col("offset")).alias("start")).distinct(), "begun")
+    # Written, so that the choice between sending the documents or the postings rests on the exact size.
+    lists = index.where("term >= 0").join(cut(begun.select("d").distinct(), "hit"), "d", "left_semi")
     bin_of = lambda c: F.floor(c / F.lit(slop + 1))
-    for rank in range(2, _RAREST + 1):
-        other = begun.where(f"rank = {rank}").select("d", "window", F.col("start").alias("at"))
-        other = other.withColumn("bin", F.explode(F.array(*[bin_of(F.col("at")) + s for s in (-1, 0, 1)])))
-        near = (found.withColumn("bin", bin_of(F.col("start"))).join(other, ["d", "window", "bin"])
-                .where(F.abs(F.col("at") - F.col("start")) <= slop).select("d", "window", "start").distinct())
-        short = found.join(ranked.where(f"rank = {rank}").select("window"), "window", "left_anti")
-        found = near.unionByName(short.select("d", "window", "start"))
-    return found
+    asked = (begun.join(ranked.select("window", "offset", "term"), "window").withColumn("place", F.col("start") + F.col("offset"))
+             .withColumn("bin", F.explode(F.array(*[bin_of(F.col("place")) + s for s in (-1, 0, 1)]))))
+    met = (asked.join(lists.select("d", "term", "position", bin_of(F.col("position")).alias("bin")), ["d", "term", "bin"])
+           .where(F.abs(F.col("position") - F.col("place")) <= slop)
+           .groupBy("d", "window", "length", "start", "term").agg(F.countDistinct("offset").alias("places"), F.countDistinct("position").alias("held")))
+    return (met.groupBy("d", "window", "length", "start").agg(F.sum(F.least("places", "held")).alias("met"))
+            .where(F.col("met") >= F.greatest(F.col("length") - missing, F.lit(1))).select("d", "window", "start"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, length: int = 10, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, text_hash."""
+                  item_col: str = "item_id", item_text_col: str = "text", slop: int | None = None, missing: int = 0) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, text_hash.
+
+    With ``slop`` also n_near_items and near: the items of windows found by ``proximity_matches``.
+    """
     terms, items = benchmark_windows(benchmark, length, item_col, item_text_col)
     vocabulary = cut(terms.select("word").distinct().withColumn("term", F.monotonically_increasing_id()), "vocabulary")
     index = positional_index(docs, vocabulary, id_col, text_col)
@@ -138,9 +145,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, length: int = 10, id_co
     met = (matches.select("d", "window").distinct().join(items, "window").select("d", "item").distinct()
            .groupBy("d").agg(F.array_sort(F.collect_set("item")).alias("items")))
     none = F.array().cast("array<string>")
-    return (index.where("term = -1").select("d", "doc_id", "text_hash", F.col("position").cast("long").alias("n_words"))
-            .join(hits, "d", "left").join(met, "d", "left")
+    found = (index.where("term = -1").select("d", "doc_id", "text_hash", F.col("position").cast("long").alias("n_words"))
+             .join(hits, "d", "left").join(met, "d", "left"))
+    further = []
+    if slop is not None:
+        near = (proximity_matches(index, terms, vocabulary, slop, missing).select("d", "window").distinct().join(items, "window")
+                .select("d", "item").distinct().groupBy("d").agg(F.count(F.lit(1)).alias("n_near")))
+        found = found.join(near, "d", "left")
+        n_near = F.coalesce("n_near", F.lit(0)).cast("long")
+        further = [n_near.alias("n_near_items"), (n_near > 0).alias("near")]
+    return (found
             .select(F.col("doc_id").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce(F.size(F.coalesce("items", none)), F.lit(0)).cast("long").alias("n_items"),
                     F.sha2(F.array_join(F.coalesce("items", none), ","), 256).alias("items_sha256"),
-                    (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"), "text_hash"))
+                    (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"), "text_hash", *further))
