@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfleet.llm import decontaminate as decontamination
-from wayfleet.llm import conversations, kneser_ney, language, mixing, ngram_join, quality, sharding, topk, toxicity
+from wayfleet.llm import codes, conversations, kneser_ney, language, mixing, ngram_join, periodic, quality, repeats, sharding, topk, toxicity
 from wayfleet.llm.ship import ship
 
 
@@ -235,6 +237,114 @@ SELECT doc_id, own_source AS source, own_lang AS lang, topic, tokens, weight, pr
 FROM d JOIN scaled USING (source, lang, topic)
 """
 
+_CASED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+WINDOW = 35
+
+
+def repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(_table(spark, sf_dir, "documents"), length=WINDOW)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+REPEATS_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_CASED} AS w FROM documents),
+g AS (SELECT rid, s, array_to_string(list_slice(w, s, s + {WINDOW - 1}), ' ') AS g
+      FROM (SELECT rid, w, unnest(range(1, len(w) - {WINDOW - 2})) AS s FROM d WHERE len(w) >= {WINDOW})),
+twice AS (SELECT g FROM g GROUP BY g HAVING count(*) > 1),
+gone AS (SELECT DISTINCT rid, unnest(range(s, s + {WINDOW})) AS p FROM g SEMI JOIN twice USING (g)),
+word AS (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT rid, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS kept FROM word ANTI JOIN gone USING (rid, p) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""
+
+
+def planted_order(key, n: int) -> np.ndarray | None:
+    """A tenth of the documents, by the checksum of their id, repeat a part of their words up to their end."""
+    h = zlib.crc32(str(key).encode())
+    if key is None or h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    at = np.arange(n)
+    return np.where(at < a, at, a + (at - a) % p)
+
+
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(_table(spark, sf_dir, "documents"), exponent=4, shortest=6, rewrite=planted_order)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("shorter"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return (found.withColumn("top", longest)
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.before")).alias("start"), "top.length",
+                    (-F.col("top.shorter")).alias("period"), F.expr("1000 * top.length div -top.shorter").alias("exponent_milli"),
+                    F.sha2(F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(F.lit("")), 256).alias("runs_sha256"),
+                    F.sha2("collapsed", 256).alias("collapsed_sha256")))
+
+
+PERIODIC_SQL = f"""
+WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+                lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+k AS (SELECT row_number() OVER () AS rid, doc_id, CAST(doc_id AS VARCHAR) AS s, {_CASED} AS w FROM documents),
+f AS (SELECT rid, doc_id, w, CAST(len(w) AS BIGINT) AS n, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+                 list_transform(range(1, len(s) + 1), lambda i: CAST(ascii(substr(s, i, 1)) AS BIGINT))),
+                 lambda c, y: xor(c >> 8, t[xor(c & 255, y) + 1])), 4294967295) AS h FROM k, crc),
+o AS MATERIALIZED (SELECT rid, doc_id, w, n, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n END AS a, 3 + (h // 10) % 8 AS z FROM f),
+word AS MATERIALIZED (SELECT rid, i, rid * 4294967296 + i AS k, hash(x) AS x, x AS plain FROM (SELECT rid, i, CASE WHEN i >= a THEN w[1 + a + (i - a) % (1 + (n - a) // z)] ELSE w[1 + i] END AS x
+                      FROM (SELECT rid, w, n, a, z, unnest(range(n)) AS i FROM o))),
+lag_ AS MATERIALIZED (SELECT rid, n, unnest(range(1, n // 4 + 1)) AS q FROM o),
+place AS MATERIALIZED (SELECT rid, n, q, rid * 4294967296 + unnest(range(0, n - 3 * q + 1, q)) AS k FROM lag_),
+tried AS MATERIALIZED (SELECT place.rid, n, q FROM place JOIN word a ON a.k = place.k JOIN word b ON b.k = place.k + q
+          JOIN word c ON c.k = place.k + 2 * q JOIN word d ON d.k = place.k + 1 JOIN word e ON e.k = place.k + 1 + q
+          GROUP BY place.rid, n, q HAVING bool_or(a.x = b.x AND a.x = c.x AND d.x = e.x)),
+spot AS MATERIALIZED (SELECT rid, q, rid * 4294967296 + unnest(range(n - q)) AS k FROM tried),
+pair AS MATERIALIZED (SELECT spot.rid, q, a.i, a.x AS a, b.x AS b FROM spot JOIN word a ON a.k = spot.k JOIN word b ON b.k = spot.k + q),
+same AS (SELECT rid, q, i, a = b AS same, sum(CASE WHEN a = b THEN 0 ELSE 1 END) OVER (PARTITION BY rid, q ORDER BY i) AS island FROM pair),
+stretch AS (SELECT rid, q, min(i) AS start, count(*) + q AS length FROM same WHERE same GROUP BY rid, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+run AS MATERIALIZED (SELECT rid, start, length, min(q) AS period FROM stretch GROUP BY rid, start, length),
+best AS (SELECT * FROM run QUALIFY row_number() OVER (PARTITION BY rid ORDER BY length DESC, start, period) = 1),
+listed AS (SELECT rid, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs FROM run GROUP BY rid),
+gone AS (SELECT DISTINCT rid, unnest(range(start + period, start + length)) AS i FROM run),
+kept AS (SELECT rid, string_agg(plain, ' ' ORDER BY i) AS kept FROM word ANTI JOIN gone USING (rid, i) GROUP BY rid)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length,
+       CAST(period AS BIGINT) AS period, CAST(1000 * length // period AS BIGINT) AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256,
+       sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM o LEFT JOIN best USING (rid) LEFT JOIN listed USING (rid) LEFT JOIN kept USING (rid)
+"""
+
+
+def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.encode_vectors(_table(spark, sf_dir, "embeddings"), scale=4096, parts=8, entries=16, rounds=6)
+
+
+def _assigned_sql(books: str) -> str:
+    return (f"SELECT rid, part, min(far * 16 + entry) AS best FROM (SELECT rid, part, entry, "
+            f"coalesce(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 0) AS far FROM p JOIN {books} USING (part)) GROUP BY rid, part")
+
+
+def _codes_sql(rounds: int = 6) -> str:
+    ctes = [f"""v AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rid, vec_id, label,
+            list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0)""",
+            "p AS MATERIALIZED (SELECT rid, part, list_slice(v, part * len(v) // 8 + 1, (part + 1) * len(v) // 8) AS x FROM v, range(8) r(part))",
+            "b0 AS MATERIALIZED (SELECT part, rid - 1 AS entry, x AS c FROM p WHERE rid <= 16)"]
+    for i in range(rounds):
+        ctes += [f"a{i} AS MATERIALIZED ({_assigned_sql(f'b{i}')})",
+                 f"""s{i} AS (SELECT part, entry, k, CAST(floor(sum(x) / count(*)) AS BIGINT) AS x FROM (SELECT part, best % 16 AS entry, unnest(x) AS x,
+                 unnest(range(len(x))) AS k FROM p JOIN a{i} USING (rid, part)) GROUP BY part, entry, k)""",
+                 f"""b{i + 1} AS MATERIALIZED (SELECT part, entry, coalesce(n.c, b.c) AS c FROM b{i} b LEFT JOIN (SELECT part, entry, list(x ORDER BY k) AS c
+                 FROM s{i} GROUP BY part, entry) n USING (part, entry))"""]
+    last = f"b{rounds}"
+    ctes += [f"z AS MATERIALIZED ({_assigned_sql(last)})",
+             "e AS (SELECT rid, string_agg('0' || substr('0123456789abcdef', CAST(best % 16 AS INTEGER) + 1, 1), '' ORDER BY part) AS code, sum(best // 16) AS error FROM z GROUP BY rid)",
+             f"digest AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM {last})"]
+    return ("WITH " + ",\n".join(ctes) + """
+SELECT vec_id, code, CAST(error AS BIGINT) AS error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM v JOIN e USING (rid), digest""")
+
+
+CODES_SQL = _codes_sql()
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_snapshots": chat_snapshots,
     "op2_ngram_jaccard": ngram_jaccard,
@@ -247,6 +357,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": decontaminate,
     "op9_language_id": language_id,
     "op10_mixed_sources": mixed_sources,
+    "op11_repeated_windows": repeated_windows,
+    "op12_periodic_runs": periodic_runs,
+    "op13_vector_codes": vector_codes,
 }
 ORACLES: dict[str, str] = {
     "op1_chat_snapshots": CHAT_SQL,
@@ -256,4 +369,7 @@ ORACLES: dict[str, str] = {
     "op7_top_products": TOP_SQL,
     "op8_decontaminate": DECONTAMINATE_SQL,
     "op10_mixed_sources": MIXING_SQL,
+    "op11_repeated_windows": REPEATS_SQL,
+    "op12_periodic_runs": PERIODIC_SQL,
+    "op13_vector_codes": CODES_SQL,
 }

@@ -118,7 +118,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, letters:
     return out
 
 
-def documents(column: pa.Array, separators: np.ndarray = SPACE, limit: int = 4 * PIECE
+def documents(column: pa.Array, separators: np.ndarray = SPACE, limit: int = 4 * PIECE, letters: np.ndarray = LOWER
               ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, hashes, word offsets of the rows) of runs of whole texts of about ``limit`` bytes."""
     data, at = bytes_of(column)
@@ -130,7 +130,7 @@ def documents(column: pa.Array, separators: np.ndarray = SPACE, limit: int = 4 *
         piece = data[low:high]
         edges = at[row:end + 1] - low
         s, e = words(piece, edges, separators)
-        yield row, end, word_hashes(piece, s, e), np.searchsorted(s, edges)
+        yield row, end, word_hashes(piece, s, e, letters), np.searchsorted(s, edges)
         row = end
 
 
