@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
+_SCOPES: list[list[str]] = []       # tables written by ``cut`` inside the open scopes, innermost last
 
 
 def build_session(app_name: str = "wayfleet", master: str | None = None,
@@ -65,7 +68,53 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/wayfleet/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._scratch_path = path
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return written
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete the tables that ``cut`` writes inside, at the end.
+
+    The function it gives keeps a written table: it then belongs to the scope
+    around this one, if any. What leaves the scope must rest on kept tables only.
+    """
+    own: list[str] = []
+    _SCOPES.append(own)
+
+    def keep(table: DataFrame) -> DataFrame:
+        own.remove(table._scratch_path)
+        if len(_SCOPES) > 1:
+            _SCOPES[-2].append(table._scratch_path)
+        return table
+
+    try:
+        yield keep
+    finally:
+        _SCOPES.pop()
+        delete(spark, own)
+
+
+@contextmanager
+def collected() -> Iterator[list[str]]:
+    """The paths of the tables that ``cut`` writes inside, for a caller that deletes them later."""
+    own: list[str] = []
+    _SCOPES.append(own)
+    try:
+        yield own
+    finally:
+        _SCOPES.pop()
+
+
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    """Remove folders through the file system that holds them."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
 
 
 def task_count(spark: SparkSession) -> int:
