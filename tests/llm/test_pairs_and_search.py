@@ -206,3 +206,45 @@ def test_top_k_matches_brute_force(spark, monkeypatch):
             want += [(i, rank + 1, j, -s) for rank, (s, j) in enumerate(scores[:5])]
     assert got == sorted(want)
     assert topk.top_k(df.where("false")).collect() == []
+
+
+@pytest.mark.parametrize("texts,size,vocabulary", [(5000, 6, 100_000), (500, 5000, 2_000_000)])
+@pytest.mark.parametrize("n,percent", [(5, 80), (4, 85)])
+def test_strangers_are_no_candidates(spark, texts, size, vocabulary, n, percent):
+    """Texts that share nothing meet in next to no bucket, whatever their size."""
+    from pyspark.sql import functions as F
+    word = F.concat(F.lit("w"), F.pmod(F.xxhash64("id", F.col("i")), F.lit(vocabulary)).cast("string"))
+    rows = (spark.range(0, texts, 1, 8).withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(size)))).withColumn("w", word)
+            .groupBy("id").agg(F.array_join(F.collect_list("w"), " ").alias("text")))
+    _, _, member, _, live = ngram_join._candidates(rows, "id", "text", n, percent)
+    alone = spark.createDataFrame([], "id long, component long")
+    assert ngram_join._open_pairs(live, member, alone, percent, None).count() <= 10 * texts
+    assert live.count() <= 10 * texts
+
+
+def test_signatures_of_small_sets_are_never_empty():
+    import numpy as np
+    rng = np.random.default_rng(6)
+    for percent in (60, 80, 85):
+        for size in range(1, ngram_join.few(percent) + 1):
+            sets = [np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64)) for _ in range(50)]
+            found = [set(ngram_join.signatures(s, percent).tolist()) for s in sets]
+            assert all(len(f) > 0 for f in found) and not any(a & b for a, b in itertools.combinations(found, 2))
+
+
+def test_small_sets_meet_for_every_linked_pair():
+    import numpy as np
+    rng = np.random.default_rng(7)
+    for percent in (60, 75, 80, 85, 95):
+        for _ in range(400):
+            both, more, less = rng.integers(1, 40), rng.integers(0, 6), rng.integers(0, 6)
+            pool = np.unique(rng.integers(0, 1 << 63, both + more + less, dtype=np.uint64))
+            rng.shuffle(pool)
+            a, b = np.sort(pool[:both + more]), np.sort(np.concatenate([pool[:both], pool[both + more:]]))
+            if 100 * both >= percent * (both + more + less):
+                assert len(np.intersect1d(ngram_join.signatures(a, percent), ngram_join.signatures(b, percent)))
+
+
+def test_similarities_below_a_half_are_refused(spark):
+    with pytest.raises(ValueError, match="50 %"):
+        ngram_join.jaccard_components(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), percent=40)

@@ -5,10 +5,17 @@ link when 100 * |intersection| >= percent * |union|. Equal sets are one class.
 Sizes are covered by overlapping windows so that two linkable sizes always
 share one. In a window linkable sets differ in at most ``k`` features, the
 feature domain is cut into ``n1`` ranges of ``n2`` parts, and each way of
-leaving out ``k2`` parts of a range gives one signature: linked sets share at
-least one. A signature over no feature at all would be shared by strangers, so
-``n1`` has ``slack`` ranges to spare and only a set with more than ``slack``
-ranges that have such a signature emits them; no link is lost.
+leaving out ``k2`` parts of a range gives one signature: linked sets share one in
+every range in which they differ in at most ``k2`` parts. A signature over no
+feature at all would be shared by strangers. A set's own size bounds how far its
+partners can differ, so it knows in how many ranges it shares a signature with each
+of them; if it has fewer ranges with an empty signature than that, one of those shared
+is not empty, and the set leaves its empty ones out. A set that has more goes on to
+another partition of the domain: two such sets both do, so they meet there, or in
+the one after it. ``n1``, ``n2`` and ``k2`` are chosen for each window to need the fewest
+signatures, and ``_PARTITIONS`` are enough for all but a vanishing share of sets; only
+those emit empty signatures, in the last partition. No link is lost. Sets of a few features
+emit all ways of leaving out as many features as a link allows, which are never empty.
 
 Candidates are checked exactly on the feature sets. First every bucket of a
 signature is checked against two leaders, then, where a bucket still spans
@@ -38,10 +45,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wayfleet.llm import graph, text
-from wayfleet.session import cut
+from wayfleet.session import cut, scratch
 
 _GROWTH = 1.3          # ratio of neighbouring size windows
-_SKETCH_WORDS = 16     # 64-bit words of the parity sketch
+_SKETCH_WORDS = 16     # 64-bit words of the parity sketch, at least
+_CARRIED = 128         # most words of the sketch that goes along with a bucket
+_MOST_PARTS = 6        # most parts of a range
+_PARTITIONS = 16       # partitions a set may go through
+_FEW, _FEW_WAYS = 24, 64    # features of a set, and ways to leave some out, that are listed
 BLOCK = 512            # members of a bucket compared at a time
 NEAREST = 3            # partners a member of a large block is checked with before all others
 _SMALL = 8             # members of a block whose pairs are made all at once
@@ -52,32 +63,77 @@ def farthest(size_a: int, size_b: int, percent: int) -> int:
     return (100 - percent) * (size_a + size_b) // (100 + percent)
 
 
+def open_ranges(size: int, high: int, percent: int, n1: int, k2: int) -> int:
+    """In how many ranges at least a set of this size shares a signature with any partner of its window."""
+    return n1 - farthest(size, min(high, size * 100 // percent), percent) // (k2 + 1)
+
+
+def _fails(sizes: np.ndarray, need: np.ndarray, n1: int, n2: int, k2: int) -> float:
+    """Chance that a set has an empty signature in ``need`` ranges or more, at the worst of the sizes."""
+    empty = np.exp(-sizes / (n1 * n2))
+    ways = np.array([math.comb(n2, i) for i in range(n2 - k2, n2 + 1)])[:, None]
+    left = np.arange(n2 - k2, n2 + 1)[:, None]
+    one = np.minimum((ways * empty ** left * (1 - empty) ** (n2 - left)).sum(axis=0), 1 - 1e-12)
+    worst = 0.0
+    for chance, least in zip(one.tolist(), need.tolist()):
+        mean = n1 * chance
+        if least <= 0 or mean >= least:
+            return 1.0
+        worst = max(worst, math.exp(least - mean + least * math.log(mean / least)) if mean else 0.0)     # Chernoff's bound
+    return worst
+
+
 @functools.lru_cache(maxsize=4096)
-def window(j: int, percent: int) -> tuple[int, int, int, int, int, int]:
-    """(low, high, n1, n2, k2, slack) of the sizes in window j."""
-    low = int(_GROWTH ** j)
+def window(j: int, percent: int) -> tuple[int, int, int, int, int]:
+    """(low, high, n1, n2, k2) of the sizes in window j: the fewest signatures, with half of the sets at least settled in one partition."""
+    low = max(int(_GROWTH ** j), 1)
     high = int(math.ceil(_GROWTH ** (j + 1) * 100 / percent)) + 1
     k = farthest(high, high, percent)
-    n2, k2 = (3, 1) if high <= 64 else (2, 1)
-    kept = n2 - k2
-    slack = 0
-    while True:
-        n1 = k // (k2 + 1) + 1 + slack
-        empty = n1 * math.comb(n2, kept) * math.exp(-low * kept / (n1 * n2))
-        tail, term = 1.0, math.exp(-empty)
-        for i in range(slack + 1):
-            tail -= term
-            term *= empty / (i + 1)
-        if tail < 1e-6 or slack >= 12:
-            return low, high, n1, n2, k2, slack
-        slack += 1
+    sizes = np.unique(np.linspace(low, high, 9).astype(np.int64))
+    choices = []
+    for k2 in range(min(k, _MOST_PARTS - 1) + 1):
+        for n2 in range(k2 + 1, _MOST_PARTS + 1 if k2 else 2):
+            ways, fewest = math.comb(n2, k2), k // (k2 + 1) + 1
+            for n1 in sorted({fewest + extra * max(fewest // 16, 1) for extra in range(9)}):
+                need = np.array([open_ranges(int(s), high, percent, n1, k2) for s in sizes])
+                fails = _fails(sizes, need, n1, n2, k2)
+                choices.append((max(fails, 0.5), n1 * ways / max(1 - fails, 0.01), n1, n2, k2))
+    _, _, n1, n2, k2 = min(choices)
+    return low, high, n1, n2, k2
+
+
+def left_out(size: int, percent: int) -> int:
+    """Most features of a set of this size that a set it links with may lack."""
+    return max(size - -(-percent * (size + other) // (100 + percent)) for other in range(max(size * percent // 100, 1), size * 100 // percent + 1)
+               if 100 * min(size, other) >= percent * max(size, other))
+
+
+@functools.lru_cache(maxsize=1024)
+def ways_to_leave_out(size: int, percent: int) -> tuple[tuple[int, ...], ...] | None:
+    """The places left out of a set of a few features, in all ways a link allows; None if those are too many."""
+    most = max(left_out(size, percent), 0)
+    if size > _FEW or sum(math.comb(size, i) for i in range(most + 1)) > _FEW_WAYS:
+        return None
+    return tuple(w for i in range(most + 1) for w in combinations(range(size), i))
+
+
+@functools.lru_cache(maxsize=64)
+def few(percent: int) -> int:
+    """The greatest size up to which sets and their partners emit all ways of leaving out features."""
+    size = 0
+    while ways_to_leave_out(size + 1, percent) is not None:
+        size += 1
+    return size
 
 
 def windows_of(size: int, percent: int) -> list[int]:
     """The windows that hold a size."""
     j, found = int(math.log(max(size, 1)) / math.log(_GROWTH)) + 1, []
-    while j >= 0 and window(j, percent)[1] >= size:
-        if window(j, percent)[0] <= size:
+    while j >= 0:
+        high = int(math.ceil(_GROWTH ** (j + 1) * 100 / percent)) + 1
+        if high < size:
+            break
+        if max(int(_GROWTH ** j), 1) <= size:
             found.append(j)
         j -= 1
     return found
@@ -91,27 +147,45 @@ def _edges(parts: int) -> np.ndarray:
 
 def signatures(features: np.ndarray, percent: int) -> np.ndarray:
     """All signatures of one sorted set of feature hashes."""
-    out = []
-    for j in windows_of(len(features), percent):
-        low, high, n1, n2, k2, slack = window(j, percent)
-        if farthest(high, high, percent) == 0:
-            continue
-        salted = np.zeros(len(features) + 1, np.uint64)
-        np.cumsum(text.mix(features ^ np.uint64(j + 1)), out=salted[1:])
-        at = np.searchsorted(features, _edges(n1 * n2))
-        at[-1] = len(features)
+    out, size = [], len(features)
+    if size <= few(percent):
+        salted = text.mix(features ^ np.uint64(0x5EED))
+        ways = ways_to_leave_out(size, percent) if size else ()
+        gone = np.array([salted[list(w)].sum(dtype=np.uint64) for w in ways], np.uint64)
+        out.append(text.mix((salted.sum(dtype=np.uint64, keepdims=True) - gone) ^ np.uint64(0xFE3)))
+    # A set of a few features may link with a larger one: both are in a window then too.
+    if size * 100 // percent > few(percent):
+        for j in windows_of(size, percent):
+            out.append(_window_signatures(features, j, percent))
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def _window_signatures(features: np.ndarray, j: int, percent: int) -> np.ndarray:
+    low, high, n1, n2, k2 = window(j, percent)
+    if farthest(high, high, percent) == 0:
+        return np.zeros(0, np.uint64)
+    need, out = open_ranges(len(features), high, percent, n1, k2), []
+    for partition in range(_PARTITIONS):
+        own = np.sort(text.mix(features ^ np.uint64(partition << 32))) if partition else features
+        salted = np.zeros(len(own) + 1, np.uint64)
+        np.cumsum(text.mix(own ^ np.uint64(j + 1)), out=salted[1:])
+        at = np.searchsorted(own, _edges(n1 * n2))
+        at[-1] = len(own)
         sums = (salted[at[1:]] - salted[at[:-1]]).reshape(n1, n2)
         counts = np.diff(at).reshape(n1, n2)
-        base = text.mix(np.arange(n1, dtype=np.uint64) * np.uint64(1 << 20) + np.uint64(j))
+        base = text.mix(np.arange(n1, dtype=np.uint64) * np.uint64(1 << 20) + np.uint64(partition << 8 | j))
         found, full = [], []
         for c, kept in enumerate(combinations(range(n2), n2 - k2)):
             found.append(text.mix(sums[:, kept].sum(axis=1, dtype=np.uint64) ^ text.mix(base + np.uint64(c << 50))))
             full.append(counts[:, kept].sum(axis=1) > 0)
         found, full = np.concatenate(found), np.stack(full)
-        if (~full.all(axis=0)).sum() <= slack:
+        settled = (~full.all(axis=0)).sum() < need
+        if settled or partition < _PARTITIONS - 1:
             found = found[full.reshape(-1)]
         out.append(found)
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+        if settled:
+            break
+    return np.concatenate(out)
 
 
 def sketch(features: np.ndarray, words: int | None = None) -> np.ndarray:
@@ -122,6 +196,41 @@ def sketch(features: np.ndarray, words: int | None = None) -> np.ndarray:
     return np.packbits((np.bincount(cell, minlength=64 * words) & 1).astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def folded(words: np.ndarray, most: int) -> np.ndarray:
+    """The sketch of at most so many words: its halves laid over each other."""
+    while len(words) > most:
+        half = len(words) // 2
+        words = words[:half] ^ words[half:]
+    return words
+
+
+class _Sketches:
+    """The sketches of a table's rows, compared in the shorter one's length."""
+
+    def __init__(self, column: pa.Array) -> None:
+        self.words = column.flatten().to_numpy().view(np.uint64)
+        self.first = column.offsets.to_numpy().astype(np.int64) - (column.offsets[0].as_py() if len(column) else 0)
+        self.size = np.diff(self.first)
+
+    def _of(self, rows: np.ndarray, width: int) -> np.ndarray:
+        out = np.empty((len(rows), width), np.uint64)
+        for size in np.unique(self.size[rows]).tolist():
+            own = np.flatnonzero(self.size[rows] == size)
+            words = self.words[self.first[rows[own]][:, None] + np.arange(size)]
+            out[own] = np.bitwise_xor.reduce(words.reshape(len(own), size // width, width), axis=1)
+        return out
+
+    def apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """In how many bits at least the sets of each pair differ."""
+        out, shorter = np.zeros(len(x), np.int64), np.minimum(self.size[x], self.size[y])
+        for width in np.unique(shorter).tolist():
+            same = np.flatnonzero(shorter == width)
+            for start in range(0, len(same), 1 << 14):
+                own = same[start:start + (1 << 14)]
+                out[own] = np.bitwise_count(self._of(x[own], width) ^ self._of(y[own], width)).sum(axis=1, dtype=np.int64)
+        return out
+
+
 def _sets(batch: pa.RecordBatch, n: int) -> Iterator[tuple[int, np.ndarray]]:
     for row, end, hashes, at in text.documents(batch.column("text")):
         for i in range(row, end):
@@ -150,7 +259,7 @@ def _describe(n: int, batches):
             size[i] = len(s)
             a[i], b[i] = _keys(s)
             full.append(sketch(s))
-            small.append(sketch(s, _SKETCH_WORDS))
+            small.append(folded(full[-1], _CARRIED))
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(size), pa.array(a), pa.array(b), _long_lists(full), _long_lists(small)],
                                          ["id", "n_shingles", "key_a", "key_b", "sketch", "small"])
 
@@ -222,7 +331,7 @@ def _crossing(percent: int, nearest: int | None, batches):
     keys = ["sig", "left", "right"]
     for table in _whole_runs(batches, keys):
         ids, sizes, comps, own, left, right = (table.column(c).to_numpy() for c in ("id", "n_shingles", "component", "block", "left", "right"))
-        sketches = table.column("small").combine_chunks().flatten().to_numpy().reshape(len(ids), -1).view(np.uint64)
+        sketches = _Sketches(table.column("small").combine_chunks())
         new = np.ones(len(ids), bool)
         new[1:] = np.any([table.column(k).to_numpy()[1:] != table.column(k).to_numpy()[:-1] for k in keys], axis=0)
         run, starts = np.cumsum(new) - 1, np.flatnonzero(new)
@@ -234,7 +343,7 @@ def _crossing(percent: int, nearest: int | None, batches):
             x, y = x[ok], y[ok]
             ok = 100 * np.minimum(sizes[x], sizes[y]) >= percent * np.maximum(sizes[x], sizes[y])
             x, y = x[ok], y[ok]
-            apart = np.bitwise_count(sketches[x] ^ sketches[y]).sum(axis=1, dtype=np.int64)
+            apart = sketches.apart(x, y)
             ok = apart * (100 + percent) <= (100 - percent) * (sizes[x] + sizes[y])
             return x[ok], y[ok], apart[ok]
 
@@ -302,6 +411,8 @@ def _open_pairs(live: DataFrame, member: DataFrame, found: DataFrame, percent: i
 
 def _candidates(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> tuple[DataFrame, ...]:
     """(described rows, classes of equal sets, their representatives, rows with id, (sig, representative) of shared signatures)."""
+    if percent < 50:
+        raise ValueError("sketches are compared for similarities of 50 % or more")
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     described = cut(plain.mapInArrow(functools.partial(_describe, n), "id long, n_shingles long, key_a long, key_b long, "
                                      "sketch array<bigint>, small array<bigint>"), "sets")
@@ -329,24 +440,30 @@ def _candidates(docs: DataFrame, id_col: str, text_col: str, n: int, percent: in
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4,
                        percent: int = 85) -> DataFrame:
     """(id_col, n_shingles, component_id) of every row; see the module for the method and edge cases."""
-    described, classes, member, known, live = _candidates(docs, id_col, text_col, n, percent)
+    with scratch(docs.sparkSession) as keep:
+        described, classes, member, known, live = _candidates(docs, id_col, text_col, n, percent)
+        final = keep(_connected(live, member, known, n, percent))
+        keep(described), keep(classes)
+    by_class = classes.join(final.withColumnRenamed("id", "rep"), "rep", "left").select(
+        "id", F.coalesce("component", "rep").alias("component"))
+    return (described.select("id", "n_shingles").join(by_class, "id", "left")
+            .select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id")))
+
+
+def _connected(live: DataFrame, member: DataFrame, known: DataFrame, n: int, percent: int) -> DataFrame:
+    """(id, component) of the representatives that link with another one: by leaders, by the nearest, then by all open pairs."""
     orders = [F.xxhash64("id", F.lit(seed)) for seed in (1, 2)]
     leaders = live.groupBy("sig").agg(*[F.min(F.struct(o.alias("o"), "id"))["id"].alias(f"lead{i}") for i, o in enumerate(orders)])
     led = live.join(leaders, "sig").select("id", F.explode(F.array("lead0", "lead1")).alias("lead")).where("id != lead")
     tested = cut(led.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct(), "led")
-    links = _linked(tested, member, known, n, percent)
-    final = cut(graph.components(links), "components")
+    final = cut(graph.components(_linked(tested, member, known, n, percent)), "components")
     for nearest in (NEAREST, None):
         crossing = cut(_open_pairs(live, member, final, percent, nearest).join(tested, ["a", "b"], "left_anti"), "crossing")
         more = _linked(crossing, member, known, n, percent)
         if not more.isEmpty():
             final = cut(graph.merged(final, more), "components")
         tested = tested.unionByName(crossing)
-
-    by_class = classes.join(final.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "id", F.coalesce("component", "rep").alias("component"))
-    return (described.select("id", "n_shingles").join(by_class, "id", "left")
-            .select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id")))
+    return final
 
 
 def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4,

@@ -67,8 +67,7 @@ TARGETS = {
 def mixed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", mixing.tokens(F.col("text")).alias("tokens"),
                                                      mixing.register(F.col("text")).alias("topic"))
-    # The twin in SQL wants no tokens of values without a target.
-    return mixing.mix(docs, TARGETS, unlisted="none").select("doc_id", "source", "lang", "topic", "tokens", "weight", "probability", "kept")
+    return mixing.mix(docs, TARGETS).select("doc_id", "source", "lang", "topic", "tokens", "weight", "probability", "kept")
 
 
 def quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,8 +207,8 @@ FROM f JOIN r USING (rid)
 
 def _shares_sql(dim: str) -> str:
     rows = ", ".join(f"('{v}', {share}e0)" for v, share in sorted(TARGETS[dim].items()))
-    return (f"t_{dim} AS (SELECT v, share / sum(share) OVER () * (SELECT sum(total) FROM cells) AS target FROM (VALUES {rows}) x(v, share) "
-            f"WHERE v IN (SELECT {dim} FROM cells WHERE total > 0))")
+    return (f"t_{dim} AS (SELECT v, share / sum(share) OVER () * (SELECT sum(total) FROM cells WHERE {dim} <> 'other') AS target FROM (VALUES {rows}) x(v, share) "
+            f"WHERE v IN (SELECT {dim} FROM cells WHERE total > 0) UNION ALL SELECT {dim}, sum(total) FROM cells WHERE {dim} = 'other' GROUP BY {dim})")
 
 
 def _step_sql(inner: str, dim: str) -> str:

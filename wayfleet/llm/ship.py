@@ -1,4 +1,4 @@
-"""Get a session ready: the package on the executors, batches of bounded size between Spark and Python."""
+"""Get a session ready: the package on the executors, bounded batches between Spark and Python, no old shuffle files."""
 
 from __future__ import annotations
 
@@ -15,7 +15,11 @@ BATCH_BYTES = 8 << 20
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Add the package as a Python file of the application, once (Spark serves it to every executor), and bound the batches."""
+    """Add the package as a Python file of the application, once (Spark serves it to every executor), and bound the batches.
+
+    Shuffle files go when the write that needed them has ended; what goes on starts from written tables.
+    """
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     sc = spark.sparkContext
     if sc.applicationId not in _SHIPPED:
