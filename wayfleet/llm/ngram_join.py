@@ -55,6 +55,7 @@ _PARTITIONS = 16       # partitions a set may go through
 _FEW, _FEW_WAYS = 24, 64    # features of a set, and ways to leave some out, that are listed
 BLOCK = 512            # members of a bucket compared at a time
 NEAREST = 3            # partners a member of a large block is checked with before all others
+_KNOWN = 256           # tested partners that go along with a member
 _SMALL = 8             # members of a block whose pairs are made all at once
 
 
@@ -322,11 +323,17 @@ def _whole_runs(batches, keys: list[str]):
         yield held
 
 
+def _pair_codes(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """64-bit hash of each unordered pair of ids."""
+    low, high = np.minimum(x, y).view(np.uint64), np.maximum(x, y).view(np.uint64)
+    return text.mix(low ^ text.mix(high + np.uint64(1)))
+
+
 @text.tidied
 def _crossing(percent: int, nearest: int | None, batches):
     """Pairs of a bucket's blocks in different components that sizes and sketches cannot rule out.
 
-    Of a large block only the ``nearest`` by sketch for each member, if given.
+    Of a large block only the ``nearest`` by sketch for each member, if given. Pairs that a member knows as tested are left out.
     """
     keys = ["sig", "left", "right"]
     for table in _whole_runs(batches, keys):
@@ -361,6 +368,11 @@ def _crossing(percent: int, nearest: int | None, batches):
                     y = y[y > x]
                 found.append((np.full(len(y), x), y))
         x, y = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in (0, 1))
+        known = table.column("known").combine_chunks()
+        of = np.repeat(ids, np.diff(known.offsets.to_numpy()))
+        code = np.unique(_pair_codes(ids[x], ids[y]), return_index=True)
+        fresh = code[1][~np.isin(code[0], _pair_codes(of, known.flatten().to_numpy()))]
+        x, y = x[fresh], y[fresh]
         low, high = np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])
         yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
 
@@ -394,14 +406,33 @@ def _linked(pairs: DataFrame, member: DataFrame, known: DataFrame, n: int, perce
     return cut(near.join(side("b"), "b").join(side("a"), "a").where(100 * shared >= percent * (total - shared)).select("a", "b"), "links")
 
 
-def _open_pairs(live: DataFrame, member: DataFrame, found: DataFrame, percent: int, nearest: int | None) -> DataFrame:
-    """Distinct pairs (a, b) of the buckets that still span components, block by block."""
+def _tested(pairs: DataFrame) -> DataFrame:
+    """(id, known): tested partners, each pair with the member that has fewer; more than ``_KNOWN`` are not remembered."""
+    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    side = lambda tag: ends.select(F.col("id").alias(tag), F.col("n").alias(f"n_{tag}"))
+    own = F.when(F.col("n_a") <= F.col("n_b"), F.struct(F.col("a").alias("id"), F.col("b").alias("other"))).otherwise(
+        F.struct(F.col("b").alias("id"), F.col("a").alias("other")))
+    held = pairs.join(side("a"), "a").join(side("b"), "b").select(own.alias("o")).select("o.*")
+    place = F.row_number().over(Window.partitionBy("id").orderBy("other"))
+    return held.withColumn("place", place).where(F.col("place") <= _KNOWN).groupBy("id").agg(F.collect_list("other").alias("known"))
+
+
+def _open_pairs(live: DataFrame, member: DataFrame, found: DataFrame, percent: int, nearest: int | None,
+                tested: DataFrame | None = None, buckets: int | None = None) -> DataFrame:
+    """Distinct pairs (a, b) of the buckets that still span components, block by block; those of ``tested`` may be left out.
+
+    ``buckets``: in how many of its open buckets a member is looked at, all if not given.
+    """
     placed = member.select("id", "n_shingles", "small").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     rows = live.join(placed.select("id", "component"), "id")
     spread = rows.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"))
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    rows = (rows.join(spread.where("low != high").select("sig", blocks.alias("blocks")), "sig")
-            .withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    spread = cut(spread.where("low != high").select("sig", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), "open")
+    placed = placed.join(_tested(tested), "id", "left") if tested is not None else placed.withColumn("known", F.lit(None).cast("array<bigint>"))
+    placed = cut(placed.withColumn("known", F.coalesce("known", F.array().cast("array<bigint>"))), "placed")
+    rows = live.join(spread, "sig")
+    if buckets:
+        rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("id").orderBy("sig"))).where(F.col("place") <= buckets)
+    rows = (rows.withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("sig", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "id")
             .join(placed, "id"))
@@ -430,10 +461,13 @@ def _candidates(docs: DataFrame, id_col: str, text_col: str, n: int, percent: in
     # Copies inside a task are signed once; those of several tasks meet in the buckets and are mapped to their class there.
     signed = known.mapInArrow(functools.partial(_signed, n, percent), "sig long, id long")
     bucket = Window.partitionBy("sig")
-    spans = lambda rows: (rows.withColumn("low", F.min("id").over(bucket)).withColumn("high", F.max("id").over(bucket))
-                          .where("low != high").select("sig", "id"))
+    spans = lambda rows, name="sig": (rows.withColumn("low", F.min("id").over(bucket)).withColumn("high", F.max("id").over(bucket))
+                                      .where("low != high").select(F.col(name).alias("sig"), "id"))
     live = cut(spans(signed), "signed")
-    live = cut(spans(live.join(classes.select("id", "rep"), "id").select("sig", F.col("rep").alias("id")).distinct()), "live")
+    # Buckets of the same members say the same: one of them is kept, named by its members.
+    members = F.xxhash64(F.bit_xor(F.xxhash64("id")).over(bucket), F.bit_xor(F.xxhash64("id", F.lit(1))).over(bucket), F.count("id").over(bucket))
+    shared = live.join(classes.select("id", "rep"), "id").select("sig", F.col("rep").alias("id")).distinct().withColumn("members", members)
+    live = cut(spans(shared.select("sig", "id", "members"), "members").distinct(), "live")
     return described, classes, member, known, live
 
 
@@ -457,8 +491,9 @@ def _connected(live: DataFrame, member: DataFrame, known: DataFrame, n: int, per
     led = live.join(leaders, "sig").select("id", F.explode(F.array("lead0", "lead1")).alias("lead")).where("id != lead")
     tested = cut(led.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct(), "led")
     final = cut(graph.components(_linked(tested, member, known, n, percent)), "components")
-    for nearest in (NEAREST, None):
-        crossing = cut(_open_pairs(live, member, final, percent, nearest).join(tested, ["a", "b"], "left_anti"), "crossing")
+    # A few buckets of each member first: what they settle need not be met again in all the others.
+    for nearest, buckets in ((NEAREST, NEAREST), (None, 2 * NEAREST), (None, None)):
+        crossing = cut(_open_pairs(live, member, final, percent, nearest, tested, buckets).join(tested, ["a", "b"], "left_anti"), "crossing")
         more = _linked(crossing, member, known, n, percent)
         if not more.isEmpty():
             final = cut(graph.merged(final, more), "components")
