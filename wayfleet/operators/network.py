@@ -183,31 +183,36 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return components_of_links(edges.select(F.col("start_node.node_id").alias("a"), F.col("end_node.node_id").alias("b")))
 
 
-def components_of_links(arcs: DataFrame, max_rounds: int = 1000) -> DataFrame:
-    """(node_id, component) over links (a, b), taken in both directions.
+def components_of_links(arcs: DataFrame, max_rounds: int = 200, lanes: int = 16) -> DataFrame:
+    """(node_id, component) over links (a, b), taken in both directions; named by the smallest node id.
 
-    Every round takes the smallest label among the neighbours and then jumps to
-    that label's own label, so chains shrink much faster than one hop a round.
+    Alternating stars: each node first hands its larger neighbours to the least node it
+    knows, then its smaller ones. Rounds grow with the logarithm of the longest chain. A node
+    that many point at would be one hot key: its links are dealt to ``lanes`` by a hash of the
+    other end, and the least neighbour, combined before the shuffle, goes to every lane.
     """
-    links = cut(arcs.select("a", "b").unionByName(arcs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    labels = cut(links.groupBy("a").agg(F.least(F.min("a"), F.min("b")).alias("label"))
-                 .select(F.col("a").alias("node_id"), "label"), "labels")
+    nodes = arcs.select(F.col("a").alias("node_id")).unionByName(arcs.select(F.col("b").alias("node_id"))).distinct()
+    links = cut(arcs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     for _ in range(max_rounds):
-        near = (links.join(labels, F.col("b") == F.col("node_id"))
-                .groupBy("a").agg(F.min("label").alias("near")))
-        jump = labels.select(F.col("node_id").alias("label"), F.col("label").alias("far"))
-        step = (labels.join(near, F.col("node_id") == F.col("a"), "left")
-                .join(jump, "label", "left")
-                .select("node_id", F.col("label").alias("before"),
-                        F.least("label", F.coalesce("near", "label"), F.coalesce("far", "label")).alias("label")))
-        step = cut(step, "labels")
-        done = step.filter(F.col("label") != F.col("before")).isEmpty()
-        labels = step.select("node_id", "label")
-        if done:
-            return labels.select("node_id", F.col("label").alias("component"))
+        # Settled: every node points at one smaller node, which points at none.
+        if links.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty() and \
+                links.join(links.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty():
+            return nodes.join(links, F.col("node_id") == F.col("a"), "left").select("node_id", F.coalesce("b", "node_id").alias("component"))
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        links = cut(_star(both, lanes).where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b")).where("a <> b").distinct(), "links")
+        pointed = _star(links, lanes)
+        links = cut(pointed.select(F.when(F.col("b") == F.col("least"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("least").alias("b"))
+                    .where("a <> b").distinct(), "links")
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
+def _star(links: DataFrame, lanes: int) -> DataFrame:
+    """The links (a, b) with the least node that a or its neighbours are."""
+    least = links.groupBy("a").agg(F.min("b").alias("_least")).select("a", F.least("a", "_least").alias("least"),
+                                                                       F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("_lane"))
+    return links.withColumn("_lane", F.pmod(F.xxhash64("b"), F.lit(lanes)).cast("int")).join(least, ["a", "_lane"]).drop("_lane")
+
+
 def largest_component(edges: DataFrame) -> DataFrame:
     """Edges that start in the component with most nodes (smallest name on a tie)."""
     parts = cut(connected_components(edges), "components")

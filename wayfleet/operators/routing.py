@@ -92,6 +92,16 @@ def _labels(goals: DataFrame, arcs: DataFrame, max_rounds: int) -> DataFrame:
     raise RuntimeError("shortest paths did not settle")
 
 
+def _least_arcs(labels: DataFrame, arcs: DataFrame) -> DataFrame:
+    """The labels with, of all arcs that give a node its cost, the smallest: ties do not depend on the order of work."""
+    ahead = labels.select("source", F.col("node").alias("src"), F.col("cost").alias("_so_far"))
+    given = (ahead.join(arcs.select("src", F.col("dst").alias("node"), "arc_cost", F.col("via").alias("_arc")), "src")
+             .select("source", "node", (F.col("_so_far") + F.col("arc_cost")).alias("cost"), "_arc"))
+    least = given.join(labels.select("source", "node", "cost"), ["source", "node", "cost"], "left_semi").groupBy("source", "node").agg(F.min("_arc").alias("_arc"))
+    return cut(labels.join(least, ["source", "node"], "left").select(
+        "source", "node", "cost", F.when(F.col("via").isNotNull(), F.coalesce("_arc", "via")).alias("via")), "labels")
+
+
 def _possible(pairs: DataFrame, arcs: DataFrame) -> DataFrame:
     """Pairs that may be connected at all.
 
@@ -154,7 +164,7 @@ def shortest_paths(pairs: DataFrame, costs: DataFrame, nodes: DataFrame | None =
     priced = (asked.join(reached, ["_s", "_t"], "left")
               .withColumn("cost", F.when(F.col("_s") == F.col("_t"), F.lit(0.0)).otherwise(F.col("cost"))))
     if with_path:
-        paths = _trace(reached.select(F.col("_s").alias("source"), F.col("_t").alias("target")), labels, arcs)
+        paths = _trace(reached.select(F.col("_s").alias("source"), F.col("_t").alias("target")), _least_arcs(labels, arcs), arcs)
         priced = priced.join(paths.withColumnsRenamed({"source": "_s", "target": "_t"}), ["_s", "_t"], "left")
     kept = ["cost", "path"] if with_path else ["cost"]
     out = (wanted.join(priced.select("source", "target", *kept), ["source", "target"], "left")

@@ -529,6 +529,17 @@ MAIN: dict[str, str] = {
     "streamed_route_changes": """SELECT vehicle_id, CASE WHEN path_csv = '' THEN 'old_' || vehicle_id ELSE path_csv END AS path,
         COUNT(*) AS changes FROM f_route_updates GROUP BY 1, 2""",
 }
+MAIN["versioned_edge_state"] = MAIN["streamed_edge_state"]
+MAIN["merged_documents"] = MAIN["upserted_vehicles"]
+MAIN["document_changes"] = f"""SELECT CAST(2 AS BIGINT) AS version, u.vehicle_id, CASE WHEN d.vehicle_id IS NULL THEN 'insert' ELSE 'update' END AS kind,
+        CASE WHEN d.vehicle_id IS NOT NULL THEN 'stale' END AS old_status, d.new_route IS NOT NULL AS had_route, u.path_csv AS new_route,
+        {up('u.time', 4)} AS time
+        FROM latest_updates u LEFT JOIN (SELECT * FROM docs WHERE vehicle_id IS NOT NULL) d ON u.vehicle_id = d.vehicle_id"""
+_EXPIRED = """(SELECT edge_id, is_congested, last_updated, last_updated + 120000 AS at_ms FROM
+        (SELECT edge_id, last_updated, is_congested, LEAD(last_updated) OVER (PARTITION BY edge_id ORDER BY last_updated) AS later FROM states)
+        WHERE later >= last_updated + 120000 OR (later IS NULL AND last_updated + 120000 < (SELECT MAX(last_updated) - 10000 FROM states)))"""
+MAIN["expiry_events"] = f"""SELECT edge_id, 'expired' AS event, at_ms, last_updated FROM {_EXPIRED}
+        UNION ALL SELECT edge_id, 'unblocked', at_ms, last_updated FROM {_EXPIRED} WHERE is_congested"""
 MAIN["streamed_match_archive"] = MAIN["streamed_archive"]
 MAIN["streamed_traffic_job"] = MAIN["streamed_edge_state"]
 MAIN["streamed_snapshot"] = MAIN["traffic_feed"]

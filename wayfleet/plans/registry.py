@@ -616,6 +616,34 @@ def upserted_vehicles(d: Inputs) -> DataFrame:
         "vehicle_id", "entity_type", "route_status", text("new_assigned_route"), r("estimated_total_travel_time"))
 
 
+def _document_table(d: Inputs):
+    """Documents in buckets; the newest update of each vehicle is merged in, and merged again."""
+    from wayfleet.sources.versions import DocumentTable
+    changes = d.updates.groupBy("vehicle_id").agg(F.max_by(F.struct("path", "time"), "update_seq").alias("u")).select(
+        "vehicle_id", F.col("u.path").alias("new_assigned_route"), F.col("u.time").alias("estimated_total_travel_time"))
+    base = d.documents.filter("vehicle_id is not null").withColumn("route_status", F.lit("stale"))
+    table = DocumentTable(d.spark, streamed.folder(d, "documents"), "vehicle_id", base.schema)
+    table.create(base)
+    for _ in range(2):
+        table.merge(changes, reset=("route_status",))
+    return table
+
+
+@query
+def merged_documents(d: Inputs) -> DataFrame:
+    return _document_table(d).read().select(
+        "vehicle_id", "entity_type", "route_status", text("new_assigned_route"), r("estimated_total_travel_time"))
+
+
+@query
+def document_changes(d: Inputs) -> DataFrame:
+    """Each change once, with both images, although the updates came twice."""
+    return _document_table(d).changes(since=1).select(
+        "version", "vehicle_id", "kind", F.col("before.route_status").alias("old_status"),
+        F.col("before.new_assigned_route").isNotNull().alias("had_route"), text("after.new_assigned_route", "new_route"),
+        F.round("after.estimated_total_travel_time", PLACES).alias("time"))
+
+
 @query
 def stored_results(d: Inputs) -> DataFrame:
     from wayfleet.sources.tables import upsert_by_key
@@ -750,3 +778,13 @@ def streamed_snapshot(d: Inputs) -> DataFrame:
 @query
 def streamed_conflation(d: Inputs) -> DataFrame:
     return streamed.conflation(d).select("id", F.unix_millis("tick").alias("tick_ms"), "lat", "lon", "speed")
+
+
+@query
+def versioned_edge_state(d: Inputs) -> DataFrame:
+    return streamed.versioned_state(d)
+
+
+@query
+def expiry_events(d: Inputs) -> DataFrame:
+    return streamed.expiry_events(d)

@@ -7,33 +7,36 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfleet.schemas import VEHICLE
+from wayfleet.schemas import EDGE_STATE, VEHICLE
 from wayfleet.session import scratch_dir
 from wayfleet.sources import pings, tables
-from wayfleet.streaming import jobs
+from wayfleet.sources.versions import StateTable
+from wayfleet.streaming import expiry, jobs
 
+SLICES, FILES = 4, 4        # of a stream that has to come in several batches, and files of each
 
-def _folder(d, name: str) -> str:
+
+def folder(d, name: str) -> str:
     return f"{scratch_dir(d.spark)}/wayfleet/{name}-{uuid.uuid4().hex}"
 
 
 def _payload_stream(d) -> DataFrame:
-    path = _folder(d, "payloads")
+    path = folder(d, "payloads")
     rows = d.pings.select("entity_id", "entity_type", "latitude", "longitude", "speed", "timestamp")
     pings.encode_pings(rows).select("value").write.text(path)
     return pings.decode_pings(pings.read_payload_files(d.spark, path))
 
 
 def edge_state(d) -> DataFrame:
-    out = _folder(d, "stream-state")
+    out = folder(d, "stream-state")
     matched = jobs.matched_stream(_payload_stream(d), d.edge_index)
-    jobs.start_edge_state(matched, d.edges, out, _folder(d, "ckpt"), every=None).awaitTermination()
+    jobs.start_edge_state(matched, d.edges, out, folder(d, "ckpt"), every=None).awaitTermination()
     return tables.read_state(d.spark, out)
 
 
 def traffic_job(d) -> DataFrame:
     """State published by the one-call job: match in the batch, archive, average, publish."""
-    folder = _folder(d, "traffic-job")
+    folder = folder(d, "traffic-job")
     for query in jobs.start_traffic(_payload_stream(d), d.edge_index, d.edges, folder, every=None):
         query.awaitTermination()
     return tables.read_state(d.spark, f"{folder}/state")
@@ -41,33 +44,33 @@ def traffic_job(d) -> DataFrame:
 
 def snapshot(d) -> DataFrame:
     """The traffic feed that a periodic reader takes from the published state."""
-    out = _folder(d, "stream-state")
+    out = folder(d, "stream-state")
     matched = jobs.matched_stream(_payload_stream(d), d.edge_index)
-    jobs.start_edge_state(matched, d.edges, out, _folder(d, "ckpt"), every=None).awaitTermination()
+    jobs.start_edge_state(matched, d.edges, out, folder(d, "ckpt"), every=None).awaitTermination()
     return jobs.traffic_snapshot_rows(d.spark, out)
 
 
 def conflation(d) -> DataFrame:
     """Newest position per truck and second, as the stream gives them out."""
-    out = _folder(d, "stream-positions")
+    out = folder(d, "stream-positions")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     (jobs.conflated_stream(_payload_stream(d)).writeStream.outputMode("update").foreachBatch(write)
-     .option("checkpointLocation", _folder(d, "ckpt")).trigger(availableNow=True).start().awaitTermination())
+     .option("checkpointLocation", folder(d, "ckpt")).trigger(availableNow=True).start().awaitTermination())
     return d.spark.read.parquet(out).drop("batch")
 
 
 def archive(d) -> DataFrame:
-    out = _folder(d, "stream-archive")
-    jobs.start_archive(jobs.matched_stream(_payload_stream(d), d.edge_index), out, _folder(d, "ckpt"), every=None).awaitTermination()
+    out = folder(d, "stream-archive")
+    jobs.start_archive(jobs.matched_stream(_payload_stream(d), d.edge_index), out, folder(d, "ckpt"), every=None).awaitTermination()
     return _daily(d.spark.read.parquet(out))
 
 
 def match_archive(d) -> DataFrame:
-    out = _folder(d, "match-archive")
-    jobs.start_match_archive(_payload_stream(d), d.edge_index, out, _folder(d, "ckpt"), every=None).awaitTermination()
+    out = folder(d, "match-archive")
+    jobs.start_match_archive(_payload_stream(d), d.edge_index, out, folder(d, "ckpt"), every=None).awaitTermination()
     return _daily(d.spark.read.parquet(out).withColumn("event_date", F.to_date("event_time")))
 
 
@@ -78,10 +81,55 @@ def _daily(rows: DataFrame) -> DataFrame:
 
 def route_changes(d) -> DataFrame:
     """Every logged route update as a document, read back as a stream of effective routes."""
-    log, out = _folder(d, "route-log"), _folder(d, "route-feed")
+    log, out = folder(d, "route-log"), folder(d, "route-feed")
     (d.updates.select("vehicle_id", F.col("path").alias("new_assigned_route"), F.col("time").alias("estimated_total_travel_time"),
                       F.array(F.concat(F.lit("old_"), "vehicle_id")).alias("assigned_route")).write.parquet(log))
     changes = jobs.route_changes(d.spark.readStream.schema(VEHICLE).parquet(log))
-    (changes.writeStream.format("parquet").option("path", out).option("checkpointLocation", _folder(d, "ckpt"))
+    (changes.writeStream.format("parquet").option("path", out).option("checkpointLocation", folder(d, "ckpt"))
      .trigger(availableNow=True).start().awaitTermination())
     return d.spark.read.parquet(out).groupBy("vehicle_id", F.concat_ws(",", "path").alias("path")).agg(F.count(F.lit(1)).alias("changes"))
+
+
+def _in_slices(rows: DataFrame, time: str, write) -> None:
+    """Write ``rows`` in order of time, slice by slice, each as the same number of files: one trigger's worth."""
+    cuts = rows.approxQuantile(time, [i / SLICES for i in range(1, SLICES)], 0.01)
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = rows.where(F.lit(True) if low is None else F.col(time) > low).where(F.lit(True) if high is None else F.col(time) <= high)
+        write(part.repartition(FILES).write.mode("append"))
+
+
+class _Replayed(StateTable):
+    """A table whose every batch comes twice, and which is compacted in between."""
+
+    def publish(self, rows: DataFrame, batch_id: int) -> int:
+        version = super().publish(rows, batch_id)
+        if super().publish(rows.limit(0), batch_id) != version:
+            raise AssertionError("a replayed batch made a version")
+        return self.compact() if batch_id == 1 else version
+
+
+def versioned_state(d) -> DataFrame:
+    """State from at least three micro-batches, each replayed, with a compaction between them."""
+    path = folder(d, "sliced-payloads")
+    rows = d.pings.where("timestamp is not null").select("entity_id", "entity_type", "latitude", "longitude", "speed", "timestamp")
+    _in_slices(rows.withColumn("value", F.to_json(F.struct(*rows.columns))).select("value", "timestamp"), "timestamp",
+               lambda w: w.option("compression", "none").json(path))
+    # The payload is a field of each line here, next to the time that the slices go by.
+    raw = d.spark.readStream.schema("value string").option("maxFilesPerTrigger", FILES).json(path)
+    table = _Replayed(d.spark, folder(d, "versioned-state"), "edge_id", "last_updated", EDGE_STATE)
+    matched = jobs.matched_stream(pings.decode_pings(raw), d.edge_index)
+    jobs.start_versioned_state(matched, d.edges, table, folder(d, "ckpt"), every=None).awaitTermination()
+    if len(table.versions()) < 4 or not table.manifest()["base"]:
+        raise AssertionError("fewer than three batches and a compaction")
+    return table.read()
+
+
+def expiry_events(d) -> DataFrame:
+    """Published states in several batches; what expired by the end of the stream."""
+    expiry.use_rocksdb(d.spark)
+    path, out = folder(d, "sliced-states"), folder(d, "expiry")
+    _in_slices(d.states.select("edge_id", "last_updated", "is_congested"), "last_updated", lambda w: w.parquet(path))
+    states = d.spark.readStream.schema("edge_id string, last_updated long, is_congested boolean").option("maxFilesPerTrigger", FILES).parquet(path)
+    (expiry.expiry_events(states).writeStream.format("parquet").option("path", out).option("checkpointLocation", folder(d, "ckpt"))
+     .trigger(availableNow=True).start().awaitTermination())
+    return d.spark.read.schema(expiry.EVENT).parquet(out)

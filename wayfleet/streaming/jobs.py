@@ -11,6 +11,7 @@ from wayfleet.operators import serving, traffic
 from wayfleet.operators.matching import match_pings
 from wayfleet.operators.nearest import NearestIndex
 from wayfleet.sources import tables
+from wayfleet.sources.versions import StateTable
 
 
 def _triggered(writer, every: str | None):
@@ -111,6 +112,17 @@ def start_edge_state(matched: DataFrame, edges: DataFrame, path: str, checkpoint
     return _triggered(writer, every).start()
 
 
+def start_versioned_state(matched: DataFrame, edges: DataFrame, table: StateTable, checkpoint: str,
+                          every: str | None = "3 seconds", delay: str = S.WATERMARK_DELAY) -> StreamingQuery:
+    """Sliding edge speeds in update mode into a versioned table: readers see complete batches only, and a batch that comes again changes nothing."""
+    def publish(windows: DataFrame, batch_id: int) -> None:
+        table.publish(traffic.edge_state_rows(traffic.enrich_edges(traffic.publishable(windows), edges)), batch_id)
+
+    writer = (speed_stream(matched, delay).writeStream.outputMode("update")
+              .foreachBatch(publish).option("checkpointLocation", checkpoint))
+    return _triggered(writer, every).start()
+
+
 def conflated_stream(pings: DataFrame, delay: str = S.WATERMARK_DELAY) -> DataFrame:
     """Newest position per truck and second."""
     return traffic.conflate_positions(traffic.with_event_time(pings).withWatermark("event_time", delay))
