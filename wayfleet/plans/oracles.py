@@ -529,6 +529,8 @@ MAIN: dict[str, str] = {
     "streamed_route_changes": """SELECT vehicle_id, CASE WHEN path_csv = '' THEN 'old_' || vehicle_id ELSE path_csv END AS path,
         COUNT(*) AS changes FROM f_route_updates GROUP BY 1, 2""",
 }
+MAIN["stored_edge_order"] = "SELECT f.format, edge_id, p AS position FROM placed CROSS JOIN (VALUES ('parquet'), ('json')) f(format)"
+MAIN["stored_clipped_edges"] = MAIN["clipped_edges"]
 MAIN["versioned_edge_state"] = MAIN["streamed_edge_state"]
 MAIN["merged_documents"] = MAIN["upserted_vehicles"]
 MAIN["document_changes"] = f"""SELECT CAST(2 AS BIGINT) AS version, u.vehicle_id, CASE WHEN d.vehicle_id IS NULL THEN 'insert' ELSE 'update' END AS kind,

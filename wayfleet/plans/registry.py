@@ -259,6 +259,32 @@ def clipped_edges(d: Inputs) -> DataFrame:
     return out
 
 
+@query
+def stored_edge_order(d: Inputs) -> DataFrame:
+    """Edges written without numbers, as several files, and numbered by the order of the files and their rows when read."""
+    from wayfleet.sources import maps
+    ordered = d.edges.repartitionByRange(7, "edge_seq").sortWithinPartitions("edge_seq").drop("edge_seq")
+    out = None
+    for fmt in ("parquet", "json"):
+        path = streamed.folder(d, f"edges-{fmt}")
+        maps.write_edges(ordered, path, fmt)
+        part = maps.read_edges(d.spark, path, fmt).select(F.lit(fmt).alias("format"), "edge_id", F.col("edge_seq").alias("position"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def stored_clipped_edges(d: Inputs) -> DataFrame:
+    """The full map written as JSON Lines, clipped box by box into new places and read back."""
+    from wayfleet.sources import maps
+    full, out = streamed.folder(d, "full-map"), None
+    maps.write_edges(d.edges, full, "json")
+    for box in S.DISTRICT_BOXES:
+        part = maps.clip_edges_job(d.spark, full, streamed.folder(d, f"map-{box}"), box, "json").select(F.lit(box).alias("box"), "edge_id", "length_meters")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query
 def road_nodes(d: Inputs) -> DataFrame:
     return network.nodes_of(d.edges)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfleet.operators.network import clip_edges
+from wayfleet.operators.network import clip_edges, with_position
 from wayfleet.schemas import EDGE, OSM_NODE, OSM_WAY
 
 
@@ -22,13 +22,17 @@ def read_osm(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 def read_edges(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Edge table from Parquet, JSON Lines (``json``) or one JSON array (``json_array``).
 
-    A file without ``edge_seq`` gets one from its row order within the file.
+    Files without ``edge_seq`` get it from their order by name and the row order within
+    each, however Spark deals files and blocks to tasks.
     """
-    if fmt == "parquet":
-        edges = spark.read.schema(EDGE).parquet(path)
-    else:
-        edges = spark.read.schema(EDGE).option("multiLine", fmt == "json_array").json(path)
-    return edges.withColumn("edge_seq", F.coalesce("edge_seq", F.monotonically_increasing_id()))
+    reader = spark.read.schema(EDGE)
+    edges = reader.parquet(path) if fmt == "parquet" else reader.option("multiLine", fmt == "json_array").json(path)
+    if edges.where("edge_seq is null").isEmpty():
+        return edges
+    # A block is read by one task, top down.
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+    return with_position(edges.withColumn("_place", place), "_place", "_found").withColumn(
+        "edge_seq", F.coalesce("edge_seq", "_found")).select(*EDGE.names)
 
 
 def write_edges(edges: DataFrame, path: str, fmt: str = "parquet") -> None:
