@@ -529,6 +529,7 @@ MAIN: dict[str, str] = {
     "streamed_route_changes": """SELECT vehicle_id, CASE WHEN path_csv = '' THEN 'old_' || vehicle_id ELSE path_csv END AS path,
         COUNT(*) AS changes FROM f_route_updates GROUP BY 1, 2""",
 }
+MAIN["stored_osm_edges"] = MAIN["road_edges"]
 MAIN["stored_edge_order"] = "SELECT f.format, edge_id, p AS position FROM placed CROSS JOIN (VALUES ('parquet'), ('json')) f(format)"
 MAIN["stored_clipped_edges"] = MAIN["clipped_edges"]
 MAIN["versioned_edge_state"] = MAIN["streamed_edge_state"]

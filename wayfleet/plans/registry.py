@@ -259,6 +259,19 @@ def clipped_edges(d: Inputs) -> DataFrame:
     return out
 
 
+@query
+def stored_osm_edges(d: Inputs) -> DataFrame:
+    """The network written as OSM XML, read back and cut into edges again."""
+    from wayfleet.sources import maps
+    path = streamed.folder(d, "osm")
+    maps.write_osm(d.view("f_nodes").select("node_id", "lat", "lon"), fixtures.ways(d.spark, d.sf_dir), path)
+    nodes, ways = maps.read_osm(d.spark, f"{path}/*")
+    edges = network.dedupe_edges(network.valid_edges(network.segment_ways(network.read_way_tags(ways), nodes)))
+    return edges.select("edge_seq", "edge_id", "road_name", "max_speed_kmh", "length_meters",
+                        F.col("start_node.node_id").alias("start_id"), F.col("end_node.node_id").alias("end_id"),
+                        F.col("start_node.lat").alias("start_lat"), F.col("end_node.lon").alias("end_lon"))
+
+
 @query
 def stored_edge_order(d: Inputs) -> DataFrame:
     """Edges written without numbers, as several files, and numbered by the order of the files and their rows when read."""

@@ -95,7 +95,7 @@ def _in_slices(rows: DataFrame, time: str, write) -> None:
     cuts = rows.approxQuantile(time, [i / SLICES for i in range(1, SLICES)], 0.01)
     for low, high in zip([None, *cuts], [*cuts, None]):
         part = rows.where(F.lit(True) if low is None else F.col(time) > low).where(F.lit(True) if high is None else F.col(time) <= high)
-        write(part.repartition(FILES).write.mode("append"))
+        write(part.repartition(FILES))
 
 
 class _Replayed(StateTable):
@@ -112,10 +112,8 @@ def versioned_state(d) -> DataFrame:
     """State from at least three micro-batches, each replayed, with a compaction between them."""
     path = folder(d, "sliced-payloads")
     rows = d.pings.where("timestamp is not null").select("entity_id", "entity_type", "latitude", "longitude", "speed", "timestamp")
-    _in_slices(rows.withColumn("value", F.to_json(F.struct(*rows.columns))).select("value", "timestamp"), "timestamp",
-               lambda w: w.option("compression", "none").json(path))
-    # The payload is a field of each line here, next to the time that the slices go by.
-    raw = d.spark.readStream.schema("value string").option("maxFilesPerTrigger", FILES).json(path)
+    _in_slices(rows.withColumn("value", F.to_json(F.struct(*rows.columns))), "timestamp", lambda part: part.select("value").write.mode("append").text(path))
+    raw = pings.read_payload_files(d.spark, path, per_trigger=FILES)
     table = _Replayed(d.spark, folder(d, "versioned-state"), "edge_id", "last_updated", EDGE_STATE)
     matched = jobs.matched_stream(pings.decode_pings(raw), d.edge_index)
     jobs.start_versioned_state(matched, d.edges, table, folder(d, "ckpt"), every=None).awaitTermination()
@@ -128,7 +126,7 @@ def expiry_events(d) -> DataFrame:
     """Published states in several batches; what expired by the end of the stream."""
     expiry.use_rocksdb(d.spark)
     path, out = folder(d, "sliced-states"), folder(d, "expiry")
-    _in_slices(d.states.select("edge_id", "last_updated", "is_congested"), "last_updated", lambda w: w.parquet(path))
+    _in_slices(d.states.select("edge_id", "last_updated", "is_congested"), "last_updated", lambda part: part.write.mode("append").parquet(path))
     states = d.spark.readStream.schema("edge_id string, last_updated long, is_congested boolean").option("maxFilesPerTrigger", FILES).parquet(path)
     (expiry.expiry_events(states).writeStream.format("parquet").option("path", out).option("checkpointLocation", folder(d, "ckpt"))
      .trigger(availableNow=True).start().awaitTermination())

@@ -19,6 +19,16 @@ def read_osm(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return nodes, ways
 
 
+def write_osm(nodes: DataFrame, ways: DataFrame, path: str) -> None:
+    """Nodes (node_id, lat, lon) and ways (way_id, refs, tags) as OSM XML, in folders below ``path``; ``read_osm(path + "/*")`` reads them."""
+    def save(rows: DataFrame, tag: str) -> None:
+        rows.write.format("xml").option("rootTag", "osm").option("rowTag", tag).save(f"{path}/{tag}s")
+
+    save(nodes.select(F.col("node_id").alias("_id"), F.col("lat").alias("_lat"), F.col("lon").alias("_lon")), "node")
+    save(ways.select(F.col("way_id").alias("_id"), F.transform("refs", lambda r: F.struct(r.alias("_ref"))).alias("nd"),
+                     F.col("tags").alias("tag")), "way")
+
+
 def read_edges(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Edge table from Parquet, JSON Lines (``json``) or one JSON array (``json_array``).
 
