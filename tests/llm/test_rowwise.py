@@ -239,3 +239,17 @@ def test_kneser_ney_matches_brute_force(spark, monkeypatch):
         for a, b in zip(got, sorted(brute_scores(rows), key=key), strict=True):
             assert a[:4] == b[:4] and math.isclose(a[4], b[4], abs_tol=1e-6) and math.isclose(a[5], b[5], abs_tol=1e-6)
     assert kneser_ney.score_held_out(df.where("false")).collect() == []
+
+
+def test_many_equal_rows_take_consecutive_slots(spark, monkeypatch):
+    """A third of the table is one row, without id and text; slots have no gaps, and the hot rows come from several pieces."""
+    from wayfleet.llm import sharding
+    monkeypatch.setattr(sharding, "EQUAL_ROWS", 7)
+    rows = [(None, None)] * 60 + [(5, "same")] * 30 + [(i, f"text {i % 9}") for i in range(100)] + [(5, "other"), (5, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sharding.shard_table(df, {s: 1.0 for s in range(4)}, new_shard=4).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.size) for r in got) == sorted((k is None, k or 0, len((t or "").encode()) + 16) for k, t in rows)
+    for shard in range(4):
+        slots = sorted(r.slot for r in got if r.shard == shard)
+        assert slots == list(range(len(slots)))
+    assert len({r.shard for r in got if r.doc_id is None}) == 1

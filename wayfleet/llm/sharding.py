@@ -20,6 +20,7 @@ from wayfleet.session import cut
 
 _DIGITS = 13     # hexadecimal digits of a draw: 52 bits, exact in a double
 ROW_BYTES = 16   # what a row takes beside its text
+EQUAL_ROWS = 1 << 16     # equal rows that one task gives out at a time
 
 
 def draw(key: Column, shard: int) -> Column:
@@ -50,7 +51,9 @@ def shard_table(docs: DataFrame, weights: dict[int, float], new_shard: int | Non
     ``slot`` counts the rows of a shard from 0 without gaps. A shard is cut into
     ``lanes`` by the text's checksum and key; rows are numbered inside a lane
     and lanes are offset by the counts of the lanes before, so no task sorts a
-    whole shard.
+    whole shard. Rows equal in key, size and checksum are counted before they are
+    numbered and take consecutive slots in any order; many of them are given
+    out by several tasks.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("key"), (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
@@ -61,12 +64,19 @@ def shard_table(docs: DataFrame, weights: dict[int, float], new_shard: int | Non
     else:
         rows = rows.withColumn("grown_shard", grown(F.col("key"), F.col("shard"), weights, new_shard))
     digest = F.substring(F.md5(F.concat_ws(":", F.lit("lane"), F.coalesce(F.col("key").cast("string"), F.lit("null")), F.col("text_crc32").cast("string"))), 1, 6)
-    rows = cut(rows.withColumn("lane", F.pmod(F.conv(digest, 16, 10).cast("int"), F.lit(lanes))), "dealt")
-    counts = rows.groupBy("shard", "lane").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("shard").orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("shard", "lane", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("shard", "lane").orderBy("key", "text_crc32")
-    return (rows.withColumn("place", F.row_number().over(inside) - 1)
-            .join(offsets, ["shard", "lane"])
+    rows = rows.withColumn("lane", F.pmod(F.conv(digest, 16, 10).cast("int"), F.lit(lanes)))
+    equal = cut(rows.groupBy("shard", "grown_shard", "lane", "key", "text_crc32", "size").agg(F.count(F.lit(1)).alias("n")), "dealt")
+    earlier = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = equal.groupBy("shard", "lane").agg(F.sum("n").alias("n"))
+    offsets = counts.select("shard", "lane", earlier(Window.partitionBy("shard").orderBy("lane")).alias("offset"))
+    inside = Window.partitionBy("shard", "lane").orderBy("key", "text_crc32", "size")
+    placed = cut(equal.withColumn("place", earlier(inside)).join(offsets, ["shard", "lane"])
+                 .withColumn("first", F.col("offset") + F.col("place")), "placed")
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)
+    single = placed.where(F.col("n") <= EQUAL_ROWS)
+    pieces = (placed.where(F.col("n") > EQUAL_ROWS).withColumn("piece", F.explode(upto(F.ceil(F.col("n") / EQUAL_ROWS))))
+              .withColumns({"first": F.col("first") + F.col("piece") * EQUAL_ROWS, "n": F.least(F.col("n") - F.col("piece") * EQUAL_ROWS, F.lit(EQUAL_ROWS))})
+              .repartition("key", "first").drop("piece"))
+    return (single.unionByName(pieces).withColumn("i", F.explode(upto(F.col("n"))))
             .select(F.col("key").alias(id_col), "size", "text_crc32", F.lit("key").alias("law"), F.col("shard").cast("int"),
-                    (F.col("offset") + F.col("place")).cast("long").alias("slot"), F.col("grown_shard").cast("int")))
+                    (F.col("first") + F.col("i")).cast("long").alias("slot"), F.col("grown_shard").cast("int")))
