@@ -36,10 +36,10 @@ def edge_state(d) -> DataFrame:
 
 def traffic_job(d) -> DataFrame:
     """State published by the one-call job: match in the batch, archive, average, publish."""
-    folder = folder(d, "traffic-job")
-    for query in jobs.start_traffic(_payload_stream(d), d.edge_index, d.edges, folder, every=None):
+    out = folder(d, "traffic-job")
+    for query in jobs.start_traffic(_payload_stream(d), d.edge_index, d.edges, out, every=None):
         query.awaitTermination()
-    return tables.read_state(d.spark, f"{folder}/state")
+    return tables.read_state(d.spark, f"{out}/state")
 
 
 def snapshot(d) -> DataFrame:
