@@ -18,10 +18,18 @@ def _col(x) -> Column:
 DRAW_DIGITS = 13
 
 
+def slot_text(*slots) -> Column:
+    """What a draw is taken from; a further slot may be added as ``:slot``."""
+    return F.concat_ws(":", *[F.lit(x).cast("string") if not isinstance(x, Column) else x.cast("string") for x in slots])
+
+
+def drawn_from(slots: Column) -> Column:
+    """Integer of 52 bits that the text of the slots decides, from a digest any SQL engine can repeat."""
+    return F.conv(F.substring(F.md5(slots), 1, DRAW_DIGITS), 16, 10).cast("long")
+
+
 def drawn(*slots) -> Column:
-    """Integer of 52 bits that the slots decide, from a digest any SQL engine can repeat."""
-    digest = F.md5(F.concat_ws(":", *[F.lit(x).cast("string") if not isinstance(x, Column) else x.cast("string") for x in slots]))
-    return F.conv(F.substring(digest, 1, DRAW_DIGITS), 16, 10).cast("long")
+    return drawn_from(slot_text(*slots))
 
 
 # ---- tolerant conversions ----------------------------------------------

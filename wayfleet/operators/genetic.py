@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfleet.functions import geo
-from wayfleet.functions.scalars import drawn
+from wayfleet.functions.scalars import drawn, drawn_from, slot_text
 from wayfleet.session import task_count
 
 
@@ -27,13 +27,16 @@ class SearchConfig:
 
 
 def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and use it several times in ``body``."""
-    return F.transform(F.array(value), body)[0]
+    """Evaluate ``value`` once and use it several times in ``body``: the fold of nothing, finished by ``body``.
+
+    Taking the one element of a transformed array would do the same, but asks for the type of all that is nested in it at each row.
+    """
+    return F.aggregate(F.array().cast("array<int>"), value, lambda kept, _: kept, body)
 
 
-def _draw(cfg: SearchConfig, n: Column, *slots) -> Column:
-    """Integer in [0, n) that the slots decide."""
-    return F.pmod(drawn(cfg.seed, *slots), n.cast("long")).cast("int")
+def _draw(who: Column, slot: int, n: Column) -> Column:
+    """Integer in [0, n) that the slots in ``who`` and ``slot`` decide."""
+    return F.pmod(drawn_from(F.concat(who, F.lit(f":{slot}"))), n.cast("long")).cast("int")
 
 
 def _numbers(upto: Column, start: int = 0) -> Column:
@@ -51,10 +54,9 @@ def shuffled_order(cfg: SearchConfig, vehicle: Column, individual: Column, n: Co
 def order_crossover(first: Column, second: Column, begin: Column, end: Column) -> Column:
     """Keep [begin, end) of ``first`` in place and fill the other slots in the order of ``second``."""
     kept = F.slice(first, begin + 1, F.greatest(end - begin, F.lit(0)))
-    return _let(kept, lambda k: _let(
-        F.filter(second, lambda s: ~F.array_contains(k, s)),
-        lambda rest: F.concat(F.slice(rest, F.lit(1), begin), k,
-                              F.slice(rest, begin + 1, F.size(rest)))))
+    rest = _let(kept, lambda k: F.filter(second, lambda s: ~F.array_contains(k, s)))
+    return _let(rest, lambda free: F.transform(first, lambda x, at: F.when(at < begin, F.get(free, at))
+                                               .when(at < end, x).otherwise(F.get(free, at - end + begin))))
 
 
 def swap_mutation(order: Column, i: Column, j: Column, hit: Column) -> Column:
@@ -63,20 +65,23 @@ def swap_mutation(order: Column, i: Column, j: Column, hit: Column) -> Column:
     return F.when(hit, swapped).otherwise(order)
 
 
-def order_hours(order: Column, stops: Column, speed: Column) -> Column:
-    """Travel time along the stops in this order."""
+def leg_hours(stops: Column, speed: Column) -> Column:
+    """Travel time from each stop to each stop, a row of the array per stop."""
+    return F.transform(stops, lambda a: F.transform(stops, lambda b: geo.haversine_km(
+        a["latitude"], a["longitude"], b["latitude"], b["longitude"]) / speed))
+
+
+def order_hours(order: Column, legs: Column) -> Column:
+    """Travel time along the stops in this order, looked up in ``legs``."""
     def add(state, k):
-        return _let(F.get(stops, k), lambda s: F.struct(
-            (state["h"] + F.when(state["at"].isNull(), F.lit(0.0)).otherwise(
-                geo.haversine_km(state["at"]["latitude"], state["at"]["longitude"], s["latitude"], s["longitude"]) / speed)).alias("h"),
-            s.alias("at")))
-    nowhere = F.get(stops, F.lit(-1))
-    return F.aggregate(order, F.struct(F.lit(0.0).alias("h"), nowhere.alias("at")), add, lambda s: s["h"])
+        leg = F.when(state["at"] < 0, F.lit(0.0)).otherwise(F.get(F.get(legs, state["at"]), k))
+        return F.struct((state["h"] + leg).alias("h"), k.alias("at"))
+    return F.aggregate(order, F.struct(F.lit(0.0).alias("h"), F.lit(-1).alias("at")), add, lambda s: s["h"])
 
 
-def ranked(population: Column, stops: Column, speed: Column) -> Column:
+def ranked(population: Column, legs: Column) -> Column:
     """Scored individuals, best first; the earlier one on a tie, that is of equal hours to nine decimals."""
-    return F.array_sort(F.transform(population, lambda o, i: _let(order_hours(o, stops, speed), lambda hours: F.struct(
+    return F.array_sort(F.transform(population, lambda o, i: _let(order_hours(o, legs), lambda hours: F.struct(
         F.round(hours, 9).alias("about"), i.alias("i"), hours.alias("hours"), o.alias("order")))))
 
 
@@ -84,25 +89,29 @@ def select_parents(scored: Column, cfg: SearchConfig) -> Column:
     return F.slice(scored, 1, max(cfg.elite, cfg.population // 2))
 
 
-def _two_places(cfg: SearchConfig, n: Column, slot: int, *slots) -> Column:
+def _two_places(who: Column, slot: int, n: Column) -> Column:
     """Two different places in [0, n), the smaller first."""
-    return _let(_draw(cfg, n, *slots, F.lit(slot)), lambda x: _let(
-        _draw(cfg, n - 1, *slots, F.lit(slot + 1)), lambda y: F.array_sort(F.array(x, F.when(y >= x, y + 1).otherwise(y)))))
+    return _let(_draw(who, slot, n), lambda x: _let(
+        _draw(who, slot + 1, n - 1), lambda y: F.array_sort(F.array(x, F.when(y >= x, y + 1).otherwise(y)))))
 
 
 def bred_child(parents: Column, cfg: SearchConfig, vehicle: Column, generation: Column, i: Column, n: Column) -> Column:
     """Child ``i`` of two drawn parents, by crossover between two drawn places."""
-    mother = F.get(parents, _draw(cfg, F.size(parents), vehicle, generation, i, F.lit(1)))["order"]
-    father = F.get(parents, _draw(cfg, F.size(parents), vehicle, generation, i, F.lit(2)))["order"]
-    crossed = _let(_two_places(cfg, n, 3, vehicle, generation, i), lambda at: order_crossover(mother, father, at[0], at[1]))
-    return F.when(n > 1, crossed).otherwise(mother)
+    def bred(who):
+        mother = F.get(parents, _draw(who, 1, F.size(parents)))["order"]
+        father = F.get(parents, _draw(who, 2, F.size(parents)))["order"]
+        crossed = _let(mother, lambda m: _let(_two_places(who, 3, n), lambda at: order_crossover(m, father, at[0], at[1])))
+        return F.when(n > 1, crossed).otherwise(mother)
+    return _let(slot_text(cfg.seed, vehicle, generation, i), bred)
 
 
 def mutated_child(order: Column, cfg: SearchConfig, vehicle: Column, generation: Column, i: Column, n: Column) -> Column:
     """``order`` with two drawn places exchanged, at the rate of the configuration."""
-    hit = _draw(cfg, F.lit(1_000_000), vehicle, generation, i, F.lit(7)) < int(cfg.mutation_rate * 1_000_000)
-    swapped = _let(_two_places(cfg, n, 5, vehicle, generation, i), lambda at: swap_mutation(order, at[0], at[1], hit))
-    return F.when(n > 1, swapped).otherwise(order)
+    def mutated(who):
+        hit = _draw(who, 7, F.lit(1_000_000)) < int(cfg.mutation_rate * 1_000_000)
+        swapped = _let(_two_places(who, 5, n), lambda at: swap_mutation(order, at[0], at[1], F.lit(True)))
+        return F.when((n > 1) & hit, swapped).otherwise(order)
+    return _let(slot_text(cfg.seed, vehicle, generation, i), mutated)
 
 
 def next_generation(scored: Column, cfg: SearchConfig, vehicle: Column, generation: Column, n: Column) -> Column:
@@ -139,7 +148,7 @@ def ga_optimize(facts: DataFrame, cfg: SearchConfig = SearchConfig(), trace: boo
     n = F.size(stops)
     first = F.transform(F.sequence(F.lit(0), F.lit(cfg.population - 1)), lambda i: shuffled_order(cfg, vehicle, i, n))
 
-    def evolve(state, generation):
+    def evolve(legs, state, generation):
         def turn(scored):
             top = scored[0]
             better = top["hours"] < state["hours"]
@@ -149,12 +158,13 @@ def ga_optimize(facts: DataFrame, cfg: SearchConfig = SearchConfig(), trace: boo
                 hours.alias("hours"),
                 F.when(better, top["order"]).otherwise(state["order"]).alias("order"),
                 (F.concat(state["trace"], F.array(hours)) if trace else state["trace"]).alias("trace"))
-        return _let(ranked(state["population"], stops, speed), turn)
+        return _let(ranked(state["population"], legs), turn)
 
     start = F.struct(first.alias("population"), F.lit(float("inf")).alias("hours"),
                      F.array().cast("array<int>").alias("order"), F.array().cast("array<double>").alias("trace"))
-    result = F.aggregate(F.sequence(F.lit(1), F.lit(cfg.generations)), start, evolve,
-                         lambda s: F.struct(s["order"].alias("order"), s["hours"].alias("hours"), s["trace"].alias("trace")))
+    result = _let(leg_hours(stops, speed), lambda legs: F.aggregate(
+        F.sequence(F.lit(1), F.lit(cfg.generations)), start, lambda state, generation: evolve(legs, state, generation),
+        lambda s: F.struct(s["order"].alias("order"), s["hours"].alias("hours"), s["trace"].alias("trace"))))
     # Rows are few and each is a whole search, so they are dealt out to all tasks.
     some = facts.repartition(task_count(facts.sparkSession)).withColumn("_best", F.when(n > 0, result))
     out = some.select(

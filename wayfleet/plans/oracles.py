@@ -115,6 +115,12 @@ SELECT start_ms, start_ms + 10000 AS end_ms, edge_id, ROUND(AVG(speed), 9) AS av
 FROM (SELECT *, UNNEST([timestamp // 3000 * 3000, timestamp // 3000 * 3000 - 3000, timestamp // 3000 * 3000 - 6000,
                         timestamp // 3000 * 3000 - 9000]) AS start_ms FROM matched)
 WHERE start_ms + 10000 > timestamp GROUP BY start_ms, edge_id""",
+    "dealt_pings": """
+SELECT m.edge_id, m.timestamp, LEAST((m.timestamp - low) * 4 // (high - low + 1) + CASE WHEN m.timestamp % 7 = 0 THEN 1 ELSE 0 END, 3) AS batch
+FROM matched m, (SELECT MIN(timestamp) AS low, MAX(timestamp) AS high FROM matched)""",
+    "batch_marks": """
+SELECT batch, MAX(newest) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 10000 AS mark
+FROM (SELECT batch, MAX(timestamp) AS newest FROM dealt_pings GROUP BY batch)""",
     "states": f"""
 SELECT w.edge_id, {up('avg_speed', 2)} AS avg_speed, vehicle_count, {up('COALESCE(e.length_meters, 500e0)', 1)} AS distance,
        {up('COALESCE(e.max_speed_kmh, 40e0)', 1)} AS max_speed,
@@ -285,7 +291,7 @@ SELECT vehicle_id, rank, node, stop_idx, cost, total, seen FROM (
   LEFT JOIN {_labels} s ON s.source = w.node AND s.node = n.node_id
   WHERE w.node = n.node_id OR s.cost IS NOT NULL) WHERE rn = 1""")
 
-HEAVY = {"hits", "matched", "windows", "states", "cur", "edges", "best", "facts", "speeds", "blocked", "costs", "arcs",
+HEAVY = {"hits", "matched", "dealt_pings", "windows", "states", "cur", "edges", "best", "facts", "speeds", "blocked", "costs", "arcs",
          "static_arcs", "stop_nodes", "nodes", "req_nodes", "legs", "first", "first_ranks", "bred"}
 
 
@@ -532,6 +538,9 @@ MAIN: dict[str, str] = {
 MAIN["stored_osm_edges"] = MAIN["road_edges"]
 MAIN["stored_edge_order"] = "SELECT f.format, edge_id, p AS position FROM placed CROSS JOIN (VALUES ('parquet'), ('json')) f(format)"
 MAIN["stored_clipped_edges"] = MAIN["clipped_edges"]
+MAIN["late_ledger"] = """SELECT edge_id, timestamp // 10000 * 10000 AS start_ms, COUNT(*) - COUNT(*) FILTER (timestamp < mark) AS in_time,
+        COUNT(*) FILTER (timestamp < mark) AS late, COALESCE(MAX(mark - timestamp) FILTER (timestamp < mark), 0) AS most_behind_ms
+        FROM dealt_pings JOIN batch_marks USING (batch) GROUP BY 1, 2"""
 MAIN["versioned_edge_state"] = MAIN["streamed_edge_state"]
 MAIN["merged_documents"] = MAIN["upserted_vehicles"]
 MAIN["document_changes"] = f"""SELECT CAST(2 AS BIGINT) AS version, u.vehicle_id, CASE WHEN d.vehicle_id IS NULL THEN 'insert' ELSE 'update' END AS kind,

@@ -506,7 +506,8 @@ def _first_generation(d: Inputs) -> DataFrame:
     orders = genetic.ga_init(d.facts, SEARCH).groupBy("vehicle_id").agg(
         F.array_sort(F.collect_list(F.struct("individual", "order"))).alias("p"))    # a population, bounded by the configuration
     rows = d.facts.join(orders, "vehicle_id").withColumn("population", F.transform("p", lambda x: x["order"]))
-    return rows.withColumn("scored", genetic.ranked(F.col("population"), F.col("stops"), F.col("speed_kmh"))).withColumn("n", F.size("stops"))
+    return rows.withColumn("scored", genetic.ranked(
+        F.col("population"), genetic.leg_hours(F.col("stops"), F.col("speed_kmh")))).withColumn("n", F.size("stops"))
 
 
 @query
@@ -819,6 +820,11 @@ def streamed_conflation(d: Inputs) -> DataFrame:
     return streamed.conflation(d).select("id", F.unix_millis("tick").alias("tick_ms"), "lat", "lon", "speed")
 
 
+@query
+def late_ledger(d: Inputs) -> DataFrame:
+    return streamed.late_ledger(d)
+
+
 @query
 def versioned_edge_state(d: Inputs) -> DataFrame:
     return streamed.versioned_state(d)

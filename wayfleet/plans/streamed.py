@@ -11,7 +11,7 @@ from wayfleet.schemas import EDGE_STATE, VEHICLE
 from wayfleet.session import scratch_dir
 from wayfleet.sources import pings, tables
 from wayfleet.sources.versions import StateTable
-from wayfleet.streaming import expiry, jobs
+from wayfleet.streaming import expiry, jobs, late
 
 SLICES, FILES = 4, 4        # of a stream that has to come in several batches, and files of each
 
@@ -131,3 +131,25 @@ def expiry_events(d) -> DataFrame:
     (expiry.expiry_events(states).writeStream.format("parquet").option("path", out).option("checkpointLocation", folder(d, "ckpt"))
      .trigger(availableNow=True).start().awaitTermination())
     return d.spark.read.schema(expiry.EVENT).parquet(out)
+
+
+LATE_ROW = "entity_id string, edge_id string, speed double, timestamp long, event_time timestamp"
+
+
+def late_ledger(d) -> DataFrame:
+    """Pings that arrive in four batches, some a batch after their time: rows in time and late rows of each edge and window."""
+    path = folder(d, "late-pings")
+    columns = [c.split(" ")[0] for c in LATE_ROW.split(", ")]
+    first, last = d.matched.agg(F.min("timestamp"), F.max("timestamp")).first()
+    own = F.floor((F.col("timestamp") - F.lit(first)) * SLICES / F.lit(last - first + 1))
+    arrived = F.least(own + (F.col("timestamp") % 7 == 0).cast("long"), F.lit(SLICES - 1))
+    for part in range(SLICES):
+        d.matched.where(arrived == part).select(*columns).repartition(FILES).write.mode("append").parquet(path)
+    pings_in = d.spark.readStream.schema(LATE_ROW).option("maxFilesPerTrigger", FILES).parquet(path)
+    ledger = late.LateLedger(d.spark, folder(d, "late-ledger"))
+    late.start_ledger(pings_in, ledger, folder(d, "ckpt"), every=None).awaitTermination()
+    kept = ledger.rows(LATE_ROW)
+    windows = kept.groupBy("edge_id", F.window("event_time", "10 seconds").alias("w")).agg(
+        F.count_if(~F.col("late")).alias("in_time"), F.count_if("late").alias("late"),
+        F.coalesce(F.max("behind_ms"), F.lit(0)).alias("most_behind_ms"))
+    return windows.select("edge_id", F.unix_millis("w.start").alias("start_ms"), "in_time", "late", "most_behind_ms")

@@ -30,6 +30,7 @@ CRAWL_SPEED_KMH = 2.5
 WINDOW_LENGTH = "10 seconds"
 WINDOW_SLIDE = "3 seconds"
 WATERMARK_DELAY = "10 seconds"
+WATERMARK_DELAY_MS = 10_000
 STATE_TTL_SECONDS = 120
 
 # Inclusive boxes: (min_lat, max_lat, min_lon, max_lon).
