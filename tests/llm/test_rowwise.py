@@ -124,6 +124,22 @@ def test_language_fuses_evidence(spark):
     assert language.identify_pages(spark, df.where("false"), train.where("false")).collect() == []
 
 
+def test_declared_languages_get_classes_and_clean_documents_stay(spark):
+    rng = random.Random(7)
+    finnish = "ja on ei se että hän oli mutta kuin tämä joka niin myös kun".split()
+    rows = [(i, sentence(rng, lang, 40), lang, "src0") for i, lang in enumerate(lang for lang in language.LANGUAGES for _ in range(40))]
+    rows += [(1000 + i, " ".join(rng.choice(finnish) for _ in range(40)), "fi" if i % 2 else "fi-FI", "src1") for i in range(40)]
+    rows += [(2000 + i, sentence(rng, "en", 40), "xx", "src0") for i in range(language.LEAST_DECLARED - 1)]
+    rows += [(3000 + i, sentence(rng, "en", 40), "und", "src0") for i in range(30)] + [(4000, " ".join(rng.choice(finnish) for _ in range(60)), None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    assert language.declared_languages(df) == ("de", "en", "es", "fi", "fr")
+    assert language.declared_languages(df.where("false")) == language.LANGUAGES
+    got = {r.doc_id: r for r in language.identify_documents(df, prefix="_lid_").collect()}
+    assert all(r._lid_accepted for r in got.values())
+    assert all(got[i]._lid_language == "fi" for i in [*range(1000, 1040), 4000])
+    assert all(got[i]._lid_language == "en" for i in [*range(2000, 2000 + language.LEAST_DECLARED - 1), *range(3000, 3030)])
+
+
 def test_documents_keep_their_columns(spark):
     df = docs(spark)
     found = language.identify_documents(df, prefix="_lid_")

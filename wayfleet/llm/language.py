@@ -8,6 +8,9 @@ sums. Host: a prior smoothed from host to domain to all rows, each row's own
 share taken out. All tables that tasks hold are bounded by languages and
 buckets; hosts and suffixes are joined.
 
+Languages: the four fixed ones and every other one that enough rows declare
+(``declared_languages``); a text of a rarer language is ``und`` at best.
+
 Defined results: without a trigram the text says nothing and the other evidence
 decides, and the row is not accepted; a null declared language, suffix or host
 is a value of its own and says nothing about a host; an empty table gives an
@@ -25,9 +28,11 @@ from pyspark.sql.functions import arrow_udf
 from wayfleet.llm import text as texts
 from wayfleet.session import cut
 
-# The languages told apart, and the name of what is none of them.
+# The languages always told apart, the name of what is none of them, and declared words that name no language.
 LANGUAGES = ("de", "en", "es", "fr")
 UNKNOWN = "und"
+NO_LANGUAGE = ("und", "none", "other", "unknown", "null", "mul", "zxx")
+LEAST_DECLARED, LEAST_SHARE = 20, 0.005     # rows, and share of the declared rows, that give a further language a class; so there are 200 at most
 BUCKETS = 1 << 15
 EFFECTIVE = 60.0        # trigrams of a text that count in full; evidence of longer texts grows no further
 UNKNOWN_PRIOR = 1e-3
@@ -78,9 +83,23 @@ def _count(languages: tuple[str, ...], batches):
     yield pa.RecordBatch.from_arrays([pa.array(which), pa.array(bucket), pa.array(counts[which, bucket])], ["which", "bucket", "n"])
 
 
+def _primary(declared: Column) -> Column:
+    """First part of a declared language, in lower case; empty if there is none."""
+    return F.lower(F.regexp_extract(F.coalesce(declared.cast("string"), F.lit("")), "^\\s*([A-Za-z]+)", 1))
+
+
+def declared_languages(rows: DataFrame, lang_col: str = "lang") -> tuple[str, ...]:
+    """The languages to tell apart: the fixed ones and those declared by at least ``LEAST_DECLARED`` rows and ``LEAST_SHARE`` of the declared ones."""
+    counts = rows.groupBy(_primary(F.col(lang_col)).alias("lang")).agg(F.count(F.lit(1)).alias("n")).where((F.col("lang") != "") & ~F.col("lang").isin(*NO_LANGUAGE))
+    counts = cut(counts, "declared")      # a row for each declared value
+    declared = counts.agg(F.sum("n")).first()[0] or 0
+    enough = counts.where((F.col("n") >= LEAST_DECLARED) & (F.col("n") >= LEAST_SHARE * declared)).select("lang")
+    return tuple(sorted({*LANGUAGES, *(r["lang"] for r in enough.collect())}))
+
+
 def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", languages: tuple[str, ...] = LANGUAGES) -> np.ndarray:
     """Log-probabilities (bucket, language) over all rows; as many numbers as languages times buckets, whatever the table."""
-    counted = (rows.select(F.col(text_col).cast("string").alias("text"), F.lower(F.col(lang_col).cast("string")).alias("lang"))
+    counted = (rows.select(F.col(text_col).cast("string").alias("text"), _primary(F.col(lang_col)).alias("lang"))
                .mapInArrow(lambda batches: _count(languages, batches), "which long, bucket long, n long")
                .groupBy("which", "bucket").agg(F.sum("n").alias("n")))
     table = np.full((BUCKETS, len(languages)), 0.5)
@@ -114,7 +133,7 @@ def _evidence(model: np.ndarray):
 def score_texts(rows: DataFrame, model: np.ndarray, text: Column, declared: Column, suffix: Column, host: Column, domain: Column,
                 languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
     """``rows`` with the evidence of each kind in columns named _ev_*."""
-    primary = F.lower(F.regexp_extract(F.coalesce(declared.cast("string"), F.lit("")), "^\\s*([A-Za-z]+)", 1))
+    primary = _primary(declared)
     return rows.withColumns({
         "_ev_text": _evidence(model)(F.coalesce(text.cast("string"), F.lit(""))),
         "_ev_declared": F.when(primary == "", NONE).when(primary.isin(*languages), primary).otherwise(F.lit("other")),
@@ -196,13 +215,15 @@ def identify_pages(spark: SparkSession, pages: DataFrame, training: DataFrame) -
     suffix, host, domain = page_address(F.col("url"))
     declared = F.regexp_extract(F.coalesce(F.col("html"), F.lit("")), r"(?is)<html[^>]*?\slang\s*=\s*[\"']?([A-Za-z-]+)", 1)
     rows = pages.select("page_id", host.alias("host"), page_text(F.col("html")).alias("shown"), declared.alias("declared"), suffix.alias("suffix"), domain.alias("domain"))
-    scored = score_texts(rows, train(training), F.col("shown"), F.col("declared"), F.col("suffix"), F.col("host"), F.col("domain"))
+    languages = declared_languages(training)
+    scored = score_texts(rows, train(training, languages=languages), F.col("shown"), F.col("declared"), F.col("suffix"), F.col("host"), F.col("domain"), languages)
     scored = cut(scored.drop("shown", "suffix", "domain"), "scored")
-    return fuse(scored).select("page_id", "host", "declared", "language", "confidence", "accepted")
+    return fuse(scored, languages).select("page_id", "host", "declared", "language", "confidence", "accepted")
 
 
 def identify_documents(docs: DataFrame, text_col: str = "text", declared_col: str = "lang", host_col: str = "source", prefix: str = "") -> DataFrame:
     """``docs`` with language, confidence, accepted (names after ``prefix``): the declared column stands for markup, the source for the host."""
     none = F.lit(None).cast("string")
-    model = train(docs, text_col, declared_col)
-    return fuse(score_texts(docs, model, F.col(text_col), F.col(declared_col), none, F.col(host_col), F.lit("sources")), prefix=prefix)
+    languages = declared_languages(docs, declared_col)
+    model = train(docs, text_col, declared_col, languages)
+    return fuse(score_texts(docs, model, F.col(text_col), F.col(declared_col), none, F.col(host_col), F.lit("sources"), languages), languages, prefix=prefix)
