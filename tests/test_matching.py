@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from conftest import edge_row
 
-from wayfleet.operators import matching, nearest, network
+from wayfleet.operators import matching, nearest, network, shortlist
 from wayfleet.schemas import EDGE
 
 R = 6_371_000.0
@@ -54,6 +54,30 @@ def test_same_as_comparing_every_pair(spark, options):
         assert abs(row.match_distance_m - d.min()) < 1e-6
 
 
+def test_batches_on_large_networks_of_long_streets_need_no_deep_cells(spark):
+    rng = np.random.default_rng(11)
+    segs = np.hstack([rng.random((300, 2)), rng.random((300, 2))]) * 0.05 + [21, 105.8, 21, 105.8]
+    segs[7, 2:] = segs[7, :2]                                                # no length
+    index = matching.edge_index(network_of(spark, segs), array_limit=100)
+    points = np.vstack([21 + rng.random((400, 2)) * 0.05 + [0, 84.8], segs[:30, 2:], np.tile(segs[3, :2], (50, 1))])
+    pings = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(points)] + [(999, None, 105.8)],
+                                  "i int, latitude double, longitude double")
+    got = matching.match_pings(pings, index, with_distance=True).orderBy("i").collect()
+    assert "_deep" not in vars(index) and len(got) == len(points) + 1 and got[-1].edge_id == "UNKNOWN"
+    for row, d in zip(got, brute(points, segs)):
+        assert row.edge_id == f"E{np.flatnonzero(d <= d.min() + 1e-9)[0]}" and abs(row.match_distance_m - d.min()) < 1e-6
+
+
+def test_points_keep_few_candidates_and_all_that_tie():
+    rng = np.random.default_rng(4)
+    a, b = rng.random((2, 3000)), rng.random((2, 3000))
+    a[:, :40] = [[0.5], [0.5]]                                               # forty streets leave one node
+    d = b - a
+    offsets, numbers = shortlist.shortlist("road", np.r_[0.5, rng.random(2000)], np.r_[0.5, rng.random(2000)],
+                                           np.vstack([a, d, 1 / (d ** 2).sum(0)[None]]), 2.0 * nearest.METRES_PER_DEGREE, 1e-3)
+    assert set(numbers[:offsets[1]]) == set(range(40)) and len(numbers) < 40 + 2000 * 2 and (np.diff(offsets) > 0).all()
+
+
 def test_streams_match_like_batches_on_networks_beyond_one_array(spark, tmp_path):
     rng = np.random.default_rng(8)
     index = matching.edge_index(network_of(spark, streets(rng, 5000)))

@@ -7,6 +7,12 @@ cell's centre and ``slack`` a bound on how much any distance can change between
 Dense regions are cut deeper than empty ones.  A point then looks up its cell
 and compares only that cell's candidates; nothing is cut off by a radius.
 
+Cells that serve every point inside them must be many where long shapes cross: n lines
+over the whole box need n * n / k cells for k candidates each.  So batches against a network
+beyond one array do not look up deep cells.  Their points meet the shapes of a coarse cell in
+one task, which goes on cutting around the points that are there (``shortlist``); what is left
+per point is compared exactly.  The deep cells are made when a stream or a small network asks.
+
 Bound used.  Projection on a segment (in raw degrees) moves the offset vector
 "point minus foot" by at most the distance the point moved.  The great circle
 length of an offset grows by at most ``R * pi / 180`` metres per degree, plus a
@@ -18,12 +24,15 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from wayfleet.functions import geo
-from wayfleet.session import cut, task_count
+from wayfleet.operators.shortlist import shortlister
+from wayfleet.session import cut, ship_package, task_count
 
 SPLIT = 4                       # a cell is cut into SPLIT x SPLIT parts per round
 REGION_LEVEL = 4                # 16 x 16 regions, each with its own depth
@@ -35,25 +44,52 @@ DENSE_MEAN = 48                 # cut on while cells hold more candidates than t
 ROWS_PER_SHAPE = 4              # ... and cutting has not multiplied a region's rows too much
 METRES_PER_DEGREE = geo.EARTH_RADIUS_M * math.pi / 180
 OUTSIDE = -1                    # level of the row that serves points beyond the box
+NOWHERE = -2                    # level of points without coordinates
+COARSE_MEAN = 1 << 18           # shapes of a coarse cell that one task may hold
+GROUP_POINTS = 1 << 17          # points of a coarse cell that meet its shapes in one task
 
 
 @dataclass(frozen=True)
 class NearestIndex:
-    """Candidate table plus the handful of numbers needed to find a point's cell."""
+    """Distinct shapes plus the handful of numbers needed to find a point's cell; cells are made on first use."""
 
-    cells: DataFrame            # level, x, y, part, candidates
     shapes: DataFrame           # one row per distinct geometry
     metric: str                 # "road" (metres to a segment) or "planar" (squared degrees)
     box: tuple[float, float, float, float]
-    depths: list[int]           # level of each region, REGIONS * REGIONS entries
-    parts: int                  # most parts any cell needed
     n_shapes: int
+    dense_mean: int = DENSE_MEAN
+    rows_per_shape: int = ROWS_PER_SHAPE
     array_limit: int = ARRAY_LIMIT
 
     @property
     def in_one_row(self) -> bool:
         """True if every point, also beyond the box, is served by one candidate row."""
-        return self.parts <= 1 and self.n_shapes <= self.array_limit
+        return self.n_shapes <= self.array_limit
+
+    @cached_property
+    def _deep(self) -> tuple[DataFrame, list[int], int]:
+        return _candidate_arrays(self)
+
+    @property
+    def cells(self) -> DataFrame:
+        """level, x, y, part, candidates."""
+        return self._deep[0]
+
+    @property
+    def depths(self) -> list[int]:
+        """Level of each region, REGIONS * REGIONS entries."""
+        return self._deep[1]
+
+    @property
+    def parts(self) -> int:
+        """Most parts any cell needed."""
+        return self._deep[2]
+
+    @cached_property
+    def coarse(self) -> tuple[DataFrame, list[int]]:
+        """(level, x, y, shape) rows of cells small enough for one task, and the level of each region."""
+        finished, depths = _cut_cells(self, COARSE_MEAN, always=True)
+        return _tagged(finished, self.shapes.columns), depths
 
 
 # ---- distance of a point to a shape -------------------------------------
@@ -119,15 +155,20 @@ def _box_around(shapes: DataFrame) -> tuple[tuple[float, float, float, float], i
             height * (1 + 2 * MARGIN), width * (1 + 2 * MARGIN)), r["n"]
 
 
-def _slack(metric: str, box, level: int) -> float:
+def _steepness(metric: str, box) -> tuple[float, float]:
+    """(factor, constant): a distance changes by at most factor * r + constant while the point moves by r degrees."""
     lat0, lon0, height, width = box
-    radius = math.hypot(height, width) / (1 << level) / 2 * (1 + 1e-9)
     if metric == "planar":
-        return radius * (1 + 1e-9) + 1e-12
+        return 1 + 1e-9, 1e-12
     steepest = max(abs(lat0), abs(lat0 + height))
     flattest = math.cos(math.radians(min(steepest, 89.9)))
-    factor = min(2.0, 1 + 1.1 * math.radians(width) / flattest)
-    return factor * METRES_PER_DEGREE * radius + 1e-3
+    return min(2.0, 1 + 1.1 * math.radians(width) / flattest) * METRES_PER_DEGREE, 1e-3
+
+
+def _slack(metric: str, box, level: int) -> float:
+    radius = math.hypot(box[2], box[3]) / (1 << level) / 2 * (1 + 1e-9)
+    factor, constant = _steepness(metric, box)
+    return factor * radius + constant
 
 
 def _split_once(cells: DataFrame, level: int, metric: str, box) -> DataFrame:
@@ -167,47 +208,60 @@ def build_index(shapes: DataFrame, metric: str, dense_mean: int = DENSE_MEAN,
         raise ValueError(f"unknown metric {metric}")
     distinct = cut(_distinct_shapes(shapes), "shapes")
     box, n = _box_around(distinct)
-    columns = ["x", "y", *distinct.columns]
-    cells = distinct.select(F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("y"), *distinct.columns)
+    return NearestIndex(distinct, metric, box, int(n), dense_mean, rows_per_shape, array_limit)
+
 
+def _cut_cells(index: NearestIndex, dense_mean: int, always: bool = False) -> tuple[list[tuple[int, DataFrame]], list[int]]:
+    """Finished cells by level, and the level of each region; without ``always`` a small network stays one cell."""
+    metric, box = index.metric, index.box
+    cells = index.shapes.select(F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("y"), *index.shapes.columns)
     level, step = 0, int(math.log2(SPLIT))
     finished: list[tuple[int, DataFrame]] = []
     depths = [0] * (REGIONS * REGIONS)
-    if n > dense_mean:
-        while level < REGION_LEVEL:
-            cells = cut(_split_once(cells, level, metric, box), "cells")
-            level += step
-        start_rows: dict[tuple[int, int], int] = {}
-        while True:
-            rx, ry = _region_of(level)
-            counts = (cells.groupBy(rx.alias("rx"), ry.alias("ry"))
-                      .agg(F.count(F.lit(1)).alias("n")).collect())   # at most REGIONS * REGIONS rows
-            sizes = {(r["rx"], r["ry"]): r["n"] for r in counts}
-            if not start_rows:
-                start_rows = sizes
-            per_region = (1 << (level - REGION_LEVEL)) ** 2
-            deeper = {k for k, rows in sizes.items()
-                      if rows > dense_mean * per_region
-                      and rows <= rows_per_shape * start_rows[k] and level + step <= MAX_LEVEL}
-            for k in sizes:
-                depths[k[0] * REGIONS + k[1]] = level
-            if not deeper:
-                finished.append((level, cells))
-                break
-            flags = [int((i // REGIONS, i % REGIONS) in deeper) for i in range(REGIONS * REGIONS)]
-            goes_on = F.get(_number_list(flags), (rx * REGIONS + ry).cast("int")) == 1
-            if len(deeper) < len(sizes):
-                finished.append((level, cells.filter(~goes_on)))
-            cells = cut(_split_once(cells.filter(goes_on), level, metric, box), "cells")
-            level += step
-    else:
-        finished.append((0, cells))
-
+    if not always and index.n_shapes <= dense_mean:
+        return [(0, cells)], depths
+    while level < REGION_LEVEL:
+        cells = cut(_split_once(cells, level, metric, box), "cells")
+        level += step
+    start_rows: dict[tuple[int, int], int] = {}
+    while True:
+        rx, ry = _region_of(level)
+        counts = (cells.groupBy(rx.alias("rx"), ry.alias("ry"))
+                  .agg(F.count(F.lit(1)).alias("n")).collect())   # at most REGIONS * REGIONS rows
+        sizes = {(r["rx"], r["ry"]): r["n"] for r in counts}
+        if not start_rows:
+            start_rows = sizes
+        per_region = (1 << (level - REGION_LEVEL)) ** 2
+        deeper = {k for k, rows in sizes.items()
+                  if rows > dense_mean * per_region
+                  and rows <= index.rows_per_shape * start_rows[k] and level + step <= MAX_LEVEL}
+        for k in sizes:
+            depths[k[0] * REGIONS + k[1]] = level
+        if not deeper:
+            finished.append((level, cells))
+            return finished, depths
+        flags = [int((i // REGIONS, i % REGIONS) in deeper) for i in range(REGIONS * REGIONS)]
+        goes_on = F.get(_number_list(flags), (rx * REGIONS + ry).cast("int")) == 1
+        if len(deeper) < len(sizes):
+            finished.append((level, cells.filter(~goes_on)))
+        cells = cut(_split_once(cells.filter(goes_on), level, metric, box), "cells")
+        level += step
+
+
+def _tagged(finished: list[tuple[int, DataFrame]], columns: list[str]) -> DataFrame:
     leaves = None
-    for lvl, part in finished:
-        tagged = part.select(F.lit(lvl).alias("level"), *columns)
+    for level, part in finished:
+        tagged = part.select(F.lit(level).alias("level"), "x", "y", *columns)
         leaves = tagged if leaves is None else leaves.unionByName(tagged)
-    if n <= array_limit:
+    return leaves
+
+
+def _candidate_arrays(index: NearestIndex) -> tuple[DataFrame, list[int], int]:
+    """Candidates of every cell in arrays, the level of each region, and the most parts a cell needed."""
+    distinct, array_limit = index.shapes, index.array_limit
+    finished, depths = _cut_cells(index, index.dense_mean)
+    leaves = _tagged(finished, distinct.columns)
+    if index.n_shapes <= array_limit:
         leaves = leaves.unionByName(distinct.select(
             F.lit(OUTSIDE).alias("level"), F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("y"),
             *distinct.columns))
@@ -225,18 +279,18 @@ def build_index(shapes: DataFrame, metric: str, dense_mean: int = DENSE_MEAN,
     arrays = cut(split.groupBy("level", "x", "y", "parts", "part")
                  .agg(F.collect_list(F.struct(*distinct.columns)).alias("candidates")), "candidates")
     most = math.ceil(largest / (array_limit / 2)) if largest > array_limit else 1
-    return NearestIndex(arrays, distinct, metric, box, depths, int(most), int(n), array_limit)
+    return arrays, depths, int(most)
 
 
 # ---- looking up ---------------------------------------------------------
-def _cell_columns(index: NearestIndex, lat: str, lon: str) -> dict[str, Column]:
-    lat0, lon0, height, width = index.box
+def _cell_columns(box, depths: list[int], lat: str, lon: str) -> dict[str, Column]:
+    lat0, lon0, height, width = box
     u, v = (F.col(lat) - lat0) / height, (F.col(lon) - lon0) / width
     inside = (u >= 0) & (u < 1) & (v >= 0) & (v < 1)
-    table = _number_list(index.depths)
+    table = _number_list(depths)
     region = (F.floor(u * REGIONS) * REGIONS + F.floor(v * REGIONS)).cast("int")
     depth = F.when(inside, F.get(table, region)).when(u.isNotNull() & v.isNotNull(), F.lit(OUTSIDE))
-    scale = F.get(_number_list([1 << d for d in index.depths]), region)
+    scale = F.get(_number_list([1 << d for d in depths]), region)
     return {
         "_level": depth,
         "_x": F.when(inside, F.floor(u * scale)).otherwise(F.lit(0)).cast("long"),
@@ -301,15 +355,40 @@ def _outside_matches(points: DataFrame, index: NearestIndex, lat: str, lon: str)
     return (far.join(arrays, "_chunk").groupBy(lat, lon).agg(F.min(best).alias("_far")))
 
 
+def _with_shortlists(located: DataFrame, index: NearestIndex, lat: str, lon: str) -> DataFrame:
+    """Add ``_candidates``: the shapes of a point's coarse cell that may be nearest to it, those of equal distance included.
+
+    Points of a cell meet its shapes in one task, those of a crowded cell in several, each with
+    its own copy of the shapes.  Points beyond the box or without coordinates get none.
+    """
+    ship_package(located.sparkSession)
+    regions, _ = index.coarse
+    keys, tasks = ["_level", "_x", "_y"], task_count(located.sparkSession)
+    located = located.withColumn("_level", F.coalesce("_level", F.lit(NOWHERE)))
+    groups = cut(located.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / GROUP_POINTS).cast("int").alias("_groups")), "groups")
+    dealt = F.pmod(F.xxhash64(*[c for c in located.columns if c not in keys]), F.coalesce("_groups", F.lit(1))).cast("int")
+    points = located.join(groups, keys, "left").withColumn("_group", dealt).drop("_groups")
+    shapes = regions.withColumnsRenamed({"level": "_level", "x": "_x", "y": "_y"}).join(groups, keys).select(
+        *keys, F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)).alias("_group"), *index.shapes.columns)
+    fields = index.shapes.schema
+    schema = StructType([*located.schema.fields, StructField("_candidates", ArrayType(fields))])
+    search = shortlister(index.metric, lat, lon, located.columns, fields.names, *_steepness(index.metric, index.box))
+    keys = [*keys, "_group"]
+    return (points.repartition(tasks, *keys).groupBy(*keys)
+            .cogroup(shapes.repartition(tasks, *keys).groupBy(*keys)).applyInArrow(search, schema))
+
+
 def attach_nearest(points: DataFrame, index: NearestIndex, lat: str = "latitude", lon: str = "longitude",
                    out: str = "nearest", salts: int = 1) -> DataFrame:
     """Add ``out`` = struct(rank, seq, id), null where a coordinate is missing or there are no shapes.
 
-    Row-wise (no shuffle by point) when ``index.in_one_row``, and for streams always.
+    Row-wise (no shuffle by point) when ``index.in_one_row``, and for streams always;
+    ``salts`` is for these row-wise joins.
     """
     original = points.columns
+    in_batch = not index.in_one_row and not points.isStreaming
     located = points
-    for name, expr in _cell_columns(index, lat, lon).items():
+    for name, expr in _cell_columns(index.box, index.coarse[1] if in_batch else index.depths, lat, lon).items():
         located = located.withColumn(name, expr)
     best = _best_candidate(index.metric, F.col(lat), F.col(lon), F.col("_candidates"))
 
@@ -318,19 +397,8 @@ def attach_nearest(points: DataFrame, index: NearestIndex, lat: str = "latitude"
     if points.isStreaming:
         return _best_by_parts(located, index, lat, lon, out).select(*original, out)
 
-    keep_level = located.withColumn("_outside", F.col("_level") == OUTSIDE)
-    joined = _join_cells(keep_level, index, salts).withColumn(out, best)
-    if index.parts > 1:
-        # Cells that needed several rows: take the best of them and restore equal points.
-        several = F.coalesce(F.col("_parts"), F.lit(1)) > 1
-        merged = (joined.filter(several)
-                  .groupBy(*original, "_outside", "_parts")
-                  .agg(F.min(out).alias(out), F.count(F.lit(1)).alias("_rows"))
-                  .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.expr("cast(_rows / _parts as int)"))))
-                  .select(*original, "_outside", out))
-        joined = joined.filter(~several).select(*original, "_outside", out).unionByName(merged)
-    if index.n_shapes > index.array_limit:
-        far = _outside_matches(located, index, lat, lon)
-        joined = (joined.join(far, [lat, lon], "left")
-                  .withColumn(out, F.when(F.col("_outside"), F.col("_far")).otherwise(F.col(out))))
-    return joined.select(*original, out)
+    far = cut(_outside_matches(located, index, lat, lon), "far")
+    met = _with_shortlists(located, index, lat, lon).withColumn(out, best)
+    return (met.join(far, [lat, lon], "left")
+            .withColumn(out, F.when(F.col("_level") == OUTSIDE, F.col("_far")).otherwise(F.col(out)))
+            .select(*original, out))

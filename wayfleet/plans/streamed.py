@@ -27,9 +27,21 @@ def _payload_stream(d) -> DataFrame:
     return pings.decode_pings(pings.read_payload_files(d.spark, path))
 
 
+def _matched_stream(d, decoded: DataFrame, files: int | None = None) -> DataFrame:
+    """Row by row while one candidate row serves every ping; beyond that each batch is matched and archived first.
+
+    ``files``: of each batch of the archive, and of each trigger that reads it.
+    """
+    if d.edge_index.in_one_row:
+        return jobs.matched_stream(decoded, d.edge_index)
+    out = folder(d, "matched-archive")
+    jobs.start_match_archive(decoded, d.edge_index, out, folder(d, "ckpt"), every=None, files=files).awaitTermination()
+    return jobs.archived_stream(d.spark, out, files)
+
+
 def edge_state(d) -> DataFrame:
     out = folder(d, "stream-state")
-    matched = jobs.matched_stream(_payload_stream(d), d.edge_index)
+    matched = _matched_stream(d, _payload_stream(d))
     jobs.start_edge_state(matched, d.edges, out, folder(d, "ckpt"), every=None).awaitTermination()
     return tables.read_state(d.spark, out)
 
@@ -45,7 +57,7 @@ def traffic_job(d) -> DataFrame:
 def snapshot(d) -> DataFrame:
     """The traffic feed that a periodic reader takes from the published state."""
     out = folder(d, "stream-state")
-    matched = jobs.matched_stream(_payload_stream(d), d.edge_index)
+    matched = _matched_stream(d, _payload_stream(d))
     jobs.start_edge_state(matched, d.edges, out, folder(d, "ckpt"), every=None).awaitTermination()
     return jobs.traffic_snapshot_rows(d.spark, out)
 
@@ -64,7 +76,7 @@ def conflation(d) -> DataFrame:
 
 def archive(d) -> DataFrame:
     out = folder(d, "stream-archive")
-    jobs.start_archive(jobs.matched_stream(_payload_stream(d), d.edge_index), out, folder(d, "ckpt"), every=None).awaitTermination()
+    jobs.start_archive(_matched_stream(d, _payload_stream(d)), out, folder(d, "ckpt"), every=None).awaitTermination()
     return _daily(d.spark.read.parquet(out))
 
 
@@ -115,7 +127,7 @@ def versioned_state(d) -> DataFrame:
     _in_slices(rows.withColumn("value", F.to_json(F.struct(*rows.columns))), "timestamp", lambda part: part.select("value").write.mode("append").text(path))
     raw = pings.read_payload_files(d.spark, path, per_trigger=FILES)
     table = _Replayed(d.spark, folder(d, "versioned-state"), "edge_id", "last_updated", EDGE_STATE)
-    matched = jobs.matched_stream(pings.decode_pings(raw), d.edge_index)
+    matched = _matched_stream(d, pings.decode_pings(raw), FILES)
     jobs.start_versioned_state(matched, d.edges, table, folder(d, "ckpt"), every=None).awaitTermination()
     if len(table.versions()) < 4 or not table.manifest()["base"]:
         raise AssertionError("fewer than three batches and a compaction")

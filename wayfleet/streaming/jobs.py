@@ -42,17 +42,17 @@ def start_archive(matched: DataFrame, path: str, checkpoint: str, every: str | N
 
 
 def start_match_archive(pings: DataFrame, index: NearestIndex, path: str, checkpoint: str,
-                        every: str | None = "30 seconds") -> StreamingQuery:
+                        every: str | None = "30 seconds", files: int | None = None) -> StreamingQuery:
     """Match inside each micro-batch, for networks too large to match row by row.
 
-    Every batch owns one folder, and a replay leaves a finished folder alone, so
-    ``archived_stream`` sees each row once.
+    Every batch owns one folder, of ``files`` files if given, and a replay leaves a
+    finished folder alone, so ``archived_stream`` sees each row once.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         folder = f"{path}/batch={batch_id}"
         if not _finished(batch.sparkSession, folder):
             rows = traffic.archive_rows(match_pings(traffic.clean_pings(batch), index))
-            rows.write.mode("overwrite").parquet(folder)
+            (rows.repartition(files) if files else rows).write.mode("overwrite").parquet(folder)
 
     writer = pings.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _triggered(writer, every).start()
@@ -82,11 +82,12 @@ def _made(spark, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
 
 
-def archived_stream(spark, path: str) -> DataFrame:
-    """Stream over an archive written by ``start_match_archive``."""
+def archived_stream(spark, path: str, per_trigger: int | None = None) -> DataFrame:
+    """Stream over an archive written by ``start_match_archive``, ``per_trigger`` files at a time if given."""
     schema = ("entity_id string, entity_type string, latitude double, longitude double, speed double, "
               "timestamp long, event_time timestamp, edge_id string")
-    return spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+    return (reader.option("maxFilesPerTrigger", per_trigger) if per_trigger else reader).parquet(path)
 
 
 def speed_stream(matched: DataFrame, delay: str = S.WATERMARK_DELAY) -> DataFrame:
