@@ -51,6 +51,24 @@ def test_costs_and_paths(spark, n, degree, sources):
             assert r.path == []
 
 
+def test_search_in_tasks_is_that_of_labels(spark, monkeypatch):
+    rng = random.Random(3)
+    arcs = [(f"n{i}", f"n{rng.randrange(30)}", rng.choice([1.0, 2.0, 0.1])) for i in range(30) for _ in range(3)]     # many ties
+    pairs = spark.createDataFrame([(f"n{s}", f"n{t}") for s in range(30) for t in range(0, 30, 3)], "source string, target string")
+    costs = cost_table(spark, arcs)
+
+    def refuse(*_):
+        raise AssertionError("labels of every node were written for a network that a task can hold")
+
+    def rows(**kw):
+        return sorted(map(tuple, routing.shortest_paths(pairs, costs, **kw).collect()))
+    with monkeypatch.context() as m:
+        m.setattr(routing, "_labels", refuse)
+        paths, prices = rows(), rows(with_path=False)
+    monkeypatch.setattr(routing, "ARCS_IN_TASK", 0)
+    assert rows() == paths and [r[:3] for r in paths] == prices
+
+
 def test_long_chain(spark):
     arcs = [(f"{i:03d}", f"{i + 1:03d}", 1.0) for i in range(60)]
     r = routing.shortest_paths(spark.createDataFrame([("000", "060")], "source string, target string"), cost_table(spark, arcs)).first()

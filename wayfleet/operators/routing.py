@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from wayfleet.functions import scalars as X
 from wayfleet.operators.network import components_of_links
-from wayfleet.session import cut, task_count
+from wayfleet.operators.relax import searcher
+from wayfleet.session import cut, ship_package, task_count
 
 INFINITY = float("inf")
 PAIR_LIMIT = 12          # up to this many stops, all legs of a vehicle are priced in one go
@@ -43,6 +44,24 @@ def _cheapest_arcs(costs: DataFrame) -> DataFrame:
 
 # ---- shortest paths -----------------------------------------------------
 HOPS_PER_WRITE = 6
+ARCS_IN_TASK = 1 << 22   # up to this many arcs (some 200 MB), a task holds the network and searches for its own sources
+LANES_PER_CORE = 4
+
+
+def _searched(goals: DataFrame, arcs: DataFrame, with_path: bool) -> DataFrame:
+    """(source, target, cost, path) of the goals that are reached: sources dealt to lanes, each with a copy of the arcs.
+
+    Nothing but the reached goals leaves a task, where ``_labels`` writes every source's label of
+    every node several times.
+    """
+    spark = goals.sparkSession
+    ship_package(spark)
+    lanes = max(1, min(LANES_PER_CORE * spark.sparkContext.defaultParallelism, goals.select("source").distinct().count()))
+    dealt = goals.withColumn("_lane", F.pmod(F.xxhash64("source"), F.lit(lanes)).cast("int"))
+    copies = arcs.select("src", "dst", "arc_cost", "via", "edge_id", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("_lane"))
+    schema = "source long, target long, cost double" + (", path array<string>" if with_path else "")
+    return (dealt.repartition(lanes, "_lane").groupBy("_lane").cogroup(copies.repartition(lanes, "_lane").groupBy("_lane"))
+            .applyInArrow(searcher(with_path), schema))
 
 
 def _labels(goals: DataFrame, arcs: DataFrame, max_rounds: int) -> DataFrame:
@@ -158,14 +177,17 @@ def shortest_paths(pairs: DataFrame, costs: DataFrame, nodes: DataFrame | None =
                .select(F.col("_s").alias("src"), F.col("_d").alias("dst"), "arc_cost", "via", "edge_id"), "arcs")
     asked = cut(wanted.join(number("source", "_s"), "source").join(number("target", "_t"), "target"), "asked")
     goals = cut(_possible(asked.filter("_s <> _t").select(F.col("_s").alias("source"), F.col("_t").alias("target")), arcs), "goals")
-    labels = _labels(goals, arcs, max_rounds)
-    reached = labels.join(goals.withColumnRenamed("target", "node"), ["source", "node"], "left_semi").select(
-        F.col("source").alias("_s"), F.col("node").alias("_t"), "cost")
+    if arcs.count() <= ARCS_IN_TASK:
+        reached = cut(_searched(goals, arcs, with_path), "reached").withColumnsRenamed({"source": "_s", "target": "_t"})
+    else:
+        labels = _labels(goals, arcs, max_rounds)
+        reached = labels.join(goals.withColumnRenamed("target", "node"), ["source", "node"], "left_semi").select(
+            F.col("source").alias("_s"), F.col("node").alias("_t"), "cost")
+        if with_path:
+            paths = _trace(reached.select(F.col("_s").alias("source"), F.col("_t").alias("target")), _least_arcs(labels, arcs), arcs)
+            reached = reached.join(paths.withColumnsRenamed({"source": "_s", "target": "_t"}), ["_s", "_t"], "left")
     priced = (asked.join(reached, ["_s", "_t"], "left")
               .withColumn("cost", F.when(F.col("_s") == F.col("_t"), F.lit(0.0)).otherwise(F.col("cost"))))
-    if with_path:
-        paths = _trace(reached.select(F.col("_s").alias("source"), F.col("_t").alias("target")), _least_arcs(labels, arcs), arcs)
-        priced = priced.join(paths.withColumnsRenamed({"source": "_s", "target": "_t"}), ["_s", "_t"], "left")
     kept = ["cost", "path"] if with_path else ["cost"]
     out = (wanted.join(priced.select("source", "target", *kept), ["source", "target"], "left")
            .withColumn("cost", F.coalesce("cost", F.lit(INFINITY))))
