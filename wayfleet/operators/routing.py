@@ -44,7 +44,7 @@ def _cheapest_arcs(costs: DataFrame) -> DataFrame:
 
 # ---- shortest paths -----------------------------------------------------
 HOPS_PER_WRITE = 6
-ARCS_IN_TASK = 1 << 22   # up to this many arcs (some 200 MB), a task holds the network and searches for its own sources
+ARCS_IN_TASK = 1 << 21   # up to this many arcs (estimated at some 300 MB), a task holds the network and searches for its own sources
 LANES_PER_CORE = 4
 
 
