@@ -2,11 +2,12 @@ import itertools
 import math
 import random
 
+import numpy as np
 import pytest
 from conftest import edge_row
 from pyspark.sql import functions as F
 
-from wayfleet.operators import dispatch, genetic, matching
+from wayfleet.operators import dispatch, genetic, matching, subsets
 from wayfleet.operators.network import nodes_of
 from wayfleet.schemas import VEHICLE
 from wayfleet.sources.tables import upsert_by_key
@@ -212,3 +213,19 @@ def test_upsert(spark):
     assert {tuple(r) for r in upsert_by_key(base, changes, "k", reset=("s",)).collect()} == {("a", 1, "x"), ("b", None, None), ("c", 3, None)}
     with pytest.raises(ValueError):
         upsert_by_key(base, changes.withColumn("z", F.lit(1)), "k")
+
+
+def test_exact_order_meets_no_join_and_breaks_ties_by_the_first_code(spark):
+    """The sets of a vehicle stay in one task; unknown legs sort first, as nulls do."""
+    square = [(21.0, 105.8), (21.0, 105.8), (21.01, 105.8), (21.01, 105.8)]
+    facts = facts_of(spark, [*random_groups([1, 2, 4, 5] * 10, seed=3), square])
+    plan = dispatch.exact_order(facts)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "HashAggregate" not in plan
+    got = {r.vehicle_id: r for r in dispatch.exact_order(facts).collect()}
+    assert len(got) == 41 and [c.cust_id for c in got["v40"].order] == ["c40_0", "c40_1", "c40_2", "c40_3"]
+    scored = dispatch.route_fitness(dispatch.exact_order(facts).select("vehicle_id", "order"), facts)
+    assert all(r.fitness == pytest.approx(got[r.vehicle_id].fitness, abs=1e-9) for r in scored.collect())
+    twice = dispatch.exact_order(facts.unionByName(facts)).collect()
+    assert len(twice) == 82 and all(r.order == got[r.vehicle_id].order for r in twice)
+    cost, code = subsets.last_stops(np.array([[[0.0, subsets.UNKNOWN], [1.0, 0.0]]]))
+    assert cost.tolist() == [[1.0, subsets.UNKNOWN]] and code.tolist() == [[0x10, 0x01]]

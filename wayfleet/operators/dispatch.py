@@ -6,15 +6,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wayfleet import schemas as S
 from wayfleet.functions import geo
 from wayfleet.functions import scalars as X
-from wayfleet.operators import genetic, routing
+from wayfleet.operators import genetic, routing, subsets
 from wayfleet.operators.matching import nearest_node
 from wayfleet.operators.nearest import NearestIndex
 from wayfleet.operators.network import with_position
-from wayfleet.session import cut
+from wayfleet.session import cut, ship_package, task_count
 
 EXACT_STOPS = 15
 ROUTE_SPAN = 6
@@ -228,44 +229,28 @@ def route_fitness(orders: DataFrame, facts: DataFrame) -> DataFrame:
 def exact_order(facts: DataFrame, max_stops: int = EXACT_STOPS) -> DataFrame:
     """Best open order per vehicle, by dynamic programming over visited sets.
 
-    Rows are (vehicle, visited set, last stop) with the cheapest cost, grown one
-    stop per level for all vehicles together.  A vehicle of n stops needs n * 2^n
-    rows, so a table with a larger vehicle than ``max_stops`` is refused as a whole.
+    Hours of all legs are worked out per vehicle; a task holds the sets of a few vehicles of equal
+    size at a time (``subsets``), n * 2^n entries each, so nothing is shuffled but the rows once.
+    A table with a larger vehicle than ``max_stops`` is refused as a whole.
     A route and its reverse cost the same: the one whose stops come first is kept.
     """
+    if max_stops > EXACT_STOPS:
+        raise ValueError(f"orders are coded for {EXACT_STOPS} stops at most")
     spark = facts.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    small = cut(facts.filter(F.size("stops") >= 1).withColumn("n", F.size("stops"))
-                .repartition(tasks, "vehicle_id"), "facts")
+    ship_package(spark)
+    small = cut(facts.filter("vehicle_id is not null").filter(F.size("stops") >= 1).withColumn("n", F.size("stops"))
+                .repartition(task_count(spark)), "facts")
     longest = small.agg(F.max("n")).first()[0] or 0
     if longest > max_stops:
         raise ValueError(f"a vehicle has {longest} stops; an exact order is worked out for {max_stops} at most: use the genetic search")
-    stops = small.select("vehicle_id", "n", "speed_kmh", F.posexplode("stops").alias("idx", "at"))
-    # Every level groups and joins by vehicle first, so one partitioning serves them all.
-    stops = stops.repartition(tasks, "vehicle_id")
-    state = stops.select("vehicle_id", F.shiftleft(F.lit(1), 0).alias("mask"), "idx", "n", "at").select(
-        "vehicle_id", "n", F.expr("cast(shiftleft(1, idx) as int)").alias("mask"), F.col("idx").alias("last"),
-        F.col("at").alias("last_at"), F.lit(0.0).alias("cost"), F.array("idx").alias("code"))
-    options = stops.select(F.col("vehicle_id").alias("_v"), "idx", "at", "speed_kmh")
-    for _ in range(1, longest):
-        whole = F.expr("bit_count(mask) = n")
-        unseen = F.expr("(mask & cast(shiftleft(1, idx) as int)) = 0")
-        # A finished row meets only its own last stop and passes through unchanged.
-        grown = state.join(options, (F.col("vehicle_id") == F.col("_v"))
-                           & (unseen | (whole & (F.col("idx") == F.col("last")))))
-        step = F.when(whole, F.lit(0.0)).otherwise(leg_hours(F.col("last_at"), F.col("at"), F.col("speed_kmh")))
-        grown = grown.select(
-            "vehicle_id", "n", F.expr("mask | cast(shiftleft(1, idx) as int)").alias("mask"),
-            F.col("idx").alias("last"), "at", (F.col("cost") + step).alias("cost"),
-            F.when(whole, F.col("code")).otherwise(F.array_append("code", F.col("idx"))).alias("code"))
-        state = (grown.groupBy("vehicle_id", "n", "mask", "last")
-                 .agg(F.min(F.struct("cost", "code", "at")).alias("b"))
-                 .select("vehicle_id", "n", "mask", "last", F.col("b.at").alias("last_at"),
-                         F.col("b.cost").alias("cost"), F.col("b.code").alias("code")))
-    best = (state.groupBy("vehicle_id").agg(F.min(F.struct(F.round("cost", 9).alias("c"), F.col("code"), F.col("cost"))).alias("b"))
-            .select("vehicle_id", F.col("b.cost").alias("hours"), F.col("b.code").alias("code")))
-    ordered = (small.join(best, "vehicle_id")
-               .withColumn("order", F.transform("code", lambda i: F.get(F.col("stops"), i))))
+    legs = F.flatten(F.transform("stops", lambda a: F.transform("stops", lambda b: leg_hours(a, b, F.col("speed_kmh")))))
+    kept = small.drop("speed_kmh")
+    ended = small.select(*kept.columns, legs.alias("legs")).mapInArrow(
+        subsets.ends, StructType([*kept.schema.fields, *StructType.fromDDL("cost array<double>, code array<bigint>").fields]))
+    best = F.array_min(F.zip_with("cost", "code", lambda cost, code: F.struct(F.round(cost, 9).alias("c"), code.alias("code"), cost.alias("cost"))))
+    stop_at = lambda k: F.call_function("shiftright", F.col("b.code"), (F.col("n") - k) * subsets.DIGIT).bitwiseAND((1 << subsets.DIGIT) - 1).cast("int")
+    ordered = (ended.withColumn("b", best).withColumn("hours", F.col("b.cost"))
+               .withColumn("order", F.transform(F.sequence(F.lit(1), F.col("n")), lambda k: F.get(F.col("stops"), stop_at(k)))))
     empty = facts.filter(F.size("stops") == 0).select(
         "vehicle_id", F.array().cast(EMPTY_STOPS).alias("order"), F.lit(0.0).alias("fitness"))
     return ordered.select("vehicle_id", "order", (F.col("start_cost") + F.col("hours") + F.col("penalty")).alias("fitness")).unionByName(empty)
