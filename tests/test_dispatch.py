@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 import math
 import random
@@ -7,7 +8,7 @@ import pytest
 from conftest import edge_row
 from pyspark.sql import functions as F
 
-from wayfleet.operators import dispatch, genetic, matching, subsets
+from wayfleet.operators import dispatch, evolve, genetic, matching, subsets
 from wayfleet.operators.network import nodes_of
 from wayfleet.schemas import VEHICLE
 from wayfleet.sources.tables import upsert_by_key
@@ -229,3 +230,34 @@ def test_exact_order_meets_no_join_and_breaks_ties_by_the_first_code(spark):
     assert len(twice) == 82 and all(r.order == got[r.vehicle_id].order for r in twice)
     cost, code = subsets.last_stops(np.array([[[0.0, subsets.UNKNOWN], [1.0, 0.0]]]))
     assert cost.tolist() == [[1.0, subsets.UNKNOWN]] and code.tolist() == [[0x10, 0x01]]
+
+
+def test_search_in_tasks_repeats_the_column_steps(spark):
+    """The whole search gives what the steps give when they are taken one by one."""
+    cfg = genetic.SearchConfig(population=9, generations=4, mutation_rate=0.4, seed=5)
+    facts = facts_of(spark, [*random_groups([1, 2, 3, 6, 9, 9], seed=8), [(21.0, 105.8)] * 4, []])
+    got = {r.vehicle_id: r for r in genetic.ga_optimize(facts, cfg, trace=True).collect()}
+    rows = facts.filter("size(stops) > 0").withColumn("n", F.size("stops"))
+    first = F.transform(F.sequence(F.lit(0), F.lit(cfg.population - 1)), lambda i: genetic.shuffled_order(cfg, F.col("vehicle_id"), i, F.col("n")))
+    rows = rows.withColumn("population", first).withColumn("legs", genetic.leg_hours(F.col("stops"), F.col("speed_kmh")))
+    best = {}
+    for generation in range(1, cfg.generations + 1):
+        rows = rows.withColumn("scored", genetic.ranked(F.col("population"), F.col("legs"))).localCheckpoint()
+        for r in rows.select("vehicle_id", F.col("scored")[0].alias("top")).collect():
+            if r.vehicle_id not in best or r.top.hours < best[r.vehicle_id][0][-1]:
+                best[r.vehicle_id] = (best.get(r.vehicle_id, ([],))[0] + [r.top.hours], list(r.top.order))
+            else:
+                best[r.vehicle_id][0].append(best[r.vehicle_id][0][-1])
+        rows = rows.withColumn("population", genetic.next_generation(F.col("scored"), cfg, F.col("vehicle_id"), F.lit(generation), F.col("n")))
+    assert len(got) == 8 and (got["v7"].order, got["v7"].generations) == ([], 0)
+    for v, (hours, order) in best.items():
+        assert got[v].trace == hours and [int(c.cust_id.split("_")[1]) for c in got[v].order] == order
+    halves = [0.1234567885, 0.1234567895, 2.0000000005, 1 / 3, 7.0]
+    shown = spark.createDataFrame([(h,) for h in halves], "h double").select(F.round("h", 9)).collect()
+    assert [x / 1e9 for x in evolve.about(np.array(halves)).tolist()] == [r[0] for r in shown]
+    texts = [b"5:v:%d" % i + b"x" * (i % 70) for i in range(300)]
+    want = [[int(hashlib.md5(t + s).hexdigest()[:13], 16) for s in (b"", b":12")] for t in texts]
+    assert evolve.draws(texts, (b"", b":12")).tolist() == want
+    assert evolve.draws(texts[:50], (b"", b":12")).tolist() == want[:50]
+    short = [b"5:v:%d" % i for i in range(300)]
+    assert evolve.draws(short)[:, 0].tolist() == [int(hashlib.md5(t).hexdigest()[:13], 16) for t in short]

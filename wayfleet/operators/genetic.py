@@ -1,7 +1,7 @@
 """Genetic stop order: many vehicles, one row each, no shuffle between generations.
 
-A population lives in its vehicle's row, and a fold over the generation numbers
-evolves it there.  All choices come from digests of (seed, vehicle, generation,
+A population belongs to its vehicle's row. Single steps are columns; the whole search
+runs the same steps over arrays inside tasks (``evolve``).  All choices come from digests of (seed, vehicle, generation,
 individual, slot), so a recomputed task repeats them exactly.
 """
 
@@ -11,10 +11,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wayfleet.functions import geo
 from wayfleet.functions.scalars import drawn, drawn_from, slot_text
-from wayfleet.session import task_count
+from wayfleet.operators.evolve import evolver
+from wayfleet.session import ship_package, task_count
 
 
 @dataclass(frozen=True)
@@ -144,33 +146,20 @@ def ga_optimize(facts: DataFrame, cfg: SearchConfig = SearchConfig(), trace: boo
     """
     if cfg.elite >= cfg.population or cfg.generations < 1:
         raise ValueError("elite must be smaller than the population, and one generation is the least")
-    stops, speed, vehicle = F.col("stops"), F.col("speed_kmh"), F.col("vehicle_id")
-    n = F.size(stops)
-    first = F.transform(F.sequence(F.lit(0), F.lit(cfg.population - 1)), lambda i: shuffled_order(cfg, vehicle, i, n))
-
-    def evolve(legs, state, generation):
-        def turn(scored):
-            top = scored[0]
-            better = top["hours"] < state["hours"]
-            hours = F.when(better, top["hours"]).otherwise(state["hours"])
-            return F.struct(
-                next_generation(scored, cfg, vehicle, generation, n).alias("population"),
-                hours.alias("hours"),
-                F.when(better, top["order"]).otherwise(state["order"]).alias("order"),
-                (F.concat(state["trace"], F.array(hours)) if trace else state["trace"]).alias("trace"))
-        return _let(ranked(state["population"], legs), turn)
-
-    start = F.struct(first.alias("population"), F.lit(float("inf")).alias("hours"),
-                     F.array().cast("array<int>").alias("order"), F.array().cast("array<double>").alias("trace"))
-    result = _let(leg_hours(stops, speed), lambda legs: F.aggregate(
-        F.sequence(F.lit(1), F.lit(cfg.generations)), start, lambda state, generation: evolve(legs, state, generation),
-        lambda s: F.struct(s["order"].alias("order"), s["hours"].alias("hours"), s["trace"].alias("trace"))))
     # Rows are few and each is a whole search, so they are dealt out to all tasks.
-    some = facts.repartition(task_count(facts.sparkSession)).withColumn("_best", F.when(n > 0, result))
-    out = some.select(
-        "vehicle_id",
-        F.when(n > 0, F.transform("_best.order", lambda i: F.get(stops, i))).otherwise(F.slice(stops, 1, 0)).alias("order"),
-        F.when(n > 0, F.col("start_cost") + F.col("_best.hours") + F.col("penalty")).otherwise(F.lit(0.0)).alias("fitness"),
-        F.when(n > 0, F.lit(cfg.generations)).otherwise(F.lit(0)).alias("generations"),
-        *([F.col("_best.trace").alias("trace")] if trace else []))
-    return out
+    spark = facts.sparkSession
+    ship_package(spark)
+    some = facts.repartition(task_count(spark)).withColumn("n", F.size("stops"))
+    kept = [f for f in facts.select("vehicle_id", "stops", "start_cost", "penalty").schema.fields]
+    ready = some.filter("n > 0").select(*[f.name for f in kept], "n", F.flatten(leg_hours(F.col("stops"), F.col("speed_kmh"))).alias("legs"))
+    found = StructType.fromDDL("_order array<int>, _hours double, _trace array<double>").fields
+    searched = ready.mapInArrow(evolver(cfg), StructType([*kept, *found]))
+    out = searched.select(
+        "vehicle_id", F.transform("_order", lambda i: F.get(F.col("stops"), i)).alias("order"),
+        (F.col("start_cost") + F.col("_hours") + F.col("penalty")).alias("fitness"),
+        F.lit(cfg.generations).alias("generations"), *([F.col("_trace").alias("trace")] if trace else []))
+    # A null list of stops has no order either.
+    idle = facts.filter(~F.coalesce(F.size("stops") > 0, F.lit(False))).select(
+        "vehicle_id", F.slice("stops", 1, 0).alias("order"), F.lit(0.0).alias("fitness"), F.lit(0).alias("generations"),
+        *([F.lit(None).cast("array<double>").alias("trace")] if trace else []))
+    return out.unionByName(idle)
