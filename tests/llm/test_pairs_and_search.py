@@ -5,6 +5,8 @@ import itertools
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.fixtures import LOWER, awkward_documents, prose, with_clashing, words
@@ -248,3 +250,28 @@ def test_small_sets_meet_for_every_linked_pair():
 def test_similarities_below_a_half_are_refused(spark):
     with pytest.raises(ValueError, match="50 %"):
         ngram_join.jaccard_components(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), percent=40)
+
+
+def test_blocks_are_compared_in_pieces_of_whole_runs():
+    """Memory of a task follows a piece, not the batch; no run is in two pieces and the pairs are those of the whole batch."""
+    lengths = [3, 1, 5, 30, 2, 2, 9, 700, 4]
+    count = sum(lengths)
+    sig = np.repeat(np.arange(len(lengths)), lengths)
+    table = pa.table({"sig": sig, "left": np.zeros(count, np.int64), "right": np.zeros(count, np.int64)})
+    pieces = list(ngram_join._pieces([table, table.slice(0, 4)], ["sig", "left", "right"], 40))
+    assert [p.num_rows for p in pieces] == [39, 13, 700, 4, 4]
+    assert pa.concat_tables(pieces).equals(pa.concat_tables([table, table.slice(0, 4)]))
+    ids = np.arange(count) % 97
+    words = np.zeros(count, np.int64)
+    lists = lambda v: pa.ListArray.from_arrays(np.arange(len(v) + 1, dtype=np.int32), pa.array(v))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(sig), pa.array(np.zeros(count, np.int64)), pa.array(np.zeros(count, np.int64)), pa.array(np.zeros(count, np.int64)), pa.array(ids),
+         pa.array(np.full(count, 50)), pa.array(ids), lists(words), lists((ids + 1) % 97)], ["sig", "left", "right", "block", "id", "n_shingles", "component", "small", "known"])
+    got = {(a, b) for out in ngram_join._crossing(80, None, iter([batch])) for a, b in zip(out.column("a").to_pylist(), out.column("b").to_pylist())}
+    want, at = set(), 0
+    for n in lengths:
+        own = sorted(set(ids[at:at + n].tolist()))
+        tested = {tuple(sorted((i, (i + 1) % 97))) for i in own}
+        want |= {(a, b) for a in own for b in own if a < b} - tested
+        at += n
+    assert got == want

@@ -57,6 +57,7 @@ BLOCK = 512            # members of a bucket compared at a time
 NEAREST = 3            # partners a member of a large block is checked with before all others
 _KNOWN = 256           # tested partners that go along with a member
 _SMALL = 8             # members of a block whose pairs are made all at once
+_PIECE_ROWS = 512      # members of short blocks that are compared at a time
 
 
 def farthest(size_a: int, size_b: int, percent: int) -> int:
@@ -323,6 +324,23 @@ def _whole_runs(batches, keys: list[str]):
         yield held
 
 
+def _pieces(tables, keys: list[str], rows: int):
+    """Tables of whole runs cut into smaller ones, at the ends of runs: of about so many rows, or one longer run."""
+    for table in tables:
+        new = np.zeros(table.num_rows, bool)
+        new[0] = True
+        for k in keys:
+            column = table.column(k).to_numpy()
+            new[1:] |= column[1:] != column[:-1]
+        starts, first = np.flatnonzero(new), 0
+        while first < table.num_rows:
+            later = starts[starts > first]
+            fits = later[later <= first + rows]
+            end = table.num_rows if table.num_rows <= first + rows or not len(later) else int(fits[-1] if len(fits) else later[0])
+            yield table.slice(first, end - first)
+            first = end
+
+
 def _pair_codes(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """64-bit hash of each unordered pair of ids."""
     low, high = np.minimum(x, y).view(np.uint64), np.maximum(x, y).view(np.uint64)
@@ -336,7 +354,7 @@ def _crossing(percent: int, nearest: int | None, batches):
     Of a large block only the ``nearest`` by sketch for each member, if given. Pairs that a member knows as tested are left out.
     """
     keys = ["sig", "left", "right"]
-    for table in _whole_runs(batches, keys):
+    for table in _pieces(_whole_runs(batches, keys), keys, _PIECE_ROWS):
         ids, sizes, comps, own, left, right = (table.column(c).to_numpy() for c in ("id", "n_shingles", "component", "block", "left", "right"))
         sketches = _Sketches(table.column("small").combine_chunks())
         new = np.ones(len(ids), bool)
@@ -368,8 +386,11 @@ def _crossing(percent: int, nearest: int | None, batches):
                     y = y[y > x]
                 found.append((np.full(len(y), x), y))
         x, y = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in (0, 1))
-        known = table.column("known").combine_chunks()
-        of = np.repeat(ids, np.diff(known.offsets.to_numpy()))
+        if not len(x):
+            continue
+        paired = np.unique(np.concatenate([x, y]))
+        known = table.column("known").take(pa.array(paired)).combine_chunks()
+        of = np.repeat(ids[paired], np.diff(known.offsets.to_numpy()))
         code = np.unique(_pair_codes(ids[x], ids[y]), return_index=True)
         fresh = code[1][~np.isin(code[0], _pair_codes(of, known.flatten().to_numpy()))]
         x, y = x[fresh], y[fresh]
