@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wayfleet.operators import dispatch, evolve, genetic, matching, subsets
 from wayfleet.operators.network import nodes_of
 from wayfleet.schemas import VEHICLE
+from wayfleet.session import task_count
 from wayfleet.sources.tables import upsert_by_key
 
 STATE = ("edge_id string, avg_speed double, estimated_travel_time double, vehicle_count int, distance double, max_speed double, "
@@ -261,3 +262,18 @@ def test_search_in_tasks_repeats_the_column_steps(spark):
     assert evolve.draws(texts[:50], (b"", b":12")).tolist() == want[:50]
     short = [b"5:v:%d" % i for i in range(300)]
     assert evolve.draws(short)[:, 0].tolist() == [int(hashlib.md5(t).hexdigest()[:13], 16) for t in short]
+
+
+def test_leg_hours_are_worked_out_once_per_row(spark):
+    """Legs that come out otherwise each time they are worked out: equal orders have equal hours only if that is done once."""
+    legs = F.transform(F.sequence(F.lit(0), F.lit(2)), lambda _: F.transform(F.sequence(F.lit(0), F.lit(2)), lambda _: F.rand(1)))
+    population = F.array_repeat(F.array(F.lit(0), F.lit(1), F.lit(2)), 5)
+    scored = spark.range(1).select(genetic.ranked(population, legs).alias("s")).first()["s"]
+    assert len({s["hours"] for s in scored}) == 1 and [s["i"] for s in scored] == [0, 1, 2, 3, 4]
+
+
+def test_first_populations_are_dealt_to_all_tasks(spark):
+    facts = facts_of(spark, random_groups([3, 4, 5] * 8)).coalesce(1)
+    made = genetic.ga_init(facts, genetic.SearchConfig(population=4))
+    assert made.rdd.getNumPartitions() == task_count(spark) > 1
+    assert made.count() == 24 * 4

@@ -82,9 +82,12 @@ def order_hours(order: Column, legs: Column) -> Column:
 
 
 def ranked(population: Column, legs: Column) -> Column:
-    """Scored individuals, best first; the earlier one on a tie, that is of equal hours to nine decimals."""
-    return F.array_sort(F.transform(population, lambda o, i: _let(order_hours(o, legs), lambda hours: F.struct(
-        F.round(hours, 9).alias("about"), i.alias("i"), hours.alias("hours"), o.alias("order")))))
+    """Scored individuals, best first; the earlier one on a tie, that is of equal hours to nine decimals.
+
+    ``legs`` is worked out once per row, not again for each step of each individual.
+    """
+    return _let(legs, lambda table: F.array_sort(F.transform(population, lambda o, i: _let(order_hours(o, table), lambda hours: F.struct(
+        F.round(hours, 9).alias("about"), i.alias("i"), hours.alias("hours"), o.alias("order"))))))
 
 
 def select_parents(scored: Column, cfg: SearchConfig) -> Column:
@@ -129,10 +132,18 @@ def next_generation(scored: Column, cfg: SearchConfig, vehicle: Column, generati
 
 
 # ---- driver -------------------------------------------------------------
+def dealt(facts: DataFrame) -> DataFrame:
+    """Vehicles dealt to all tasks by their id; what is grouped or joined by vehicle afterwards stays where it is."""
+    return facts.repartition(task_count(facts.sparkSession), "vehicle_id")
+
+
 def ga_init(facts: DataFrame, cfg: SearchConfig) -> DataFrame:
-    """First population: rows (vehicle_id, individual, order)."""
-    rows = facts.select("vehicle_id", F.size("stops").alias("n"),
-                        F.explode(F.sequence(F.lit(0), F.lit(cfg.population - 1))).alias("individual"))
+    """First population: rows (vehicle_id, individual, order), those of a vehicle in one task.
+
+    The rows of ``facts`` are few and each becomes a population, so they are dealt out to all tasks.
+    """
+    rows = dealt(facts).select("vehicle_id", F.size("stops").alias("n"),
+                               F.explode(F.sequence(F.lit(0), F.lit(cfg.population - 1))).alias("individual"))
     return rows.select("vehicle_id", "individual",
                        shuffled_order(cfg, F.col("vehicle_id"), F.col("individual"), F.col("n")).alias("order"))
 

@@ -505,7 +505,7 @@ def _first_generation(d: Inputs) -> DataFrame:
     """One row per vehicle: its first population, scored and ranked."""
     orders = genetic.ga_init(d.facts, SEARCH).groupBy("vehicle_id").agg(
         F.array_sort(F.collect_list(F.struct("individual", "order"))).alias("p"))    # a population, bounded by the configuration
-    rows = d.facts.join(orders, "vehicle_id").withColumn("population", F.transform("p", lambda x: x["order"]))
+    rows = genetic.dealt(d.facts).join(orders, "vehicle_id").withColumn("population", F.transform("p", lambda x: x["order"]))
     return rows.withColumn("scored", genetic.ranked(
         F.col("population"), genetic.leg_hours(F.col("stops"), F.col("speed_kmh")))).withColumn("n", F.size("stops"))
 
@@ -529,7 +529,7 @@ def ga_crossover(d: Inputs) -> DataFrame:
 @query
 def ga_mutation(d: Inputs) -> DataFrame:
     """Every individual of the first population after mutation."""
-    rows = genetic.ga_init(d.facts, SEARCH).join(d.facts.select("vehicle_id", F.size("stops").alias("n")), "vehicle_id")
+    rows = genetic.ga_init(d.facts, SEARCH).join(genetic.dealt(d.facts).select("vehicle_id", F.size("stops").alias("n")), "vehicle_id")
     mutated = genetic.mutated_child(F.col("order"), SEARCH, F.col("vehicle_id"), F.lit(1), F.col("individual"), F.col("n"))
     return rows.select("vehicle_id", "individual", mutated.alias("order")).select("vehicle_id", "individual", text("order"))
 
