@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from wayfleet import schemas as S
 
 EVENT = "edge_id string, event string, at_ms long, last_updated long"
+_ROW = Row("edge_id", "event", "at_ms", "last_updated")
 #: State with timers needs this provider.
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -35,46 +35,39 @@ class EdgeExpiry(StatefulProcessor):
         self.handle = handle
         self.newest = handle.getValueState("newest", "last_updated long, is_congested boolean")
 
-    def _events(self, edge: str, last_updated: int, congested: bool) -> list[tuple]:
+    def _events(self, edge: str, last_updated: int, congested: bool) -> list[Row]:
         at = last_updated + self.ttl_ms
-        return [(edge, "expired", at, last_updated)] + ([(edge, "unblocked", at, last_updated)] if congested else [])
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = self.newest.get() if self.newest.exists() else None
-        old = int(held[0]) if held else None
-        now, congested, found = old, bool(held[1]) if held else False, []
-        arrived = sorted({(int(t), bool(c)) for part in rows for t, c in zip(part["last_updated"], part["is_congested"])})
-        for at, jam in arrived:
+        return [_ROW(edge, "expired", at, last_updated)] + ([_ROW(edge, "unblocked", at, last_updated)] if congested else [])
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        held = self.newest.get()
+        old, was = (int(held[0]), bool(held[1])) if held else (None, False)
+        now, congested, found = old, was, []
+        for at, jam in sorted({(int(r["last_updated"]), bool(r["is_congested"])) for r in rows}):
             if now is not None and at < now:
                 continue                                    # older than what is known
             if now is not None and at >= now + self.ttl_ms:
                 found += self._events(key[0], now, congested)
             now, congested = at, jam
-        if now is not None:
-            if old is not None and old != now:
-                self.handle.deleteTimer(old + self.ttl_ms)
+        if (now, congested) != (old, was):
             self.newest.update((now, congested))
+        if now != old:
+            if old is not None:
+                self.handle.deleteTimer(old + self.ttl_ms)
             self.handle.registerTimer(now + self.ttl_ms)
-        yield _frame(found)
+        return iter(found)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        found = []
-        if self.newest.exists():
-            last_updated, congested = self.newest.get()
-            if expiredTimerInfo.getExpiryTimeInMs() == last_updated + self.ttl_ms:
-                found = self._events(key[0], int(last_updated), bool(congested))
-                self.newest.clear()
-        yield _frame(found)
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        held, found = self.newest.get(), []
+        if held and expiredTimerInfo.getExpiryTimeInMs() == held[0] + self.ttl_ms:
+            found = self._events(key[0], int(held[0]), bool(held[1]))
+            self.newest.clear()
+        return iter(found)
 
     def close(self) -> None:
         pass
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["edge_id", "event", "at_ms", "last_updated"]).astype(
-        {"edge_id": "object", "event": "object", "at_ms": "int64", "last_updated": "int64"})
-
-
 def expiry_events(states: DataFrame, ttl_seconds: int = S.STATE_TTL_SECONDS, delay: str = S.WATERMARK_DELAY) -> DataFrame:
     """(edge_id, event, at_ms, last_updated) of a stream of published states.
 
@@ -83,5 +76,5 @@ def expiry_events(states: DataFrame, ttl_seconds: int = S.STATE_TTL_SECONDS, del
     """
     rows = (states.select("edge_id", "last_updated", "is_congested", F.timestamp_millis("last_updated").alias("event_time"))
             .withWatermark("event_time", delay))
-    return rows.groupBy("edge_id").transformWithStateInPandas(
+    return rows.groupBy("edge_id").transformWithState(
         EdgeExpiry(ttl_seconds * 1000), outputStructType=EVENT, outputMode="Append", timeMode="EventTime")
