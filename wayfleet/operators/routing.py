@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wayfleet.functions import scalars as X
@@ -46,22 +48,54 @@ def _cheapest_arcs(costs: DataFrame) -> DataFrame:
 HOPS_PER_WRITE = 6
 ARCS_IN_TASK = 1 << 21   # up to this many arcs (estimated at some 300 MB), a task holds the network and searches for its own sources
 LANES_PER_CORE = 4
+BALL = 1.2               # nodes of a search from a target, as a multiple of the root of all nodes; it ends with some two times as many
+HELD_IN_TASK = 1 << 25   # nodes of such searches that a task keeps, 12 bytes each
+SOURCE_WORK = 3          # a search from a source, which grows until its pairs are met, in searches from a target (0.8 ms at 60,000 nodes)
+FEWER = 4                # searches from both ends are taken where their balls hold so many times fewer nodes than whole searches
+
+
+def _grid(sources: int, targets: int, nodes: int, cores: int) -> tuple[int, int, int]:
+    """(lanes of sources, lanes of targets, nodes of a search from a target; 0: whole searches from the sources).
+
+    A lane repeats the searches of its sources for each lane of targets, and the other way round.
+    """
+    ball = max(1, int(BALL * nodes ** 0.5))
+    fits = [b for b in range(1, cores + 1) if cores % b == 0 and targets * 2 * ball <= HELD_IN_TASK * b]
+    work = lambda lanes: SOURCE_WORK * lanes[1] * sources + lanes[0] * targets
+    by, to = min(((cores // b, b) for b in fits), key=work, default=(1, -(-targets * 2 * ball // HELD_IN_TASK)))
+    if work((by, to)) * ball * FEWER < sources * nodes:
+        return by, to, ball
+    return max(1, min(LANES_PER_CORE * cores, sources)), 1, 0
+
 
+def _lane_keys(spark: SparkSession, lanes: int) -> Column:
+    """Array of numbers that a repartition by them puts into a partition each."""
+    rows = (spark.range(32 * lanes + 256).select(F.col("id").cast("int").alias("k")).groupBy(F.pmod(F.hash("k"), F.lit(lanes)).alias("p"))
+            .agg(F.min("k").alias("k")).collect())
+    keys = {r.p: r.k for r in rows}
+    return F.array(*[F.lit(keys.get(i, 32 * lanes + 256 + i)).cast("int") for i in range(lanes)])
 
-def _searched(goals: DataFrame, arcs: DataFrame, with_path: bool) -> DataFrame:
-    """(source, target, cost, path) of the goals that are reached: sources dealt to lanes, each with a copy of the arcs.
+
+def _searched(goals: DataFrame, arcs: DataFrame, nodes: int, with_path: bool) -> DataFrame:
+    """(source, target, cost, path) of the goals that are reached: goals dealt to lanes by their ends, each with a copy of the arcs.
 
     Nothing but the reached goals leaves a task, where ``_labels`` writes every source's label of
     every node several times.
     """
     spark = goals.sparkSession
     ship_package(spark)
-    lanes = max(1, min(LANES_PER_CORE * spark.sparkContext.defaultParallelism, goals.select("source").distinct().count()))
-    dealt = goals.withColumn("_lane", F.pmod(F.xxhash64("source"), F.lit(lanes)).cast("int"))
-    copies = arcs.select("src", "dst", "arc_cost", "via", "edge_id", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("_lane"))
+    ends = goals.agg(F.count_distinct("source"), F.count_distinct("target")).first()
+    by, to, ball = _grid(*ends, nodes, spark.sparkContext.defaultParallelism)
+    lanes, keys = by * to, _lane_keys(spark, by * to)
+
+    def lane(name: str, count: int) -> Column:
+        return F.pmod(F.xxhash64(name), F.lit(count)).cast("int")
+
+    dealt = goals.withColumn("_lane", F.element_at(keys, lane("source", by) * to + lane("target", to) + 1))
+    copies = arcs.select("src", "dst", "arc_cost", "via", "edge_id", F.explode(keys).alias("_lane"))
     schema = "source long, target long, cost double" + (", path array<string>" if with_path else "")
     return (dealt.repartition(lanes, "_lane").groupBy("_lane").cogroup(copies.repartition(lanes, "_lane").groupBy("_lane"))
-            .applyInArrow(searcher(with_path), schema))
+            .applyInArrow(searcher(with_path, ball), schema))
 
 
 def _labels(goals: DataFrame, arcs: DataFrame, max_rounds: int) -> DataFrame:
@@ -121,17 +155,22 @@ def _least_arcs(labels: DataFrame, arcs: DataFrame) -> DataFrame:
         "source", "node", "cost", F.when(F.col("via").isNotNull(), F.coalesce("_arc", "via")).alias("via")), "labels")
 
 
-def _possible(pairs: DataFrame, arcs: DataFrame) -> DataFrame:
+def _parts(arcs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((source, _from), (target, _to)): the component of each node that arcs leave and of each that arcs enter."""
+    component = cut(components_of_links(arcs.select(F.col("src").alias("a"), F.col("dst").alias("b"))), "parts")
+    leaves = arcs.select(F.col("src").alias("source")).distinct().join(
+        component.select(F.col("node_id").alias("source"), F.col("component").alias("_from")), "source")
+    enters = arcs.select(F.col("dst").alias("target")).distinct().join(
+        component.select(F.col("node_id").alias("target"), F.col("component").alias("_to")), "target")
+    return cut(leaves, "leaves"), cut(enters, "enters")
+
+
+def _possible(pairs: DataFrame, leaves: DataFrame, enters: DataFrame) -> DataFrame:
     """Pairs that may be connected at all.
 
     A goal that cannot be reached would keep its source searching everything it
     can reach, so ends without arcs and ends in different components are left out.
     """
-    component = components_of_links(arcs.select(F.col("src").alias("a"), F.col("dst").alias("b")))
-    leaves = arcs.select(F.col("src").alias("source")).distinct().join(
-        component.select(F.col("node_id").alias("source"), F.col("component").alias("_from")), "source")
-    enters = arcs.select(F.col("dst").alias("target")).distinct().join(
-        component.select(F.col("node_id").alias("target"), F.col("component").alias("_to")), "target")
     return (pairs.join(leaves, "source").join(enters, "target")
             .filter(F.col("_from") == F.col("_to")).select("source", "target"))
 
@@ -157,28 +196,49 @@ def _numbered(nodes: DataFrame) -> DataFrame:
     return cut(nodes.select("node_id").distinct().withColumn("no", F.monotonically_increasing_id()), "numbers")
 
 
+@dataclass(frozen=True)
+class Network:
+    """What all searches over one table of costs share."""
+
+    numbers: DataFrame          # (node_id, no)
+    arcs: DataFrame             # cheapest arcs between numbers
+    leaves: DataFrame           # see _parts
+    enters: DataFrame
+
+
+def network_of(costs: DataFrame, nodes: DataFrame | None = None) -> Network:
+    """Nodes go by number inside, which keeps the rows of a search small and of fixed width."""
+    if nodes is None:
+        nodes = costs.select(F.col("src").alias("node_id")).unionByName(costs.select(F.col("dst").alias("node_id")))
+    numbers = _numbered(nodes)
+    arcs = cut(_cheapest_arcs(costs).join(_number(numbers, "src", "_s"), "src").join(_number(numbers, "dst", "_d"), "dst")
+               .select(F.col("_s").alias("src"), F.col("_d").alias("dst"), "arc_cost", "via", "edge_id"), "arcs")
+    return Network(numbers, arcs, *_parts(arcs))
+
+
+def _number(numbers: DataFrame, name: str, out: str) -> DataFrame:
+    return numbers.select(F.col("node_id").alias(name), F.col("no").alias(out))
+
+
 def shortest_paths(pairs: DataFrame, costs: DataFrame, nodes: DataFrame | None = None,
                    with_path: bool = True, max_rounds: int = 100_000) -> DataFrame:
     """(source, target, cost, path) for each distinct pair.
 
     Equal ends cost 0 with an empty path; an unknown or unreachable end costs
-    infinity with an empty path.  All pairs share one search per distinct source;
-    inside, nodes go by number, which keeps the label rows small and of fixed width.
+    infinity with an empty path.  All pairs share one search per distinct source.
     """
-    wanted = cut(pairs.select("source", "target").distinct(), "pairs")
-    if nodes is None:
-        nodes = costs.select(F.col("src").alias("node_id")).unionByName(costs.select(F.col("dst").alias("node_id")))
-    numbers = _numbered(nodes)
+    return paths_between(pairs, network_of(costs, nodes), with_path, max_rounds)
 
-    def number(name: str, out: str) -> DataFrame:
-        return numbers.select(F.col("node_id").alias(name), F.col("no").alias(out))
 
-    arcs = cut(_cheapest_arcs(costs).join(number("src", "_s"), "src").join(number("dst", "_d"), "dst")
-               .select(F.col("_s").alias("src"), F.col("_d").alias("dst"), "arc_cost", "via", "edge_id"), "arcs")
-    asked = cut(wanted.join(number("source", "_s"), "source").join(number("target", "_t"), "target"), "asked")
-    goals = cut(_possible(asked.filter("_s <> _t").select(F.col("_s").alias("source"), F.col("_t").alias("target")), arcs), "goals")
+def paths_between(pairs: DataFrame, network: Network, with_path: bool = True, max_rounds: int = 100_000) -> DataFrame:
+    """As ``shortest_paths``, over a network that may serve several calls."""
+    numbers, arcs = network.numbers, network.arcs
+    wanted = cut(pairs.select("source", "target").distinct(), "pairs")
+    asked = cut(wanted.join(_number(numbers, "source", "_s"), "source").join(_number(numbers, "target", "_t"), "target"), "asked")
+    goals = cut(_possible(asked.filter("_s <> _t").select(F.col("_s").alias("source"), F.col("_t").alias("target")),
+                          network.leaves, network.enters), "goals")
     if arcs.count() <= ARCS_IN_TASK:
-        reached = cut(_searched(goals, arcs, with_path), "reached").withColumnsRenamed({"source": "_s", "target": "_t"})
+        reached = cut(_searched(goals, arcs, numbers.count(), with_path), "reached").withColumnsRenamed({"source": "_s", "target": "_t"})
     else:
         labels = _labels(goals, arcs, max_rounds)
         reached = labels.join(goals.withColumnRenamed("target", "node"), ["source", "node"], "left_semi").select(
@@ -207,6 +267,33 @@ def _own_pairs(starts: DataFrame, stops: DataFrame) -> DataFrame:
             .filter("source is not null and target is not null").distinct())
 
 
+def _next_pairs(starts: DataFrame, numbered: DataFrame) -> DataFrame:
+    """(vehicle_id, source, target): the legs of stops in order, if each can be reached from the one before."""
+    placed = starts.filter("node is not null")
+    before = F.lag("node_id").over(Window.partitionBy("vehicle_id").orderBy("_rank"))
+    first = numbered.filter("_rank = 1").join(placed, "vehicle_id").select("vehicle_id", F.col("node").alias("source"), F.col("node_id").alias("target"))
+    later = (numbered.join(placed, "vehicle_id", "left_semi").withColumn("source", before).filter("_rank > 1")
+             .select("vehicle_id", "source", F.col("node_id").alias("target")))
+    return first.unionByName(later)
+
+
+def _ordered_legs(starts: DataFrame, stops: DataFrame, numbered: DataFrame, network: Network, with_path: bool) -> tuple[DataFrame, DataFrame]:
+    """(legs, vehicle_id of the vehicles they may not suffice for): stops in order need one leg each.
+
+    Only a vehicle with a stop that cannot be reached goes on from an earlier one; all its legs are priced then.
+    """
+    needed = cut(_next_pairs(starts, numbered), "next-pairs")
+    legs = cut(paths_between(needed.filter("source is not null and target is not null"), network, with_path), "legs")
+    priced = needed.join(legs.select("source", "target", "cost"), ["source", "target"], "left")
+    broken = cut(priced.filter(F.coalesce("cost", F.lit(INFINITY)) == INFINITY).select("vehicle_id").distinct(), "broken")
+    few = broken.join(stops.groupBy("vehicle_id").agg(F.count(F.lit(1)).alias("n")), "vehicle_id").filter(F.col("n") <= PAIR_LIMIT)
+    own = _own_pairs(starts.join(few, "vehicle_id", "left_semi"), stops.join(few, "vehicle_id", "left_semi"))
+    extra = cut(own.join(legs.select("source", "target"), ["source", "target"], "left_anti"), "pairs")
+    if not extra.isEmpty():
+        legs = cut(legs.unionByName(paths_between(extra, network, with_path)), "legs")
+    return legs, broken
+
+
 def _walk(starts: DataFrame, stops: DataFrame, costs: DataFrame, nodes: DataFrame, greedy: bool,
           with_path: bool) -> tuple[DataFrame, DataFrame]:
     """Visit stops rank by rank, all vehicles together.
@@ -221,13 +308,18 @@ def _walk(starts: DataFrame, stops: DataFrame, costs: DataFrame, nodes: DataFram
     ranks = counts.agg(F.max("n")).first()[0] or 0
     few = counts.filter(F.col("n") <= PAIR_LIMIT)
     many = counts.filter(F.col("n") > PAIR_LIMIT).select("vehicle_id")
-    any_many = ranks > PAIR_LIMIT
-    legs = cut(shortest_paths(_own_pairs(starts, stops.join(few, "vehicle_id", "left_semi")), costs, nodes, with_path), "legs")
+    network = network_of(costs, nodes)
+    numbered = stops if greedy else cut(stops.withColumn(
+        "_rank", F.row_number().over(Window.partitionBy("vehicle_id").orderBy("stop_idx"))), "numbered")
+    if greedy:
+        legs = cut(paths_between(_own_pairs(starts, stops.join(few, "vehicle_id", "left_semi")), network, with_path), "legs")
+    else:
+        legs, broken = _ordered_legs(starts, stops, numbered, network, with_path)
+        many = many.join(broken, "vehicle_id", "left_semi")
+    any_many = ranks > PAIR_LIMIT and not many.isEmpty()
     spark = stops.sparkSession
 
     here = starts.select("vehicle_id", F.col("node").alias("origin"))
-    numbered = stops if greedy else cut(stops.withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("vehicle_id").orderBy("stop_idx"))), "numbered")
     steps = None
     for rank in range(1, ranks + 1):
         open_stops = numbered
@@ -240,7 +332,7 @@ def _walk(starts: DataFrame, stops: DataFrame, costs: DataFrame, nodes: DataFram
             options = cut(options, "options")
             extra = options.join(many, "vehicle_id", "left_semi").select(F.col("origin").alias("source"), F.col("node_id").alias("target"))
             extra = extra.filter("source is not null and target is not null").distinct().join(legs, ["source", "target"], "left_anti")
-            legs = cut(legs.unionByName(shortest_paths(extra, costs, nodes, with_path)), "legs")
+            legs = cut(legs.unionByName(paths_between(extra, network, with_path)), "legs")
         prices = legs.select(F.col("source").alias("origin"), F.col("target").alias("node_id"), "cost")
         priced = (options.join(prices, ["origin", "node_id"], "left")
                   .withColumn("cost", F.coalesce("cost", F.lit(INFINITY))))
